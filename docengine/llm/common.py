@@ -10,16 +10,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster shares.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``; only where that is unset (unit
-    tests) the session's warehouse is used, which is shared as well.
+    Only where that is unset (unit tests) the session's warehouse is used, which is shared as well.
     """
+    told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return told or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        shared = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -78,12 +78,12 @@ def slices(off: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each document its first word's index (n+1 values)."""
+def words(raw: np.ndarray, off: np.ndarray, gaps: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words (runs outside ``gaps``), and for each document its first word's index (n+1 values)."""
     n = len(raw)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    white = WHITE[raw]
+    white = gaps[raw]
     cut = np.zeros(n + 1, bool)
     cut[off] = True
     before = cut[:n].copy()
