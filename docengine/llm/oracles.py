@@ -140,10 +140,10 @@ WITH RECURSIVE w AS (
 ), s AS (
   SELECT DISTINCT doc_id, words[i:i+4] AS g FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (
+pairs AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
 ), linked AS (
-  SELECT x, y FROM both JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)
 ), edges AS (SELECT x, y FROM linked UNION SELECT y, x FROM linked),
 reach(a, b) AS (
   SELECT doc_id, doc_id FROM w UNION SELECT r.a, e.y FROM reach r JOIN edges e ON r.b = e.x
