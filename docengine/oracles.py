@@ -182,12 +182,90 @@ _RAW = f"""raw AS (SELECT 'f' AS file, 'p' || (k % 50) AS page, k::VARCHAR AS im
 _PAGES = "pages AS (SELECT file, page, count(*) AS n FROM records GROUP BY file, page)"
 _URL = "SELECT id, CASE WHEN id % 11 = 0 THEN ' ' ELSE CASE WHEN id % 3 = 0 THEN ' ' ELSE '' END || 'https://h/v1' || CASE WHEN id % 2 = 0 THEN '/openai' ELSE '' END || CASE WHEN id % 5 = 0 THEN '/chat/completions' ELSE '' END || CASE WHEN id % 7 = 0 THEN '//' ELSE '' END END AS url FROM (" + X.FILES + ")"
 _TRIMMED = "rtrim(trim(url), '/')"
-_HOUSE_CUT = f"list_min(list_filter([{', '.join(f'instr({_match('l2')}, {_q(m)})' for m in _MARKS)}], lambda p: p > 0))"
-_HOUSE_TOKENS = f"list_transform(regexp_split_to_array(translate({_sub(f'upper(CASE WHEN {_HOUSE_CUT} IS NULL THEN l2 ELSE {_strip(f"substr(l2, 1, {_HOUSE_CUT} - 1)")} END)', f'[^A-Z0-9/{chr(92)}-{_SP}]', ' ')}, 'OI', '01'), {_q(f'[{_SP}]+')}), lambda t: regexp_replace(t, '^[/-]+|[/-]+$', '', 'g'))"
-_HOUSE_GOOD = f"list_filter({_HOUSE_TOKENS}, lambda t: regexp_full_match(t, '[0-9][0-9A-Z/\\-]{{0,11}}') AND NOT {_any(lambda b: f'contains(t, {_q(b)})', L.HOUSE_BAD_SUBSTRINGS)})"
+
+
+def _house_tokens(e: str) -> str:
+    """House-like tokens of a raw value before its first photo marker."""
+    cut = f"list_min(list_filter([{', '.join(f'instr({_match(e)}, {_q(m)})' for m in _MARKS)}], lambda p: p > 0))"
+    head = f"upper(CASE WHEN {cut} IS NULL THEN {e} ELSE {_strip(f'substr({e}, 1, {cut} - 1)')} END)"
+    parts = f"regexp_split_to_array(translate({_sub(head, f'[^A-Z0-9/{chr(92)}-{_SP}]', ' ')}, 'OI', '01'), {_q(f'[{_SP}]+')})"
+    bare = f"list_transform({parts}, lambda t: regexp_replace(t, '^[/-]+|[/-]+$', '', 'g'))"
+    return f"list_filter({bare}, lambda t: regexp_full_match(t, '[0-9][0-9A-Z/\\-]{{0,11}}') AND NOT {_any(lambda b: f'contains(t, {_q(b)})', L.HOUSE_BAD_SUBSTRINGS)})"
+
+
+def _house_value(e: str) -> str:
+    """The token with most digits, then the longest, then the first."""
+    ranked = f"list_transform({_house_tokens(e)}, lambda t, i: {{'d': length(regexp_replace(t, '[^0-9]', '', 'g')), 'n': length(t), 'i': -i, 't': t}})"
+    return f"coalesce(list_max({ranked}).t, '')"
+
+
 _MALE = lambda g: _any(lambda v: f"contains({g}, {_q(v)})", ("male", "ஆண்", "ஆண"))
 _FEMALE = lambda g: _any(lambda v: f"contains({g}, {_q(v)})", ("female", "பெண்", "பெண"))
 
+
+
+def _gender_value(e: str) -> str:
+    low = f"lower({e})"
+    return f"""CASE WHEN {e} = '' OR {_photo(e)} THEN '' WHEN {_MALE(low)} THEN 'Male' WHEN {_FEMALE(low)} THEN 'Female' WHEN {_strip(low)} = 'm' THEN 'Male' WHEN {_strip(low)} = 'f' THEN 'Female' ELSE '' END"""
+
+
+def _bare_name(e: str) -> str:
+    return _strip(_sub(_sub(_strip(e), f"(?i)^(?:name)[{_SP}]*{T.DASH}?[{_SP}]*", "", ""), f"^(?:பெயர்)[{_SP}]*{T.DASH}?[{_SP}]*", "", ""))
+
+
+def _tokens() -> str:
+    """(field, most, vi, ti, n, token) of every label variant."""
+    from docengine.functions.fields import tokenize_label
+
+    wanted = {"name": (L.NAME_LABELS, 80), "house": (L.HOUSE_LABELS, 80), "age": (L.AGE_LABELS, 6), "gender": (L.GENDER_LABELS, 12), **{k: (v, 80) for k, v in L.RELATION_LABELS.items()}}
+    rows = [
+        f"({_q(f)}, {most}, {vi}, {ti}, {len(tokens)}, {_q(t)})"
+        for f, (variants, most) in wanted.items() for vi, tokens in enumerate(map(tokenize_label, variants)) for ti, t in enumerate(tokens)
+    ]
+    return "tok(field, most, vi, ti, n, token) AS (VALUES " + ", ".join(rows) + ")"
+
+
+def _value(source: str, start: str) -> str:
+    """Words of ``source`` (field, k, most, t, stop, x, i) from a start on, up to the first that stops or overflows."""
+    return f"""(SELECT field, k, string_agg(t, ' ' ORDER BY x, i) AS v FROM (
+  SELECT *, bool_or(stop OR total > most) OVER (PARTITION BY field, k ORDER BY x, i) AS ended FROM (
+    SELECT *, sum(length(t) + 1) OVER (PARTITION BY field, k ORDER BY x, i) AS total FROM {source} WHERE x >= {start} AND t NOT IN ({', '.join(map(_q, L.LABEL_SEPARATORS))})))
+  WHERE NOT ended GROUP BY field, k)"""
+
+
+_MARKED = "(" + " OR ".join(f"contains(replace({{0}}, '0', 'o'), {_q(m)})" for m in _MARKS) + ")"
+_SPANS = f"""
+rec AS ({X.RECORDS}), {_REC_WORDS}, {_tokens()},
+w AS (
+  SELECT *, row_number() OVER (PARTITION BY k, line_num ORDER BY x, i) AS p, min(i) OVER (PARTITION BY k, line_num) AS first_i FROM (
+    SELECT k, line_num, i, x, y, w, h, t, {_norm('t')} AS norm, {_match('t')} <> '' AND {_any(lambda q: f"contains({_match('t')}, {_q(q)}) OR contains({_q(q)}, {_match('t')})", _STOPS)} AS stop
+    FROM (SELECT *, {_strip('text')} AS t FROM rw) WHERE t <> '')
+), hit AS (
+  SELECT field, most, k, line_num, first_i, vi, n, p - ti AS spot FROM w JOIN tok ON norm <> '' AND (contains(norm, token) OR contains(token, norm)) GROUP BY ALL HAVING count(DISTINCT ti) = n
+), span AS (
+  SELECT h.field, h.most, h.k, h.line_num, a.i AS first, a.y, a.h, b.i AS last, greatest(0, b.x + b.w - 5) AS start
+  FROM (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY field, k ORDER BY first_i, vi, spot) = 1) h
+  JOIN w a ON a.k = h.k AND a.line_num = h.line_num AND a.p = h.spot JOIN w b ON b.k = h.k AND b.line_num = h.line_num AND b.p = h.spot + h.n - 1
+)"""
+_LABELLED = f"""{_SPANS},
+own AS (SELECT s.field, s.most, s.start, w.* FROM span s JOIN w ON w.k = s.k AND w.line_num = s.line_num),
+below AS (SELECT s.field, s.most, w.*, min(w.y) OVER (PARTITION BY s.field, s.k) AS top FROM span s JOIN w ON w.k = s.k AND w.y > s.y + trunc(s.h * 0.6::DOUBLE) AND w.y <= s.y + trunc(s.h * 0.6::DOUBLE) + 60),
+near AS (SELECT * FROM below WHERE abs(y - top) <= 10),
+own_photo AS (SELECT field, k, {_MARKED.format("string_agg(norm, '' ORDER BY x, i)")} AS photo FROM own GROUP BY field, k),
+near_photo AS (SELECT field, k, {_MARKED.format("string_agg(norm, '' ORDER BY x, i)")} AS photo FROM near GROUP BY field, k),
+val AS (
+  SELECT s.field, s.k, CASE WHEN o.photo THEN '' WHEN a.v <> '' THEN a.v WHEN q.photo THEN '' ELSE coalesce(b.v, '') END AS v
+  FROM span s JOIN own_photo o USING (field, k) LEFT JOIN near_photo q USING (field, k) LEFT JOIN {_value('own', 'start')} a USING (field, k) LEFT JOIN {_value('near', '0')} b USING (field, k)
+), raw_fields AS (
+  SELECT k.k, {", ".join(f"coalesce((SELECT v FROM val WHERE val.k = k.k AND field = '{f}'), '') AS v_{f}" for f in ("name", "house", "age", "gender", *L.RELATION_LABELS))} FROM (SELECT DISTINCT k FROM w) k
+), by_words AS (
+  SELECT k, v_name AS name, {_house_value('v_house')} AS house_no, regexp_replace(v_age, '[^0-9]', '', 'g') AS age, {_gender_value('v_gender')} AS gender,
+    CASE {" ".join(f"WHEN {_bare_name(f'v_{f}')} <> '' THEN '{f}'" for f in L.RELATION_LABELS)} ELSE '' END AS relation_type,
+    {_first([_bare_name(f"v_{f}") for f in L.RELATION_LABELS])} AS relation_name
+  FROM raw_fields
+)"""
+_JOINED = _STEPS.replace(f"rec AS ({X.RECORDS}),", "", 1)
+
 _ANSWERS = f"ans AS ({X.RESPONSES}), got AS (SELECT event_id, content, event_id % 6 NOT IN (3) AS parsed, CASE event_id % 6 WHEN 4 THEN '[1, {{\"a\": \"}}\"}}]' WHEN 3 THEN NULL ELSE regexp_extract(content, '(\\{{\"k\".*\\}})', 1) END AS json FROM ans)"
 
 ORACLES = {
@@ -223,10 +301,8 @@ SELECT f.k, coalesce((SELECT string_agg(t, ' ' ORDER BY x, i) FROM b WHERE b.k =
   {_strip(_sub(_sub(_strip('l0'), f'(?i)^(?:name)[{_SP}]*{T.DASH}?[{_SP}]*', '', ''), f'^(?:பெயர்)[{_SP}]*{T.DASH}?[{_SP}]*', '', ''))} AS bare, {_md("l0 || '|' || l2 || chr(13) || chr(10) || ' '")} AS md FROM ({X.RECORDS})""",
     "text_markers": f"SELECT k, {_photo('l0')} AS photo, {_match('l2')} <> '' AND {_any(lambda s: f'contains({_match("l2")}, {_q(s)}) OR contains({_q(s)}, {_match("l2")})', _STOPS)} AS stop, CASE WHEN k % 2 = 0 THEN 'Y' ELSE 'N' END AS yn FROM ({X.RECORDS})",
     "text_value_after_colon": f"SELECT k, {_after('l0', L.NAME_PATTERN)} AS name, {_after('l2', L.HOUSE_PATTERN)} AS house FROM ({X.RECORDS})",
-    "text_house_value": f"""WITH t AS (SELECT k, l3, {_HOUSE_GOOD} AS good FROM ({X.RECORDS})), u AS (SELECT k, unnest(good) AS t, generate_subscripts(good, 1) AS i FROM t),
-b AS (SELECT k, t FROM u QUALIFY row_number() OVER (PARTITION BY k ORDER BY length(regexp_replace(t, '[^0-9]', '', 'g')) DESC, length(t) DESC, i) = 1)
-SELECT t.k, coalesce(b.t, '') AS house, CASE WHEN l3 = '' OR {_photo('l3')} THEN '' WHEN {_MALE('lower(l3)')} THEN 'Male' WHEN {_FEMALE('lower(l3)')} THEN 'Female' WHEN {_strip('lower(l3)')} = 'm' THEN 'Male' WHEN {_strip('lower(l3)')} = 'f' THEN 'Female' ELSE '' END AS gender,
-  CASE WHEN {_MALE('lower(l3)')} THEN 'Male' WHEN {_FEMALE('lower(l3)')} THEN 'Female' ELSE {_strip('l3')} END AS gender_raw FROM t LEFT JOIN b USING (k)""",
+    "text_house_value": f"""SELECT k, {_house_value('l2')} AS house, {_gender_value('l3')} AS gender,
+  CASE WHEN {_MALE('lower(l3)')} THEN 'Male' WHEN {_FEMALE('lower(l3)')} THEN 'Female' ELSE {_strip('l3')} END AS gender_raw FROM ({X.RECORDS})""",
     "text_urls": f"SELECT id, CASE WHEN {_TRIMMED} LIKE '%/openai' THEN {_TRIMMED} || '/chat/completions' ELSE {_TRIMMED} END AS chat, CASE WHEN trim(url) = '' THEN '' ELSE rtrim(regexp_replace({_TRIMMED}, '/chat/completions$', ''), '/') || '/' END AS base FROM ({_URL})",
     "boxes_plausible": f"SELECT page, count(*) AS n, sum(x) AS x FROM ({X.BOXES}) WHERE {_BOX_TEST} GROUP BY page",
     "boxes_deduped": f"WITH b AS ({X.BOXES}) {_DEDUPE % 'b'}",
@@ -270,4 +346,20 @@ SELECT k::VARCHAR AS image, {_text(["'# Raw OCR Dump (Detailed)'", "''", "'- **F
 SELECT file, length(markdown) AS chars, md5(markdown) AS digest FROM one""",
     "stats_timing": f"SELECT file, page, count(*) AS images_processed, round(sum(k % 64 / 8.0::DOUBLE), 4) AS total_seconds, round(sum(k % 64 / 8.0::DOUBLE) / count(*), 4) AS avg_seconds_per_image FROM ({X.RECORDS}) GROUP BY file, page",
     "stats_run": f"WITH f AS (SELECT file, count(*) AS n, round(sum(k % 64 / 8.0::DOUBLE), 4) AS s FROM ({X.RECORDS}) GROUP BY file) SELECT count(*) AS files, sum(n)::BIGINT AS images, round(sum(s) / sum(n), 4) AS avg_seconds FROM f",
+    "words_label_span": f"WITH {_SPANS} SELECT k, s.first, s.last FROM (SELECT DISTINCT k FROM w) LEFT JOIN (SELECT * FROM span WHERE field = 'house') s USING (k)",
+    "words_join_value": f"""WITH {_SPANS}, three AS (SELECT 'x' AS field, 24 AS most, * FROM w WHERE line_num = 3)
+SELECT k, coalesce(v, '') AS value FROM (SELECT DISTINCT k FROM w) LEFT JOIN {_value('three', '60')} USING (k)""",
+    "words_fields": f"WITH {_LABELLED} SELECT * FROM by_words",
+    "words_records": f"""WITH {_LABELLED}, {_JOINED},
+pick AS (
+  SELECT r.k, CASE WHEN r.k % 97 = 0 THEN 'OCR failed: x' END AS error, {_epic("'xy8 ' || r.k")} AS epic_no, {_fold(_fold(chr(39) * 2, "'0'"), "right(r.k::VARCHAR, 2)")} AS folded, r.k::VARCHAR AS whole,
+    coalesce(nullif(r.name, ''), b.name) AS name, CASE WHEN r.relation_name <> '' THEN r.relation_type ELSE b.relation_type END AS rt,
+    {_bare_name("CASE WHEN r.relation_name <> '' THEN r.relation_name ELSE b.relation_name END")} AS rn,
+    {_first(["r.house_no", "b.house_no", _house_value("('12o/' || r.k)")])} AS house_no, {_first(["r.age", "b.age"])} AS age, {_first(["r.gender", "b.gender"])} AS gender
+  FROM records r JOIN by_words b USING (k)
+)
+SELECT k, error, coalesce(nullif(folded, ''), {_bare("right(whole, 4)")}) AS serial_no, epic_no, {_VALID.format('epic_no')} AS epic_valid, CASE WHEN error IS NULL THEN name END AS name,
+  CASE WHEN error IS NULL THEN CASE WHEN rn <> '' AND {_photo('rn')} THEN '' ELSE rt END END AS relation_type, CASE WHEN error IS NULL THEN CASE WHEN rn <> '' AND {_photo('rn')} THEN '' ELSE rn END END AS relation_name,
+  CASE WHEN error IS NULL THEN house_no END AS house_no, CASE WHEN error IS NULL THEN age END AS age, CASE WHEN error IS NULL THEN gender END AS gender
+FROM pick""",
 }
