@@ -22,7 +22,7 @@ LEAST = 1.0 / 1024
 SMALL = 200  # documents a group needs for fences of its own
 SPREAD = 4.0  # fences lie this many interquartile ranges outside the quartiles
 #: metric -> (least width of the range that the fences leave outside the quartiles)
-METRICS = {"mean_word": 2.0, "symbol_rate": 0.1, "dup_line_rate": 0.25, "repeat_rate": 0.1}
+METRICS = {"mean_word": 2.0, "symbol_rate": 0.1, "dup_line_rate": 0.25, "repeat_rate": 0.2}
 
 
 def _repeat_words(words: Column) -> Column:
