@@ -8,7 +8,7 @@ line_num, norm, stop) in recognition order, some dozens of words of one image.
 from __future__ import annotations
 
 import re
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,21 +168,36 @@ def next_visual_line(words: Column, label: Column, reach: int = 60) -> Column:
     return T.let(below, nearest)
 
 
-def with_label_values(images: DataFrame, wanted: dict[str, tuple[list[str], int]], next_line: bool = True) -> DataFrame:
+def following_line(words: Column, label: Column) -> Column:
+    """Words of the line numbered next in the label's block and paragraph, by x (an older layout rule)."""
+    return _by_x(F.filter(words, lambda w: (w["block_num"] == label["block_num"]) & (w["par_num"] == label["par_num"]) & (w["line_num"] == label["line_num"] + 1)))
+
+
+def find_token(words: Column, variants: list[str]) -> Column:
+    """The first word that contains a whole label variant or is contained in one; null if none (an older layout rule)."""
+    wanted = F.array(*[F.lit(t) for t in dict.fromkeys(T.normalize_py(v) for v in variants) if t])
+    return F.get(F.filter(words, lambda w: (w["norm"] != "") & F.exists(wanted, lambda t: F.contains(w["norm"], t) | F.contains(t, w["norm"]))), F.lit(0))
+
+
+def with_label_values(
+    images: DataFrame, wanted: dict[str, tuple[list[str], int]], next_line: bool = True, margin: int = -5, below: Callable[[Column, Column], Column] | None = None
+) -> DataFrame:
     """``images`` with a column for each wanted (label variants, longest value): what follows the label.
 
     The value stands on the label's line or, if nothing does, on the next visual line; photo
-    lines give nothing.  Lines, spans and values are built column by column, so that each is
-    planned and evaluated once.
+    lines give nothing.  ``margin`` moves the start of a value from the label's right edge and
+    ``below`` chooses the line to go on with; older layouts use 5 or 10 and following_line.
+    Lines, spans and values are built column by column, so that each is planned and evaluated once.
     """
+    below = below or next_visual_line
     rows = images.withColumn("_lines", visual_lines(F.col("words")))
     rows = rows.withColumns({f"_span_{c}": find_span(F.col("_lines"), variants) for c, (variants, _) in wanted.items()})
     line = lambda c: F.get("_lines", F.col(f"_span_{c}.at"))
     rows = rows.withColumns({f"_own_{c}": F.when(photo_line(line(c)), F.lit(None)).otherwise(line(c)) for c in wanted})
-    start = lambda c: F.greatest(F.lit(0), F.col(f"_span_{c}.last.x") + F.col(f"_span_{c}.last.w") - 5)
+    start = lambda c: F.greatest(F.lit(0), F.col(f"_span_{c}.last.x") + F.col(f"_span_{c}.last.w") + margin)
     rows = rows.withColumns({f"_same_{c}": join_value(F.col(f"_own_{c}"), start(c), most) for c, (_, most) in wanted.items()})
     if next_line:
-        rows = rows.withColumns({f"_next_{c}": F.when(F.col(f"_same_{c}") == "", next_visual_line(F.col("words"), F.col(f"_span_{c}.first"))) for c in wanted})
+        rows = rows.withColumns({f"_next_{c}": F.when(F.col(f"_same_{c}") == "", below(F.col("words"), F.col(f"_span_{c}.first"))) for c in wanted})
         rows = rows.withColumns({
             f"_same_{c}": F.when(F.col(f"_same_{c}") != "", F.col(f"_same_{c}")).when(~photo_line(F.col(f"_next_{c}")), join_value(F.col(f"_next_{c}"), F.lit(0), most))
             for c, (_, most) in wanted.items()

@@ -143,8 +143,12 @@ def value_after_colon(line: Column, label: str) -> Column:
     return strip(F.regexp_replace(value, rf"(?iu)\s*(?:{L.VALUE_CUT}).*$", ""))
 
 
-def clean_house_value(s: Column) -> Column:
-    """The most digit-rich house-like token before a photo marker; ties go to the longer, then the first."""
+def clean_house_value(s: Column, longest: bool = False) -> Column:
+    """The most digit-rich house-like token before a photo marker; ties go to the longer, then the first.
+
+    ``longest`` is an older rule: the longest house-like token, else any token of up to twelve
+    characters with a digit.
+    """
     marks = [match_py(m) for m in L.PHOTO_MARKERS]
 
     def position(norm: Column) -> Column:
@@ -155,9 +159,14 @@ def clean_house_value(s: Column) -> Column:
     head = F.when(at.isNotNull(), strip(F.substring(s, F.lit(1), at - 1))).otherwise(s)
     upper = F.translate(F.regexp_replace(F.upper(head), rf"[^A-Z0-9/\-{SPACE}]", " "), "OI", "01")
     bare = F.transform(F.split(upper, f"[{SPACE}]+"), lambda t: F.regexp_replace(t, "^[/-]+|[/-]+$", ""))
-    good = F.filter(bare, lambda t: t.rlike(r"^[0-9][0-9A-Z/\-]{0,11}$") & ~either([F.contains(t, F.lit(b)) for b in L.HOUSE_BAD_SUBSTRINGS]))
-    ranked = F.transform(good, lambda t, i: F.struct(F.length(F.regexp_replace(t, "[^0-9]", "")).alias("d"), F.length(t).alias("n"), (-i).alias("i"), t.alias("t")))
-    return F.coalesce(F.array_max(ranked)["t"], F.lit(""))
+    clean = F.filter(bare, lambda t: ~either([F.contains(t, F.lit(b)) for b in L.HOUSE_BAD_SUBSTRINGS]))
+    good = F.filter(clean, lambda t: t.rlike(r"^[0-9][0-9A-Z/\-]{0,11}$"))
+    digits = lambda t: F.lit(0) if longest else F.length(F.regexp_replace(t, "[^0-9]", ""))
+    ranked = F.transform(good, lambda t, i: F.struct(digits(t).alias("d"), F.length(t).alias("n"), (-i).alias("i"), t.alias("t")))
+    best = F.array_max(ranked)["t"]
+    if longest:
+        best = F.coalesce(best, F.get(F.filter(clean, lambda t: t.rlike("[0-9]") & (F.length(t) <= 12)), F.lit(0)))
+    return F.coalesce(best, F.lit(""))
 
 
 def map_gender(s: Column, strict: bool = False) -> Column:

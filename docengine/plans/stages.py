@@ -21,6 +21,13 @@ def extract(spark: SparkSession, folder: str, provider: V.PdfProvider, settings:
     return pages.withColumn("name", S.rendered_name(F.col("page")))
 
 
+def embedded_images(spark: SparkSession, folder: str, provider: V.PdfProvider, settings: Settings) -> DataFrame:
+    """Embedded images (input_pdf, page, index, ext, width, height, size, payload, name); the mode "both" also renders."""
+    found = P.first_folders(S.pdfs(spark, folder), settings.limit or None)
+    rows = V.embedded(found.select("file", F.col("path").alias("input_pdf"), "content"), provider)
+    return rows.withColumn("name", S.embedded_name(F.col("page"), F.col("index"), F.col("ext")))
+
+
 def boxes(found: DataFrame, page: list[str]) -> DataFrame:
     """Record boxes of pages from raw line structures, in reading order."""
     return G.reading_order(G.remove_contained(G.dedupe(found.where(G.plausible()), page), page), page)

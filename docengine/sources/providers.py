@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 WORDS = "array<struct<text:string,conf:int,x:int,y:int,w:int,h:int,block_num:int,par_num:int,line_num:int,word_num:int>>"
 OCR_SCHEMA = f"epic_raw string, serial_raw array<string>, serial_fallback string, house_roi string, ocr {WORDS}, error string"
 PAGE_SCHEMA = "page int, png binary, text string"
+IMAGE_SCHEMA = "page int, index int, ext string, width int, height int, size int, payload binary"
 SCORE_SCHEMA = "readable boolean, ink_ratio double, table_line_ratio double"
 ANSWER_SCHEMA = "answer string, prompt_tokens int, completion_tokens int, total_tokens int"
 
@@ -25,6 +26,7 @@ ANSWER_SCHEMA = "answer string, prompt_tokens int, completion_tokens int, total_
 class PdfProvider(Protocol):
     def setup(self) -> None: ...
     def pages(self, content: bytes, dpi: int) -> list[tuple[int, bytes, str]]: ...
+    def images(self, content: bytes) -> list[tuple[int, int, str, int, int, bytes]]: ...
 
 
 class OcrProvider(Protocol):
@@ -47,6 +49,10 @@ class StubPdf:
         return [(i, hashlib.sha256(part + bytes([dpi % 256])).digest(), part.decode("utf-8", "replace")) for i, part in enumerate(content.split(b"\f"), 1)]
 
 
+    def images(self, content: bytes) -> list[tuple[int, int, str, int, int, bytes]]:
+        return [(i, 1, "", len(part), 1, part) for i, part in enumerate(content.split(b"\f"), 1)]
+
+
 class FitzPdf:
     """PyMuPDF."""
 
@@ -61,6 +67,16 @@ class FitzPdf:
             return [(i, p.get_pixmap(matrix=self.fitz.Matrix(zoom, zoom), alpha=False).tobytes("png"), p.get_text()) for i, p in enumerate(doc, 1)]
 
 
+    def images(self, content: bytes) -> list[tuple[int, int, str, int, int, bytes]]:
+        out = []
+        with self.fitz.open(stream=content, filetype="pdf") as doc:
+            for i, page in enumerate(doc, 1):
+                for k, entry in enumerate(page.get_images(full=True), 1):
+                    found = doc.extract_image(entry[0]) or {}
+                    out.append((i, k, found.get("ext") or "", found.get("width") or 0, found.get("height") or 0, found.get("image") or b""))
+        return out
+
+
 class StubOcr:
     """Recognises the content as UTF-8 text: a line of text is a line, a space a word gap."""
 
@@ -106,6 +122,13 @@ def render(pdfs: DataFrame, provider: PdfProvider, dpi: int = 200) -> DataFrame:
     return _spread(pdfs, provider, {"content"}, PAGE_SCHEMA, lambda p, row: [{"page": n, "png": png, "text": text} for n, png, text in p.pages(bytes(row["content"]), dpi)])
 
 
+def embedded(pdfs: DataFrame, provider: PdfProvider) -> DataFrame:
+    """Non-empty images embedded in (.., content)."""
+    names = ["page", "index", "ext", "width", "height"]
+    rows = _spread(pdfs, provider, {"content"}, IMAGE_SCHEMA, lambda p, row: [dict(zip(names, i)) | {"size": len(i[5]), "payload": i[5]} for i in p.images(bytes(row["content"]))])
+    return rows.where("size > 0")
+
+
 def recognise(crops: DataFrame, provider: OcrProvider, languages: str) -> DataFrame:
     """Everything read from a crop in one call; a failure is a row with its error."""
 

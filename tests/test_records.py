@@ -200,3 +200,41 @@ def test_ask_stage_dry_run_and_answer(spark):
     assert [(x["file"], x["front"], x["back"], x["provider"]) for x in plan] == [("f", 1, 2, "(default)")]
     got = stages.ask(pages, scores, done, providers.StubVision(), "p", values, config.Settings()).collect()
     assert len(got) == 1 and '"images":2' in got[0]["document"] and '"ai_metadata"' in got[0]["document"] and got[0]["error"] is None
+
+
+def test_extract_stage_with_stub(spark, tmp_path):
+    from docengine.sources import files
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a b.pdf").write_bytes(b"one\ftwo lines")
+    (tmp_path / "in" / "c.pdf").write_bytes(b"z")
+    (tmp_path / "in" / "d.txt").write_bytes(b"x")
+    settings = config.Settings(extract="both")
+    pages = stages.extract(spark, str(tmp_path / "in"), providers.StubPdf(), settings)
+    images = stages.embedded_images(spark, str(tmp_path / "in"), providers.StubPdf(), settings)
+    assert sorted((p["file"], p["name"], p["text"]) for p in pages.collect()) == [("a_b", "page-001.png", "one"), ("a_b", "page-002.png", "two lines"), ("c", "page-001.png", "z")]
+    assert sorted(i["name"] for i in images.collect()) == ["page-001-img-01.bin", "page-001-img-01.bin", "page-002-img-01.bin"]
+    made = {m["input_pdf"].rsplit("/", 1)[1]: m for m in files.manifests(pages, images).collect()}
+    assert [made[k]["pages"] for k in sorted(made)] == [2, 1] and len(made[sorted(made)[0]]["images"]) == 2
+    text = files.combined_text(pages.where("file = 'a_b'")).head()["text"]
+    assert text["combined"] == "one\ntwo lines" and [p["chars"] for p in text["pages"]] == [3, 9]
+
+
+def test_older_rules(spark):
+    rows = [(1, i, t, 90, 60 * i, 0, 5 * len(t), 20, 1, 1, 1) for i, t in enumerate(["House", "No"])] + [(1, 5, "7/B", 90, 0, 300, 9, 20, 1, 1, 2)]
+    table = spark.createDataFrame(rows, "k int, i int, text string, conf int, x int, y int, w int, h int, block_num int, par_num int, line_num int")
+    images = W.word_arrays(table, ["k"])
+    wanted = {"house": (L.HOUSE_LABELS, 80)}
+    assert fields.with_label_values(images, wanted).head()["house"] == ""
+    assert fields.with_label_values(images, wanted, margin=10, below=fields.following_line).head()["house"] == "7/B"
+    assert images.select(fields.find_token(F.col("words"), ["no"])["text"].alias("t")).head()["t"] == "No"
+    assert one(spark, T.clean_house_value(F.col("v"), longest=True), v="A7 1 22B") == "22B" and one(spark, T.clean_house_value(F.col("v"), longest=True), v="AB7") == "AB7"
+
+
+def test_grid_records_and_text(spark):
+    table = spark.createDataFrame([("i", "no 12", "ab8 12O", "N", "F", "12 o/a", "4 5", "female"), ("j", "", "", "", "", "", "", "zz")], "image string, serial string, epic string, name string, father_name string, house_no string, age string, gender string")
+    got = {g["image"]: g for g in stages.grid_records(table).collect()}
+    assert (got["i"]["serial_no"], got["i"]["epic_no"], got["i"]["house_no"], got["i"]["age"], got["i"]["gender"]) == ("12", "ABB120", "120/A", "45", "Male")
+    assert "check EPIC" not in got["i"]["markdown"] and "check EPIC" not in got["j"]["markdown"] and got["j"]["gender"] == "zz"
+    texts = spark.createDataFrame([(" a ", None), (" ", None), (None, "boom")], "t string, e string").select(stages.page_text(F.col("t"), F.col("e")).alias("x")).collect()
+    assert [t["x"] for t in texts] == ["a", "[No text detected]", "[Error processing image: boom]"]
