@@ -14,8 +14,13 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def sample(rows: DataFrame, most: int, *columns: str) -> list:
-    """Up to ``most`` rows by the order of a hash of doc_id: the same rows in each run, and no sort of the table."""
-    fit = rows.where(F.length("text").between(1, LONGEST))
+def sample(ids: DataFrame, docs: DataFrame, most: int, *columns: str) -> list:
+    """Rows of ``docs`` for up to ``most`` of the doc_ids in ``ids``, chosen by a hash: the same in each run.
+
+    The choice is a top-k over ids alone; at most ``most`` ids are then broadcast, so no text is
+    shuffled and only the sample's texts come to the driver.
+    """
     key = F.xxhash64("doc_id", F.lit(11))
-    return fit.select(*columns, "doc_id", key.alias("_k")).orderBy("_k", "doc_id").limit(most).collect()
+    chosen = ids.where("doc_id is not null").select("doc_id", key.alias("_k")).orderBy("_k", "doc_id").limit(most).select("doc_id").distinct()
+    fit = docs.where(F.length("text").between(1, LONGEST)).select("doc_id", *columns)
+    return sorted(fit.join(F.broadcast(chosen), "doc_id", "left_semi").limit(most).collect(), key=lambda r: (r["doc_id"], r[1]))

@@ -159,8 +159,8 @@ def _step(model: Model, store: tuple, rows: np.ndarray, y: np.ndarray, rate: flo
 
 
 def train(docs: DataFrame, most: int = SAMPLE) -> Model:
-    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    rows = sample(known, most, "text", "lang")
+    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    rows = sample(known, known, most, "text", "lang")
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 

@@ -53,7 +53,7 @@ def encode(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64(VOCABULARY - 1)).astype(np.int64)
+    return (hashes & np.uint64(VOCABULARY - 1)).astype(np.int32)
 
 
 def _pool(values: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
@@ -244,22 +244,33 @@ def _cut(logits: np.ndarray, y: np.ndarray, prior: float) -> float:
     return float(cuts[np.argmin(np.abs(cuts - prior))])
 
 
+def _judged(model: Model, hashes: np.ndarray, first: np.ndarray, rows: np.ndarray, step: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Logits and guessed languages of some texts, a few at a time, so that memory does not follow the sample."""
+    logits, langs = [], []
+    for i in range(0, len(rows), step):
+        own = [hashes[first[d] : first[d + 1]] for d in rows[i : i + step]]
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in own])])
+        flat = np.concatenate(own)
+        logits.append(model.logits(flat, bounds))
+        langs.append(model.language(flat, bounds))
+    return np.concatenate(logits), np.concatenate(langs)
+
+
 def _calibrate(model: Model, hashes: np.ndarray, first: np.ndarray, y: np.ndarray, rows: np.ndarray) -> None:
-    logits, lang = model.logits(hashes, first), model.language(hashes, first)
-    pooled = _cut(logits[rows], y[rows], 0.0)
+    logits, lang = _judged(model, hashes, first, rows)
+    pooled = _cut(logits, y[rows], 0.0)
     model.cuts = np.full(max(len(model.langs), 1), pooled, np.float32)
     for k in range(len(model.langs)):
-        own = rows[lang[rows] == k]
-        if ENOUGH <= y[own].sum() < len(own):
-            model.cuts[k] = _cut(logits[own], y[own], pooled)
+        own = lang == k
+        if ENOUGH <= y[rows][own].sum() < own.sum():
+            model.cuts[k] = _cut(logits[own], y[rows][own], pooled)
 
 
 def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative: int = NEGATIVE) -> Model:
     """A model from a bounded sample of the labelled rows outside the held-out fold."""
-    rows = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
-    known = docs.select("doc_id", "text", "lang").join(rows, "doc_id")
-    pos = sample(known.where("toxic = 1"), positive, "text", "lang")
-    neg = sample(known.where("toxic = 0"), negative, "text", "lang")
+    rows = labels.where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    pos = sample(rows.where("toxic = 1"), docs, positive, "text", "lang")
+    neg = sample(rows.where("toxic = 0"), docs, negative, "text", "lang")
     return fit([r["text"] for r in pos + neg], [1] * len(pos) + [0] * len(neg), [r["lang"] for r in pos + neg])
 
 
