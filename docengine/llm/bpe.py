@@ -23,8 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-STATES = 200_000
-PIECES = 300_000
+STATES = 120_000
+PIECES = 450_000
 CHUNK = 50_000  # pieces or tokens that are handled at once
 
 
