@@ -26,6 +26,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # targets share 3/2 of all sizes
 LIMIT = 2
 DRAWS = 8
+SALTS = 32
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -93,7 +94,7 @@ def mix(docs: DataFrame, draws: int = DRAWS, **how) -> DataFrame:
     share one uniform number, hence their copies.  Columns of ``docs`` that clash with the
     names above are replaced.  An empty table gives an empty result.
     """
-    docs = docs.drop("size", "source_size", "target", "copies")
+    docs = docs.drop("size", "source_size", "target", "copies", "salt", "rate", "draw", "to")
     sized = docs.withColumn("size", size_of(F.col("text")))
     narrow = materialise(sized.select("doc_id", "source", "size"))
     goal = materialise(targets(narrow, **how))
@@ -104,16 +105,21 @@ def mix(docs: DataFrame, draws: int = DRAWS, **how) -> DataFrame:
     def copies(draw: int) -> Column:
         return floor + (uniform(F.col("doc_id"), draw) < F.col("rate") - floor).cast("long")
 
+    # A hot source is spread over SALTS groups; the source table, a row a source, is repeated for each.
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("to_salt")
+    same = F.col("source").eqNullSafe(F.col("to")) & (F.col("salt") == F.col("to_salt"))
     aims = goal.withColumnRenamed("source", "to")
-    same = F.col("source").eqNullSafe(F.col("to"))
-    drawn = narrow.join(aims, same).groupBy("to").agg(
-        *[F.sum(copies(k) * F.col("size")).alias(f"d{k}") for k in range(draws)], F.first("target").alias("aim")
+    drawn = (
+        narrow.withColumn("salt", salt).join(aims.select("*", every), same).groupBy("to", "salt")
+        .agg(*[F.sum(copies(k) * F.col("size")).alias(f"d{k}") for k in range(draws)], F.first("target").alias("aim"))
+        .groupBy("to").agg(*[F.sum(f"d{k}").alias(f"d{k}") for k in range(draws)], F.first("aim").alias("aim"))
     )
     off = [F.struct(F.abs(F.col(f"d{k}") - F.col("aim")).alias("off"), F.lit(k).alias("draw")) for k in range(draws)]
     best = materialise(drawn.select(F.col("to").alias("for"), (F.least(*off) if draws > 1 else off[0])["draw"].alias("draw")))
-    aims = aims.join(best, F.col("to").eqNullSafe(F.col("for"))).drop("for")
+    aims = aims.join(best, F.col("to").eqNullSafe(F.col("for"))).drop("for").select("*", every)
     chosen = F.coalesce(*[F.when(F.col("draw") == k, copies(k)) for k in range(draws)])
-    return sized.join(aims, same).withColumn("copies", chosen).drop("to", "rate", "draw")
+    return sized.withColumn("salt", salt).join(aims, same).withColumn("copies", chosen).drop("to", "to_salt", "salt", "rate", "draw")
 
 
 def emit(mixed: DataFrame) -> DataFrame:
