@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +27,12 @@ def sample(ids: DataFrame, docs: DataFrame, most: int, *columns: str) -> list:
     chosen = ids.where("doc_id is not null").select("doc_id", key.alias("_k")).orderBy("_k", "doc_id").limit(most).select("doc_id").distinct()
     fit = docs.where(F.length("text").between(1, LONGEST)).select("doc_id", *columns)
     return sorted(fit.join(F.broadcast(chosen), "doc_id", "left_semi").limit(most).collect(), key=lambda r: (r["doc_id"], r[1]))
+
+
+def release() -> None:
+    """Give the memory of a finished training back to the system, where the C library can."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: nothing to give back

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.folds import held_out, sample
+from docengine.llm.folds import held_out, release, sample
 from docengine.llm.textkit import buffers, slices
 
 WINDOW = 256
@@ -161,7 +161,10 @@ def _step(model: Model, store: tuple, rows: np.ndarray, y: np.ndarray, rate: flo
 def train(docs: DataFrame, most: int = SAMPLE) -> Model:
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     rows = sample(known, known, most, "text", "lang")
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+    model = fit([r["text"] for r in rows], [r["lang"] for r in rows])
+    del rows
+    release()
+    return model
 
 
 def _predict(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray]:

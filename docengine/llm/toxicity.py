@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.folds import held_out, sample
+from docengine.llm.folds import held_out, release, sample
 from docengine.llm.textkit import LOWER_CODES, buffers, hash_spans, slices, words
 
 VOCABULARY = 1 << 17
@@ -271,7 +271,11 @@ def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative
     rows = labels.where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
     pos = sample(rows.where("toxic = 1"), docs, positive, "text", "lang")
     neg = sample(rows.where("toxic = 0"), docs, negative, "text", "lang")
-    return fit([r["text"] for r in pos + neg], [1] * len(pos) + [0] * len(neg), [r["lang"] for r in pos + neg])
+    rows = pos + neg
+    model = fit([r["text"] for r in rows], [1] * len(pos) + [0] * len(neg), [r["lang"] for r in rows])
+    del pos, neg, rows
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
