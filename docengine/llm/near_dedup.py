@@ -3,18 +3,17 @@
 Every text is reduced to its distinct 5-word shingles and K minwise tokens.  Texts with the
 same shingle set form one class, and only classes are compared.  A tree node branches on one
 of the K coordinates, chosen by a hash of the node's path: classes go on together as long as
-they have the same minwise token there.  Nodes of up to LEAF classes are compared
-exhaustively by their minwise tokens, and each class gives its best partners in every presumed
-component of the node; larger nodes link every class with one leader and branch on, TREES
-independent trees in all.  Candidate pairs with an estimate of EST or more
-are confirmed on the full shingle sets: first one edge per class (its best smaller partner),
-then whatever pairs still join different components.
+they have the same minwise token there.  Nodes of up to LEAF classes are
+compared exhaustively; larger nodes are dealt into groups that share the node's leader, and
+branch on, TREES independent trees in all.  Every pair with an estimate of EST or more is
+tested on the full shingle sets, unless links confirmed before already connect it.
 
 Scale: classes are a partial aggregation, so thousands of copies are one row per map task.
 Nodes are counted by partial aggregates and joined back (a skewed left side of an inner join).
-A node that already is one presumed component (links of PRESUME or more) is pruned, so a huge
-group of near copies costs one leader link per member and never its pairs.  What is left of a
-large node beside its leader's component is compared in chunks against all of it.
+Groups of classes that several trees find are one group, and a group gives fewer links than it
+has classes, so pairs are never rows.  Presumed links (PRESUME or more) prune: a node that is one presumed
+component is dropped, and what is left of a large node beside its main component is compared
+in chunks against all of it.
 
 Recall: a pair of similarity s misses the first branch of all trees with (1 - s) ** TREES,
 1.5e-5 at 0.75; the estimate falls below EST with about 1e-6.
@@ -44,7 +43,6 @@ BRANCHES = 2
 DEPTH = 4
 EST = 0.5
 PRESUME = 0.82
-BEST = 2  # partners that a class keeps from one presumed component of a node, or from one chunk
 
 _A = mix(np.arange(1, K + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -128,54 +126,89 @@ def _node_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterato
         yield from runs(rest.combine_chunks(), True)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a node: everything marked ``rest`` against each other and against the others."""
+def _equal(tokens: np.ndarray, i: int) -> np.ndarray:
+    """Equal minwise tokens of row ``i`` with every row, none with itself."""
+    same = (tokens == tokens[i]).sum(axis=1)
+    same[i] = 0
+    return same
+
+
+def _joined(cluster: np.ndarray, i: int, hit: np.ndarray) -> np.ndarray:
+    """``cluster`` with the clusters of ``hit`` merged into that of ``i``."""
+    return np.where(np.isin(cluster, cluster[hit]), cluster[i], cluster)
+
+
+def _active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of a node that have a pair to confirm, as one group for each set of classes that such pairs connect.
+
+    A pair counts if the estimate is EST or more, one side is marked ``rest`` and the confirmed
+    components differ.  A group is named by its members, so trees that find the same one share it.
+    """
     out: list[np.ndarray] = []
 
     def flush():
         a = np.concatenate(out, axis=1)
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(a[0]), pa.array(a[1]), pa.array(a[2].astype(np.int32))], names=["c1", "c2", "same"])
+        return pa.RecordBatch.from_arrays([pa.array(a[0]), pa.array(a[1]), pa.array(a[2]), pa.array(a[3].astype(bool))], names=["grp", "cid", "comp", "rest"])
 
-    for cid, rest, part, raw in _node_groups(batches, ["cid", "rest", "part", "tokens"]):
+    for cid, comp, rest, raw in _node_groups(batches, ["cid", "comp", "rest", "tokens"]):
         tokens = np.frombuffer(b"".join(raw), np.int32).reshape(len(cid), K)
-        own = np.flatnonzero(rest)
-        chunked = len(own) < len(cid)
-        cluster = np.arange(len(cid))  # presumed components of what has been compared
-        for i in own:
-            same = (tokens == tokens[i]).sum(axis=1)
-            same[i] = 0
-            if chunked:
-                if part[0]:
-                    same[own] = 0
-                else:
-                    same[own[own < i]] = 0
-            else:
-                same[i:] = 0
-            hit = np.flatnonzero(same >= EST * K)
-            if not len(hit):
-                continue
-            hit = hit[np.argsort(-same[hit], kind="stable")]
-            if chunked:
-                hit = hit[:BEST]
-            else:
-                # The best partners in each presumed component: a dense node costs a few pairs a class.
-                group = cluster[hit]
-                near = np.unique(group[same[hit] >= PRESUME * K])
-                place = np.argsort(group, kind="stable")
-                rank = np.empty(len(hit), np.int64)
-                rank[place] = np.arange(len(hit)) - np.searchsorted(group[place], group[place])
-                hit = hit[rank < BEST]
-                cluster[np.isin(cluster, near)] = cluster[i]
-            a, b = np.full(len(hit), cid[i], np.int64), cid[hit].astype(np.int64)
-            out.append(np.stack([np.minimum(a, b), np.maximum(a, b), same[hit].astype(np.int64)]))
+        cluster = np.arange(len(cid))
+        for i in np.flatnonzero(rest):
+            hit = np.flatnonzero((_equal(tokens, i) >= EST * K) & (comp != comp[i]))
+            if len(hit):
+                cluster = _joined(cluster, i, hit)
+        names, of, size = np.unique(cluster, return_inverse=True, return_counts=True)
+        marks = mix(cid.astype(np.uint64) * np.uint64(2) + rest.astype(np.uint64))
+        name = np.zeros(len(names), np.uint64)
+        np.add.at(name, of, marks)
+        good = size[of] > 1
+        if good.any():
+            out.append(np.stack([mix(name)[of][good].view(np.int64), cid[good].astype(np.int64), comp[good].astype(np.int64), rest[good].astype(np.int64)]))
         if len(out) > 5000:
             yield flush()
     if out:
         yield flush()
 
 
-_PAIRS = "c1 long, c2 long, same int"
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two full sets have the asked similarity."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if 100 * len(small) < PERCENT * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    common = int((large[at] == small).sum())
+    return 100 * common >= PERCENT * (len(a) + len(b) - common)
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the groups, confirmed on the full sets.
+
+    Every pair of a group that counts (see _active) is tested, best estimates first, unless
+    links confirmed before connect it: a group gives fewer links than it has classes.
+    """
+    left, right = [], []
+    for cid, comp, rest, raw, packed in _node_groups(batches, ["cid", "comp", "rest", "tokens", "set"]):
+        tokens = np.frombuffer(b"".join(raw), np.int32).reshape(len(cid), K)
+        _, cluster = np.unique(comp, return_inverse=True)
+        for i in np.flatnonzero(rest):
+            same = _equal(tokens, i)
+            hit = np.flatnonzero((same >= EST * K) & (cluster != cluster[i]) & (~rest | (np.arange(len(cid)) < i)))
+            hit = hit[np.argsort(-same[hit], kind="stable")]
+            own = np.frombuffer(packed[i], np.uint64)
+            while len(hit):
+                j, hit = hit[0], hit[1:]
+                if _similar(own, np.frombuffer(packed[j], np.uint64)):
+                    left.append(min(cid[i], cid[j]))
+                    right.append(max(cid[i], cid[j]))
+                    cluster = _joined(cluster, i, np.array([j]))
+                    hit = hit[cluster[hit] != cluster[i]]
+        if len(left) > 50_000:
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["c1", "c2"])
+            left, right = [], []
+    if left:
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["c1", "c2"])
 
 
 def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,26 +221,10 @@ def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(same[good])], names=["c1", "c2", "same"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose full sets have the asked similarity."""
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("s1"), batch.column("s2")):
-            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            small, large = (a, b) if len(a) <= len(b) else (b, a)
-            common = 0
-            if 100 * len(small) >= PERCENT * len(large):
-                at = np.searchsorted(large, small)
-                at[at == len(large)] = 0
-                common = int((large[at] == small).sum())
-            keep.append(100 * common >= PERCENT * (len(a) + len(b) - common))
-        yield batch.select(["c1", "c2"]).filter(pa.array(keep, pa.bool_()))
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [own.tobytes() for own in column_sets(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["cid", "set"])
+        sets = [own.tobytes() for own in column_sets(batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], names=["cid", "tokens", "set"])
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
@@ -216,71 +233,71 @@ def _nodes(rows: DataFrame) -> DataFrame:
     return materialise(rows.join(stat, "key"))
 
 
-def _in_nodes(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs of rows (cid, key, part, rest): nodes meet in one sorted partition."""
+def _groups(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Groups to confirm of rows (cid, key, part, comp, rest): nodes meet in one sorted partition."""
     met = rows.join(classes.select("cid", "tokens"), "cid").repartition("key", "part").sortWithinPartitions("key", "part")
-    return materialise(met.select("key", "part", "cid", "rest", "tokens").mapInArrow(_compare, _PAIRS))
+    return met.select("key", "part", "cid", "comp", "rest", "tokens").mapInArrow(_active, "grp long, cid long, comp long, rest boolean").distinct()
+
 
+def _confirmed(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links (c1, c2) of groups (grp, cid, comp, rest)."""
+    met = groups.join(sets, "cid").withColumnRenamed("grp", "key").withColumn("part", F.lit(0)).repartition("key").sortWithinPartitions("key")
+    return materialise(met.select("key", "part", "cid", "comp", "rest", "tokens", "set").mapInArrow(_verify, "c1 long, c2 long"))
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """(c1, c2, same): pairs that the trees find, with the number of equal minwise tokens."""
+
+def _led(large: DataFrame) -> DataFrame:
+    """Groups of about LEAF classes that share a leader, each with the leader."""
+    led = large.select("leader", "cid").distinct()
+    count = F.expr(f"cast(ceil(m / {LEAF}) as int)")
+    spread = F.when(F.col("cid") == F.col("leader"), F.sequence(F.lit(0), count - 1)).otherwise(F.array(F.pmod(F.xxhash64("cid"), count).cast("int")))
+    parts = led.join(led.groupBy("leader").agg(F.count("*").alias("m")), "leader").select("leader", "cid", F.explode(spread).alias("part"))
+    return parts.select(F.xxhash64("leader", "part").alias("grp"), "cid", F.col("cid").alias("comp"), F.lit(True).alias("rest"))
+
+
+def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Confirmed links between classes that connect every component that the trees find."""
     roots = [int(x) for x in mix(np.arange(1, TREES + 1, dtype=np.uint64)) % np.uint64(K)]
     first = F.explode(F.array(*[F.xxhash64(F.lit(t), F.lit(c), _token(F.lit(c))) for t, c in enumerate(roots)]))
-    rows = classes.select("cid", first.alias("key"))
-    parts, depth, label = [], 0, None
+    rows = _nodes(classes.select("cid", first.alias("key")))
+    alone = [F.lit(0).alias("part"), F.lit(True).alias("rest")]
+    large = rows.where(F.col("n") > LEAF)
+    groups = materialise(_groups(rows.where(F.col("n") <= LEAF).select("cid", "key", F.col("cid").alias("comp"), *alone), classes))
+    # Deeper nodes only hold classes of the large nodes, so these sets serve all levels.
+    need = groups.select("cid").union(large.select("cid")).distinct().join(classes.select("cid", "t1", "t2", "tokens"), "cid")
+    texts = docs.where("text is not null").select(*_text_key(), "text").groupBy("t1", "t2").agg(F.first("text").alias("text"))
+    sets = materialise(need.join(texts, ["t1", "t2"]).select("cid", "tokens", "text").mapInArrow(_sets, "cid long, tokens binary, set binary"))
+    if large.limit(1).count() == 0:
+        return _confirmed(groups, sets)
+    parts = [_confirmed(groups.unionByName(_led(large)), sets)]
     heads = classes.select(F.col("cid").alias("leader"), F.col("tokens").alias("others"))
+    led = large.where("cid <> leader").select("cid", "leader").distinct().join(heads, "leader").join(classes.select("cid", "tokens"), "cid")
+    presumed = led.select("cid", "leader", "tokens", "others").mapInArrow(_same, "c1 long, c2 long, same int")
+    label = components(presumed.where(F.col("same") >= PRESUME * K)).withColumnRenamed("id", "cid")
+    depth = 0
     while True:
-        rows = _nodes(rows)
-        small = rows.where(F.col("n") <= LEAF).select("cid", "key", F.lit(0).alias("part"), F.lit(True).alias("rest"))
-        parts.append(_in_nodes(small, classes))
-        large = rows.where(F.col("n") > LEAF)
-        if large.limit(1).count() == 0:
-            break
-        if label is None:
-            # The large nodes of all trees' first branches give each dense group several leaders; their links serve all levels.
-            led = large.where("cid <> leader").select("cid", "leader").distinct().join(heads, "leader").join(classes.select("cid", "tokens"), "cid")
-            parts.append(materialise(led.select("cid", "leader", "tokens", "others").mapInArrow(_same, _PAIRS)))
-            label = components(reduce(DataFrame.unionByName, parts).where(F.col("same") >= PRESUME * K)).withColumnRenamed("id", "cid")
         owned = large.join(label, "cid", "left").select("cid", "key", "n", F.coalesce("comp", "cid").alias("comp"))
         # The component with the most classes of a node counts as its dense part; any choice is right, this one leaves the least.
         main = owned.groupBy("key", "comp").agg(F.count("*").alias("own")).groupBy("key").agg(F.max(F.struct("own", "comp")).alias("main"))
         rest = (F.col("comp") != F.col("main.comp")).alias("rest")
-        owned = materialise(owned.join(main, "key").where("main.own < n").select("cid", "key", "n", rest, (F.col("n") - F.col("main.own")).alias("others")))
+        owned = materialise(owned.join(main, "key").where("main.own < n").select("cid", "key", "n", "comp", rest, (F.col("n") - F.col("main.own")).alias("others")))
         depth += 1
         last = depth == DEPTH
         ready = owned if last else owned.where(F.col("others") <= LEAF)
         count = F.expr(f"cast(ceil(n / {CHUNK}) as int)")
         spread = F.when(F.col("rest"), F.sequence(F.lit(0), count - 1)).otherwise(F.array(F.pmod(F.xxhash64("cid"), count).cast("int")))
-        parts.append(_in_nodes(ready.select("cid", "key", "rest", F.explode(spread).alias("part")), classes))
+        parts.append(_confirmed(_groups(ready.select("cid", "key", "comp", "rest", F.explode(spread).alias("part")), classes), sets))
         if last:
             break
         branch = F.explode(F.sequence(F.lit(1), F.lit(BRANCHES)))
         rows = owned.where(F.col("others") > LEAF).select("cid", "key", branch.alias("b")).join(classes.select("cid", "tokens"), "cid")
         at = F.pmod(F.xxhash64("key", "b"), F.lit(K)).cast("int")
-        rows = rows.withColumn("at", at).select("cid", F.xxhash64("key", "at", F.expr("substring(tokens, at * 4 + 1, 4)")).alias("key")).distinct()
-    return materialise(reduce(DataFrame.unionByName, parts).distinct())
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    one = sets.select(F.col("cid").alias("c1"), F.col("set").alias("s1"))
-    two = sets.select(F.col("cid").alias("c2"), F.col("set").alias("s2"))
-    return materialise(pairs.select("c1", "c2").join(one, "c1").join(two, "c2").mapInArrow(_confirm, "c1 long, c2 long"))
-
-
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Confirmed links between classes that connect every component."""
-    pairs = candidates(classes)
-    need = pairs.select(F.col("c1").alias("cid")).union(pairs.select("c2")).distinct()
-    need = need.join(classes.select("cid", "t1", "t2"), "cid")
-    texts = docs.where("text is not null").select(*_text_key(), "text").groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    sets = materialise(need.join(texts, ["t1", "t2"]).select("cid", "text").mapInArrow(_sets, "cid long, set binary"))
-    chosen = pairs.groupBy(F.col("c2")).agg(F.max(F.struct("same", "c1")).alias("best")).select(F.col("best.c1").alias("c1"), "c2")
-    good = _confirmed(chosen, sets)
-    label = components(good)
-    left = label.select(F.col("id").alias("c1"), F.col("comp").alias("l1"))
-    right = label.select(F.col("id").alias("c2"), F.col("comp").alias("l2"))
-    apart = pairs.join(left, "c1", "left").join(right, "c2", "left").where(F.coalesce("l1", "c1") != F.coalesce("l2", "c2")).select("c1", "c2")
-    return good.unionByName(_confirmed(apart.join(chosen, ["c1", "c2"], "left_anti"), sets))
+        rows = _nodes(rows.withColumn("at", at).select("cid", F.xxhash64("key", "at", F.expr("substring(tokens, at * 4 + 1, 4)")).alias("key")).distinct())
+        small = rows.where(F.col("n") <= LEAF).join(label, "cid", "left").select("cid", "key", F.coalesce("comp", "cid").alias("comp"), *alone)
+        parts.append(_confirmed(_groups(small, classes), sets))
+        large = rows.where(F.col("n") > LEAF)
+        if large.limit(1).count() == 0:
+            break
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def near_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
