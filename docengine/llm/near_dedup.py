@@ -11,7 +11,7 @@ tested on the full shingle sets, unless links confirmed before already connect i
 Scale: classes are a partial aggregation, so thousands of copies are one row per map task.
 Nodes are counted by partial aggregates and joined back (a skewed left side of an inner join).
 Groups of classes that several trees find are one group, and a group gives fewer links than it
-has classes, so pairs are never rows.  Presumed links (PRESUME or more) prune: a node that is one presumed
+has classes, so pairs are never rows.  Only confirmed links prune: a node that is one confirmed
 component is dropped, and what is left of a large node beside its main component is compared
 in chunks against all of it.
 
@@ -42,7 +42,6 @@ CHUNK = 1024
 BRANCHES = 2
 DEPTH = 4
 EST = 0.5
-PRESUME = 0.82
 
 _A = mix(np.arange(1, K + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -211,16 +210,6 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["c1", "c2"])
 
 
-def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Estimates of given pairs (cid, leader) from both token strings."""
-    for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32).reshape(-1, K) for c in ("tokens", "others"))
-        same = (a == b).sum(axis=1).astype(np.int32)
-        good = same >= EST * K
-        x, y = batch.column("cid").to_numpy()[good], batch.column("leader").to_numpy()[good]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(same[good])], names=["c1", "c2", "same"])
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [own.tobytes() for own in column_sets(batch.column(2))]
@@ -269,10 +258,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     if large.limit(1).count() == 0:
         return _confirmed(groups, sets)
     parts = [_confirmed(groups.unionByName(_led(large)), sets)]
-    heads = classes.select(F.col("cid").alias("leader"), F.col("tokens").alias("others"))
-    led = large.where("cid <> leader").select("cid", "leader").distinct().join(heads, "leader").join(classes.select("cid", "tokens"), "cid")
-    presumed = led.select("cid", "leader", "tokens", "others").mapInArrow(_same, "c1 long, c2 long, same int")
-    label = components(presumed.where(F.col("same") >= PRESUME * K)).withColumnRenamed("id", "cid")
+    label = components(parts[0]).withColumnRenamed("id", "cid")
     depth = 0
     while True:
         owned = large.join(label, "cid", "left").select("cid", "key", "n", F.coalesce("comp", "cid").alias("comp"))
