@@ -216,6 +216,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], names=["cid", "tokens", "set"])
 
 
+def root_coordinates() -> list[int]:
+    """The coordinates that the trees' first nodes branch on, drawn without replacement."""
+    return [int(x) for x in np.argsort(mix(np.arange(1, K + 1, dtype=np.uint64)))[:TREES]]
+
+
 def _nodes(rows: DataFrame) -> DataFrame:
     """Rows of nodes with two classes or more, with the node's count and leader."""
     stat = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("cid").alias("leader")).where("n > 1")
@@ -245,7 +250,7 @@ def _led(large: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Confirmed links between classes that connect every component that the trees find."""
-    roots = [int(x) for x in mix(np.arange(1, TREES + 1, dtype=np.uint64)) % np.uint64(K)]
+    roots = root_coordinates()
     first = F.explode(F.array(*[F.xxhash64(F.lit(t), F.lit(c), _token(F.lit(c))) for t, c in enumerate(roots)]))
     rows = _nodes(classes.select("cid", first.alias("key")))
     alone = [F.lit(0).alias("part"), F.lit(True).alias("rest")]

@@ -29,3 +29,7 @@ def test_near_dedup_links_variants_around_the_threshold(spark, n):
     assert len({c for c, _ in want}) > 20
     got = near_dedup.near_dedup(spark.createDataFrame(made, "doc_id long, text string")).collect()
     assert Counter((g["component_id"], g["n_shingles"], g["doc_id"]) for g in got) == Counter((c, n, i) for (c, n), (i, _) in zip(want, made))
+
+
+def test_near_dedup_trees_have_roots_of_their_own():
+    assert len(set(near_dedup.root_coordinates())) == near_dedup.TREES
