@@ -1,4 +1,4 @@
-"""Making the package importable for Python workers."""
+"""Making the package importable for Python workers, and bounding what they are sent at once."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ import os
 
 from pyspark.sql import SparkSession
 
+#: Arrow batches end at so many rows or bytes, so long texts don't add up in a worker's memory.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -15,3 +18,6 @@ def ship(spark: SparkSession) -> None:
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+    for name, most in BATCHES.items():  # what the session sets itself stays
+        if name not in spark.conf.getAll:
+            spark.conf.set(name, most)
