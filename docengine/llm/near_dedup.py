@@ -3,20 +3,27 @@
 Every text is reduced to its distinct 5-word shingles and K minwise tokens.  Texts with the
 same shingle set form one class, and only classes are compared.  A tree node branches on one
 of the K coordinates, chosen by a hash of the node's path: classes go on together as long as
-they have the same minwise token there.  Nodes of up to LEAF classes are
-compared exhaustively; larger nodes are dealt into groups that share the node's leader, and
-branch on, TREES independent trees in all.  Every pair with an estimate of EST or more is
-tested on the full shingle sets, unless links confirmed before already connect it.
+they have the same minwise token there.  Small nodes (LEAF classes and WEIGHT shingles) are
+compared exhaustively, larger ones branch on, in TREES independent trees.  Every pair with an
+estimate of EST or more is tested on the full shingle sets, unless links confirmed before
+already connect it.
+
+Large nodes.  Copies of one text agree nearly everywhere, so branching alone would not part
+them.  Each large node is first dealt into groups of the small size that share the node's
+leader and are compared exhaustively.  Only confirmed links then prune: a node that is one
+confirmed component is dropped, and of the others only pairs with a class outside the node's
+largest component are left.  If LEAF such classes or fewer are left, or at the last level, the
+node is compared whole, in blocks: every pair of a left class with any class of the node meets
+in a block, so nothing is capped.
 
 Scale: classes are a partial aggregation, so thousands of copies are one row per map task.
 Nodes are counted by partial aggregates and joined back (a skewed left side of an inner join).
-Groups of classes that several trees find are one group, and a group gives fewer links than it
-has classes, so pairs are never rows.  Only confirmed links prune: a node that is one confirmed
-component is dropped, and what is left of a large node beside its main component is compared
-in chunks against all of it.
+Nodes meet as tokens (256 bytes a class); only classes with a pair to confirm fetch their sets,
+in groups that several trees share, and a group gives fewer links than it has classes.
 
 Recall: a pair of similarity s misses the first branch of all trees with (1 - s) ** TREES,
-1.5e-5 at 0.75; the estimate falls below EST with about 1e-6.
+1.5e-5 at 0.75; below, BRANCHES independent branches a level keep it with 0.89 a tree
+(1.5e-4 are missed over all trees).  The estimate falls below EST with about 1e-6.
 """
 
 from __future__ import annotations
@@ -26,7 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docengine.llm.common import materialise
@@ -37,10 +44,10 @@ WIDTH = 5
 PERCENT = 75
 K = 64
 TREES = 8
-LEAF = 128
-CHUNK = 1024
+LEAF = 2048
+WEIGHT = 2_000_000
 BRANCHES = 2
-DEPTH = 4
+DEPTH = 6
 EST = 0.5
 
 _A = mix(np.arange(1, K + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -93,7 +100,7 @@ def _text_key() -> list:
     return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(7), F.reverse("text")).alias("t2")]
 
 
-def _token(at) -> F.col:
+def _token(at: Column) -> Column:
     """The token at coordinate ``at`` as its four bytes."""
     return F.substring(F.col("tokens"), at * 4 + 1, 4)
 
@@ -125,11 +132,18 @@ def _node_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterato
         yield from runs(rest.combine_chunks(), True)
 
 
-def _equal(tokens: np.ndarray, i: int) -> np.ndarray:
-    """Equal minwise tokens of row ``i`` with every row, none with itself."""
-    same = (tokens == tokens[i]).sum(axis=1)
-    same[i] = 0
-    return same
+def _near(tokens: np.ndarray, rest: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks (rows, matrix) of the pairs that count: estimate EST or more, a side in ``rest``, different components."""
+    turned = np.ascontiguousarray(tokens.T)
+    step = max(1, (1 << 20) // len(tokens))
+    for i in range(0, len(tokens), step):
+        rows = np.arange(i, min(i + step, len(tokens)))
+        rows = rows[rest[rows]]
+        if len(rows):
+            same = np.zeros((len(rows), len(tokens)), np.uint8)
+            for own in turned:
+                same += own[rows, None] == own
+            yield rows, (same >= EST * K) & (comp[rows, None] != comp)
 
 
 def _joined(cluster: np.ndarray, i: int, hit: np.ndarray) -> np.ndarray:
@@ -140,8 +154,7 @@ def _joined(cluster: np.ndarray, i: int, hit: np.ndarray) -> np.ndarray:
 def _active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The classes of a node that have a pair to confirm, as one group for each set of classes that such pairs connect.
 
-    A pair counts if the estimate is EST or more, one side is marked ``rest`` and the confirmed
-    components differ.  A group is named by its members, so trees that find the same one share it.
+    A group is named by its members, so trees that find the same one share it.
     """
     out: list[np.ndarray] = []
 
@@ -153,10 +166,11 @@ def _active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for cid, comp, rest, raw in _node_groups(batches, ["cid", "comp", "rest", "tokens"]):
         tokens = np.frombuffer(b"".join(raw), np.int32).reshape(len(cid), K)
         cluster = np.arange(len(cid))
-        for i in np.flatnonzero(rest):
-            hit = np.flatnonzero((_equal(tokens, i) >= EST * K) & (comp != comp[i]))
-            if len(hit):
-                cluster = _joined(cluster, i, hit)
+        for rows, near in _near(tokens, rest, comp):
+            for i, hits in zip(rows, near):
+                hit = np.flatnonzero(hits)
+                if len(hit) and (cluster[hit] != cluster[i]).any():
+                    cluster = _joined(cluster, i, hit)
         names, of, size = np.unique(cluster, return_inverse=True, return_counts=True)
         marks = mix(cid.astype(np.uint64) * np.uint64(2) + rest.astype(np.uint64))
         name = np.zeros(len(names), np.uint64)
@@ -170,44 +184,49 @@ def _active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two full sets have the asked similarity."""
-    small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if 100 * len(small) < PERCENT * len(large):
-        return False
-    at = np.searchsorted(large, small)
-    at[at == len(large)] = 0
-    common = int((large[at] == small).sum())
-    return 100 * common >= PERCENT * (len(a) + len(b) - common)
+def confirm(cid: np.ndarray, comp: np.ndarray, rest: np.ndarray, tokens: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect what the true pairs among those that count (see _near) connect; fewer than there are classes.
+
+    Shingles are numbered within the group, so one class is tested against all its open
+    partners by one pass over theirs.
+    """
+    size = np.array([len(s) for s in sets])
+    at = np.concatenate([[0], np.cumsum(size)])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    mark = np.zeros(int(ids.max()) + 1, bool)
+    _, cluster = np.unique(comp, return_inverse=True)
+    links = []
+    for rows, near in _near(tokens, rest, comp):
+        for i, hits in zip(rows, near):
+            hit = np.flatnonzero(hits & (cluster != cluster[i]) & (100 * np.minimum(size, size[i]) >= PERCENT * np.maximum(size, size[i])))
+            if not len(hit):
+                continue
+            mark[ids[at[i] : at[i + 1]]] = True
+            common = np.add.reduceat(mark[np.concatenate([ids[at[j] : at[j + 1]] for j in hit])], np.concatenate([[0], np.cumsum(size[hit])[:-1]]), dtype=np.int64)
+            mark[ids[at[i] : at[i + 1]]] = False
+            for j in hit[100 * common >= PERCENT * (size[i] + size[hit] - common)]:
+                if cluster[j] != cluster[i]:
+                    links.append((min(cid[i], cid[j]), max(cid[i], cid[j])))
+                    cluster = _joined(cluster, i, np.array([j]))
+    return links
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of the groups, confirmed on the full sets.
+    """Confirmed links of the groups."""
+    found: list[tuple[int, int]] = []
+
+    def flush():
+        a = np.array(found, np.int64)
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["c1", "c2"])
 
-    Every pair of a group that counts (see _active) is tested, best estimates first, unless
-    links confirmed before connect it: a group gives fewer links than it has classes.
-    """
-    left, right = [], []
     for cid, comp, rest, raw, packed in _node_groups(batches, ["cid", "comp", "rest", "tokens", "set"]):
         tokens = np.frombuffer(b"".join(raw), np.int32).reshape(len(cid), K)
-        _, cluster = np.unique(comp, return_inverse=True)
-        for i in np.flatnonzero(rest):
-            same = _equal(tokens, i)
-            hit = np.flatnonzero((same >= EST * K) & (cluster != cluster[i]) & (~rest | (np.arange(len(cid)) < i)))
-            hit = hit[np.argsort(-same[hit], kind="stable")]
-            own = np.frombuffer(packed[i], np.uint64)
-            while len(hit):
-                j, hit = hit[0], hit[1:]
-                if _similar(own, np.frombuffer(packed[j], np.uint64)):
-                    left.append(min(cid[i], cid[j]))
-                    right.append(max(cid[i], cid[j]))
-                    cluster = _joined(cluster, i, np.array([j]))
-                    hit = hit[cluster[hit] != cluster[i]]
-        if len(left) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["c1", "c2"])
-            left, right = [], []
-    if left:
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["c1", "c2"])
+        found += confirm(cid, comp, rest, tokens, [np.frombuffer(p, np.uint64) for p in packed])
+        if len(found) > 50_000:
+            yield flush()
+    if found:
+        yield flush()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,10 +240,19 @@ def root_coordinates() -> list[int]:
     return [int(x) for x in np.argsort(mix(np.arange(1, K + 1, dtype=np.uint64)))[:TREES]]
 
 
+def _parts(n: Column, weight: Column) -> Column:
+    """Into how many parts of LEAF classes and WEIGHT shingles something is dealt."""
+    return F.greatest(F.ceil(n / LEAF), F.ceil(weight / WEIGHT), F.lit(1)).cast("int")
+
+
+def _dealt(salt: int, count: Column) -> Column:
+    return F.pmod(F.xxhash64("cid", F.lit(salt)), count).cast("int")
+
+
 def _nodes(rows: DataFrame) -> DataFrame:
-    """Rows of nodes with two classes or more, with the node's count and leader."""
-    stat = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("cid").alias("leader")).where("n > 1")
-    return materialise(rows.join(stat, "key"))
+    """Rows (cid, key, size) of nodes with two classes or more, with the node's count, parts and leader."""
+    stat = rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("weight"), F.min("cid").alias("leader")).where("n > 1")
+    return materialise(rows.join(stat.withColumn("parts", _parts(F.col("n"), F.col("weight"))), "key"))
 
 
 def _groups(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -239,56 +267,78 @@ def _confirmed(groups: DataFrame, sets: DataFrame) -> DataFrame:
     return materialise(met.select("key", "part", "cid", "comp", "rest", "tokens", "set").mapInArrow(_verify, "c1 long, c2 long"))
 
 
+def _whole(rows: DataFrame) -> DataFrame:
+    """Rows (cid, key, part, comp, rest) of small nodes, in which every pair counts."""
+    return rows.select("cid", "key", F.lit(0).alias("part"), F.col("cid").alias("comp"), F.lit(True).alias("rest"))
+
+
 def _led(large: DataFrame) -> DataFrame:
-    """Groups of about LEAF classes that share a leader, each with the leader."""
-    led = large.select("leader", "cid").distinct()
-    count = F.expr(f"cast(ceil(m / {LEAF}) as int)")
-    spread = F.when(F.col("cid") == F.col("leader"), F.sequence(F.lit(0), count - 1)).otherwise(F.array(F.pmod(F.xxhash64("cid"), count).cast("int")))
-    parts = led.join(led.groupBy("leader").agg(F.count("*").alias("m")), "leader").select("leader", "cid", F.explode(spread).alias("part"))
-    return parts.select(F.xxhash64("leader", "part").alias("grp"), "cid", F.col("cid").alias("comp"), F.lit(True).alias("rest"))
+    """Large nodes dealt into small groups, each with the node's leader; nodes with the same leader are one."""
+    led = large.select("leader", "cid", "size").distinct()
+    count = F.col("count")
+    spread = F.when(F.col("cid") == F.col("leader"), F.sequence(F.lit(0), count - 1)).otherwise(F.array(_dealt(1, count)))
+    stat = led.groupBy("leader").agg(_parts(F.count("*"), F.sum("size")).alias("count"))
+    parts = led.join(stat, "leader").select("leader", "cid", F.explode(spread).alias("part"))
+    return parts.select("cid", F.col("leader").alias("key"), "part", F.col("cid").alias("comp"), F.lit(True).alias("rest"))
+
+
+def _blocks(owned: DataFrame) -> DataFrame:
+    """Blocks in which every row of ``rest`` meets every row of its node.
+
+    The node is dealt into parts by one hash and its rest into parts by another; a block holds a
+    part of each.  With LEAF rows of rest or fewer that is one copy of the rest for each part.
+    """
+    down, over = F.col("own_parts"), F.col("rest_parts")
+    mine = F.transform(F.sequence(F.lit(0), down - 1), lambda b: F.struct(b.alias("b"), _dealt(2, over).alias("a"), F.lit(True).alias("left")))
+    met = F.transform(F.sequence(F.lit(0), over - 1), lambda a: F.struct(_dealt(1, down).alias("b"), a.alias("a"), F.lit(False).alias("left")))
+    spread = F.when(F.col("rest"), F.concat(mine, met)).otherwise(met)
+    rows = owned.select("cid", "key", "comp", F.explode(spread).alias("s"))
+    part = F.hash("s.a", "s.b")
+    return rows.groupBy("cid", F.xxhash64("key", "s.a", "s.b").alias("key"), part.alias("part"), "comp").agg(F.max("s.left").alias("rest"))
 
 
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Confirmed links between classes that connect every component that the trees find."""
     roots = root_coordinates()
     first = F.explode(F.array(*[F.xxhash64(F.lit(t), F.lit(c), _token(F.lit(c))) for t, c in enumerate(roots)]))
-    rows = _nodes(classes.select("cid", first.alias("key")))
-    alone = [F.lit(0).alias("part"), F.lit(True).alias("rest")]
-    large = rows.where(F.col("n") > LEAF)
-    groups = materialise(_groups(rows.where(F.col("n") <= LEAF).select("cid", "key", F.col("cid").alias("comp"), *alone), classes))
+    rows = _nodes(classes.select("cid", F.col("n_shingles").alias("size"), first.alias("key")))
+    large = rows.where("parts > 1")
+    small = _whole(rows.where("parts = 1"))
     # Deeper nodes only hold classes of the large nodes, so these sets serve all levels.
-    need = groups.select("cid").union(large.select("cid")).distinct().join(classes.select("cid", "t1", "t2", "tokens"), "cid")
+    more = large.limit(1).count() > 0
+    groups = materialise(_groups(small.unionByName(_led(large)) if more else small, classes))
+    need = (groups.select("cid").union(large.select("cid")) if more else groups.select("cid")).distinct().join(classes.select("cid", "t1", "t2", "tokens"), "cid")
     texts = docs.where("text is not null").select(*_text_key(), "text").groupBy("t1", "t2").agg(F.first("text").alias("text"))
     sets = materialise(need.join(texts, ["t1", "t2"]).select("cid", "tokens", "text").mapInArrow(_sets, "cid long, tokens binary, set binary"))
-    if large.limit(1).count() == 0:
-        return _confirmed(groups, sets)
-    parts = [_confirmed(groups.unionByName(_led(large)), sets)]
-    label = components(parts[0]).withColumnRenamed("id", "cid")
+    found = [_confirmed(groups, sets)]
     depth = 0
-    while True:
-        owned = large.join(label, "cid", "left").select("cid", "key", "n", F.coalesce("comp", "cid").alias("comp"))
+    while more:
+        label = materialise(components(reduce(DataFrame.unionByName, found).distinct()).withColumnRenamed("id", "cid"))
+        owned = large.join(label, "cid", "left").select("cid", "key", "size", "n", "weight", F.coalesce("comp", "cid").alias("comp"))
         # The component with the most classes of a node counts as its dense part; any choice is right, this one leaves the least.
-        main = owned.groupBy("key", "comp").agg(F.count("*").alias("own")).groupBy("key").agg(F.max(F.struct("own", "comp")).alias("main"))
-        rest = (F.col("comp") != F.col("main.comp")).alias("rest")
-        owned = materialise(owned.join(main, "key").where("main.own < n").select("cid", "key", "n", "comp", rest, (F.col("n") - F.col("main.own")).alias("others")))
+        sums = owned.groupBy("key", "comp").agg(F.count("*").alias("own"), F.sum("size").alias("heavy"))
+        main = sums.groupBy("key").agg(F.max(F.struct("own", "heavy", "comp")).alias("main"))
+        owned = materialise(
+            owned.join(main, "key").where("main.own < n").select(
+                "cid", "key", "size", "comp", (F.col("comp") != F.col("main.comp")).alias("rest"), _parts(F.col("n"), F.col("weight")).alias("own_parts"),
+                _parts(F.col("n") - F.col("main.own"), F.col("weight") - F.col("main.heavy")).alias("rest_parts"),
+            )
+        )
         depth += 1
         last = depth == DEPTH
-        ready = owned if last else owned.where(F.col("others") <= LEAF)
-        count = F.expr(f"cast(ceil(n / {CHUNK}) as int)")
-        spread = F.when(F.col("rest"), F.sequence(F.lit(0), count - 1)).otherwise(F.array(F.pmod(F.xxhash64("cid"), count).cast("int")))
-        parts.append(_confirmed(_groups(ready.select("cid", "key", "comp", "rest", F.explode(spread).alias("part")), classes), sets))
-        if last:
-            break
-        branch = F.explode(F.sequence(F.lit(1), F.lit(BRANCHES)))
-        rows = owned.where(F.col("others") > LEAF).select("cid", "key", branch.alias("b")).join(classes.select("cid", "tokens"), "cid")
-        at = F.pmod(F.xxhash64("key", "b"), F.lit(K)).cast("int")
-        rows = _nodes(rows.withColumn("at", at).select("cid", F.xxhash64("key", "at", F.expr("substring(tokens, at * 4 + 1, 4)")).alias("key")).distinct())
-        small = rows.where(F.col("n") <= LEAF).join(label, "cid", "left").select("cid", "key", F.coalesce("comp", "cid").alias("comp"), *alone)
-        parts.append(_confirmed(_groups(small, classes), sets))
-        large = rows.where(F.col("n") > LEAF)
-        if large.limit(1).count() == 0:
-            break
-    return reduce(DataFrame.unionByName, parts).distinct()
+        small = _blocks(owned if last else owned.where("rest_parts = 1"))
+        if not last:
+            branch = F.explode(F.sequence(F.lit(1), F.lit(BRANCHES)))
+            below = owned.where("rest_parts > 1").select("cid", "key", "size", branch.alias("b")).join(classes.select("cid", "tokens"), "cid")
+            at = F.pmod(F.xxhash64("key", "b"), F.lit(K)).cast("int")
+            rows = _nodes(below.withColumn("at", at).select("cid", "size", F.xxhash64("key", "at", F.expr("substring(tokens, at * 4 + 1, 4)")).alias("key")).distinct())
+            large = rows.where("parts > 1")
+            more = large.limit(1).count() > 0
+            small = small.unionByName(_whole(rows.where("parts = 1")))
+            small = small.unionByName(_led(large)) if more else small
+        found.append(_confirmed(_groups(small.join(label.withColumnRenamed("comp", "known"), "cid", "left").withColumn("comp", F.coalesce("known", "comp")).drop("known"), classes), sets))
+        more = more and not last
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def near_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -298,7 +348,9 @@ def near_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     empty texts have no shingles, are linked with nothing and stay (component_id is their own
     doc_id).  Rows with equal sets form a component; of rows that repeat the component's
     smallest doc_id just one has kept = true.  Null doc_ids come last; a component without a
-    doc_id keeps one row.  Extra columns are ignored unless carried.
+    doc_id keeps one row.  Very long texts count whole (their sets are built in slices); a text
+    of fewer words than a shingle is one shingle.  Extra columns are ignored unless carried; an
+    empty table gives an empty result.
     """
     carry = ["doc_id", *[c for c in carry or [] if c != "doc_id"]]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)

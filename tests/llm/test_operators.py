@@ -88,10 +88,10 @@ def brute_components(rows):
     return [(r[0], len(sets[i]), best[root(i)][1] if sets[i] else r[0]) for i, r in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("leaf", "chunk"), [(128, 1024), (2, 4)])
-def test_near_dedup(docs, monkeypatch, leaf, chunk):
+@pytest.mark.parametrize(("leaf", "weight"), [(2048, 2_000_000), (2, 40)])
+def test_near_dedup(docs, monkeypatch, leaf, weight):
     monkeypatch.setattr(near_dedup, "LEAF", leaf)
-    monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(near_dedup, "WEIGHT", weight)
     got = near_dedup.near_dedup(docs).collect()
     assert Counter((g["doc_id"], g["n_shingles"], g["component_id"]) for g in got) == Counter(brute_components(rows()))
     kept = Counter(g["component_id"] for g in got if g["kept"] and g["n_shingles"])
