@@ -33,3 +33,15 @@ def materialise(df: DataFrame) -> DataFrame:
 def let(value, body):
     """Bind an expensive array or struct expression once inside a native expression."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, prolonged until no column of ``df`` bears them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out

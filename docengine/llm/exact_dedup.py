@@ -95,7 +95,7 @@ def _numbered(df: DataFrame, *keys: str) -> DataFrame:
 def _contested(docs: DataFrame, names: DataFrame, refs: DataFrame, size: int, bits: int) -> DataFrame:
     """Names by content for the positions whose address two contents share."""
     twice = names.groupBy("address").count().where("count > 1").select("address")
-    digests = refs.join(F.broadcast(twice) if bits < 16 else twice, "address", "left_semi").select("rid", "pos", "address", "text_sha256", "n_points")
+    digests = refs.join(twice, "address", "left_semi").select("rid", "pos", "address", "text_sha256", "n_points")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,15 +161,15 @@ def exact_dedup(docs: DataFrame, carry: list[str] | None = None, size: int = BLO
 
     A null text counts as empty and the empty texts form one group.  Of equal texts the row
     with the most code points stays, then the smallest doc_id (null last).  Rows that repeat
-    the kept row's doc_id and length are told apart by their row number, so exactly one row
-    of a group has kept = true.  Extra columns are ignored unless named in ``carry``; an
+    the kept row's doc_id and length are told apart by the carried columns and then by their row
+    number, so exactly one row of a group has kept = true.  Very long texts are many blocks.  Extra columns are ignored unless named in ``carry``; an
     empty table gives an empty result.  doc_id is null in keep_id only if all are null.
     """
     carry = ["doc_id", *[c for c in carry or [] if c != "doc_id"]]
     rows = materialise(identities(docs, carry, size, bits))
     best = rows.groupBy("levels", "name").agg(
         F.count("*").alias("group_size"),
-        F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("unset"), F.col("doc_id").alias("id"), F.col("rid").alias("row"))).alias("best"),
+        F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("unset"), F.col("doc_id").alias("id"), F.xxhash64(*carry).alias("tie"), F.col("rid").alias("row"))).alias("best"),
     )
     return rows.join(best, ["levels", "name"]).select(
         *carry, F.col("best.id").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.row")).alias("kept"), "text_sha256"

@@ -4,8 +4,9 @@ A text is cut into windows of WINDOW bytes that cover all of it.  Filters of sev
 slide over the bytes of a window, their maxima are pooled and a softmax layer gives the
 window's log probabilities; a text's are their mean, weighted by the windows' bytes.
 
-The model is fitted on the driver on at most SAMPLE rows outside the held-out fold, and has
-a fixed size.  At prediction, the taps of a filter are added up from tables by byte pair, so
+The model is fitted on the driver on at most SAMPLE rows outside the held-out fold, drawn
+evenly over the languages (folds.excerpt bounds the bytes of a sampled text; every language of
+the sample can be predicted).  At prediction, the taps of a filter are added up from tables by byte pair, so
 a window costs a few table reads a byte.
 """
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.folds import held_out, release, sample
+from docengine.llm.folds import held_out, release, stratified
 from docengine.llm.textkit import buffers, slices
 
 WINDOW = 256
@@ -27,7 +28,6 @@ FILTERS = 16
 SAMPLE = 3000
 EPOCHS = 6
 CROPS = 4
-MOST_LANGS = 64
 UNKNOWN = "und"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -93,8 +93,7 @@ def tiles(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(texts: list[str], langs: list[str], seed: int = 3) -> Model:
     """Train on random crops of the texts, of 16 to WINDOW bytes, drawn evenly over the languages."""
-    count = {x: langs.count(x) for x in set(langs)}
-    known = sorted(sorted(count, key=lambda x: (-count[x], x))[:MOST_LANGS])
+    known = sorted(set(langs))
     model = Model(known, seed)
     if len(known) < 2:
         return model
@@ -160,7 +159,7 @@ def _step(model: Model, store: tuple, rows: np.ndarray, y: np.ndarray, rate: flo
 
 def train(docs: DataFrame, most: int = SAMPLE) -> Model:
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    rows = sample(known, known, most, "text", "lang")
+    rows = stratified(known, known, most, "lang")
     model = fit([r["text"] for r in rows], [r["lang"] for r in rows])
     del rows
     release()
@@ -192,8 +191,9 @@ def language(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row of ``docs``.
 
     A null text and a text without a letter are ``und`` with score 0.  Without any language
-    to learn from, every row is ``und``.  Repeated rows get the same prediction, extra
-    columns are ignored unless carried, empty tables give an empty result.
+    to learn from, every row is ``und``.  Very long texts are read whole, window by window.
+    Repeated rows get the same prediction, extra columns are ignored unless carried, empty
+    tables give an empty result.
     """
     carry = ["doc_id", *[c for c in carry or [] if c not in ("doc_id", "text", "score")]]
     shared = docs.sparkSession.sparkContext.broadcast(train(docs))

@@ -361,7 +361,7 @@ def near_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     key = ["n_shingles", "k1", "k2"]
     grouped = rows.where("n_shingles > 0").groupBy(*key).agg(
         F.min("rid").alias("cid"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("unset"), F.col("doc_id").alias("id"), F.col("rid").alias("row"))).alias("head"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("unset"), F.col("doc_id").alias("id"), F.xxhash64(*carry).alias("tie"), F.col("rid").alias("row"))).alias("head"),
         F.first("tokens").alias("tokens"), F.min(F.struct("t1", "t2")).alias("t"),
     )
     classes = materialise(grouped.select(*key, "cid", "head", "tokens", F.col("t.t1").alias("t1"), F.col("t.t2").alias("t2")))

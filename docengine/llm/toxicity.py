@@ -5,10 +5,11 @@ maximum over the whole text is pooled, and a logistic layer scores it.  A word o
 never depends on the text's length: the whole text is scanned, in slices of bounded bytes.
 
 The model is fitted on the driver on at most POSITIVE + NEGATIVE labelled rows outside the
-held-out fold.  Its size is fixed (VOCABULARY x SIZE floats and small layers), so the
+held-out fold (folds.excerpt bounds the bytes of a sampled text).  Its size is fixed (VOCABULARY x SIZE floats and small layers), so the
 broadcast is bounded.  The threshold of each language is calibrated on a part of the sample
-that training does not see; the language is guessed from the text alone (hashed-word naive
-Bayes, learned from the same sample), so lang, source and doc_id are never inputs of a score.
+that training does not see, if that part has ENOUGH toxic rows of it; the others share one.
+The language is guessed from the text alone (hashed-word naive Bayes, learned from the same
+sample), so lang, source and doc_id are never inputs of a score.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docengine.llm.folds import held_out, release, sample
@@ -32,7 +33,6 @@ NEGATIVE = 4000
 EPOCHS = 6
 STEM = 4  # bytes of a word that its second hash takes, for inflected words
 LANG_VOCABULARY = 1 << 16
-MOST_LANGS = 32
 ENOUGH = 20  # toxic calibration rows a language needs for a threshold of its own
 
 #: Words are runs of letters, digits and bytes beyond ASCII.
@@ -148,14 +148,13 @@ def fit(texts: list[str], labels: list[int], langs: list[str | None], seed: int
     hashes, first = _texts(texts)
     bucket = _buckets(hashes)
     y = np.array(labels, np.float32)
-    _fit_language(model, hashes, first, langs)
     order = r.permutation(len(y))
     check, train = order[: len(y) // 5], order[len(y) // 5 :]
+    _fit_language(model, hashes, first, langs, y, check)
     train = np.array([d for d in train if first[d + 1] > first[d]], np.int64)
     if not len(train) or y[train].min() == y[train].max():
         model.bias = np.float32(-3 if not y.sum() else 3)
         model.out[:] = 0
-        model.cuts = np.zeros(max(len(model.langs), 1), np.float32)
         return model
     model.embedding[:, 0] = _log_odds([bucket[first[d] : first[d + 1]] for d in train], y[train])
     weight = np.where(y == 1, 0.5 / y[train].mean(), 0.5 / (1 - y[train].mean())).astype(np.float32)
@@ -217,20 +216,22 @@ def _step(model: Model, store: dict, docs: list[np.ndarray], y: np.ndarray, weig
         model.embedding[ids] -= rate * total / np.sqrt(store["e"][ids])
 
 
-def _fit_language(model: Model, hashes: np.ndarray, first: np.ndarray, langs: list[str | None]) -> None:
-    known = sorted({x for x in langs if x})
-    counts = {x: langs.count(x) for x in known}
-    model.langs = sorted(sorted(known, key=lambda x: (-counts[x], x))[:MOST_LANGS])
+def _fit_language(model: Model, hashes: np.ndarray, first: np.ndarray, langs: list[str | None], y: np.ndarray, check: np.ndarray) -> None:
+    """Naive Bayes over the languages with a threshold of their own; all other rows are the last class."""
+    toxic, clean = ([langs[d] for d in check if y[d] == k] for k in (1, 0))
+    model.langs = [*sorted(x for x in set(toxic) if x and toxic.count(x) >= ENOUGH and x in clean), ""]
+    model.cuts = np.zeros(len(model.langs), np.float32)
     if len(model.langs) < 2:
         return
     table = np.zeros((LANG_VOCABULARY, len(model.langs)), np.float64)
+    n = np.full(len(model.langs), 0.5)
     at = (hashes[:, 0] >> np.uint64(40)).astype(np.int64) & (LANG_VOCABULARY - 1)
     for d, x in enumerate(langs):
-        if x in model.langs:
-            table[:, model.langs.index(x)] += np.bincount(at[first[d] : first[d + 1]], minlength=LANG_VOCABULARY)
+        k = model.langs.index(x) if x in model.langs else len(model.langs) - 1
+        table[:, k] += np.bincount(at[first[d] : first[d + 1]], minlength=LANG_VOCABULARY)
+        n[k] += 1
     model.lang_table = np.log((table + 0.1) / (table.sum(0) + 0.1 * LANG_VOCABULARY)).astype(np.float32)
-    n = np.array([counts[x] for x in model.langs], np.float32)
-    model.lang_prior = np.log(n / n.sum())
+    model.lang_prior = np.log(n / n.sum()).astype(np.float32)
 
 
 def _cut(logits: np.ndarray, y: np.ndarray, prior: float) -> float:
@@ -269,8 +270,8 @@ def _calibrate(model: Model, hashes: np.ndarray, first: np.ndarray, y: np.ndarra
 def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative: int = NEGATIVE) -> Model:
     """A model from a bounded sample of the labelled rows outside the held-out fold."""
     rows = labels.where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
-    pos = sample(rows.where("toxic = 1"), docs, positive, "text", "lang")
-    neg = sample(rows.where("toxic = 0"), docs, negative, "text", "lang")
+    pos = sample(rows.where("toxic = 1"), docs, positive, "lang")
+    neg = sample(rows.where("toxic = 0"), docs, negative, "lang")
     rows = pos + neg
     model = fit([r["text"] for r in rows], [1] * len(pos) + [0] * len(neg), [r["lang"] for r in rows])
     del pos, neg, rows
@@ -278,28 +279,26 @@ def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative
     return model
 
 
-def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """``carry`` columns and the score of every row; a null text is scored like an empty one."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(spark: SparkSession, model: Model):
+    """A vectorised function of a text column: each text's score; a null text is scored like an empty one."""
+    shared = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            parts = [m.scores(h, f) for h, f in encode(batch.column(len(carry)))]
-            done = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(done, pa.float64())], names=[*carry, "score"])
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        parts = [shared.value.scores(h, f) for h, f in encode(text)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return docs.select(*carry, "text").mapInArrow(run, f"{schema}, score double")
+    return score
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """doc_id, held_out, score and predicted (score >= 0.5) of every row of ``docs``.
 
-    Null and empty texts have the score of a text without words.  Repeated rows get the same
-    score.  Extra columns are ignored unless carried.  Without labels of both kinds the
-    score is constant; empty tables give an empty result.
+    Null and empty texts have the score of a text without words; very long texts are scored
+    whole.  Repeated rows get the same score.  Extra columns are ignored unless carried.
+    Without labels of both kinds the score is constant; empty tables give an empty result.
     """
-    carry = ["doc_id", *[c for c in carry or [] if c not in ("doc_id", "text", "score")]]
-    model = train(docs, labels)
-    return score(docs, model, carry).select(*carry, held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    carry = ["doc_id", *[c for c in carry or [] if c not in ("doc_id", "held_out", "score", "predicted")]]
+    score = scorer(docs.sparkSession, train(docs, labels))
+    scored = docs.select(*carry, score("text").alias("score"))
+    return scored.select(*carry, held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -59,3 +59,35 @@ def test_stages_keep_columns(spark):
     for stage in (corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies):
         kept = stage(spark, docs, "")
         assert kept.columns == docs.columns and kept.count() == 1
+
+
+CLASH = "doc_id long, text string, lang string, source string, n_chars long, rate double, copy int, size string, score string, target string, _k1 string, _k2 int, copies string, salt int, rid string, kept int, attributes map<string,int>"
+
+
+def clashing():
+    r = random.Random(7)
+    more = (0.5, 7, "large", "high", "there", "k", 2, "c", 3, "r", 9, {"a": 1})
+    rows = [(i, " ".join(r.choice(["a", "b", "c", "d"]) + str(r.randrange(90)) for _ in range(30)), "en", [None, "a", "b"][i % 3], 1, *more) for i in range(30)]
+    rows += [(40, None, None, None, None, *[None] * 12), (41, "", "en", "a", 0, *[None] * 12), (None, "w " * 40000, None, "b", 0, *more), rows[3], rows[4][:2] + ("de",) + rows[4][3:]]
+    return rows
+
+
+def test_clashing_columns_and_awkward_rows(spark, tmp_path):
+    folder = str(tmp_path / "sf")
+    docs = spark.createDataFrame(clashing(), CLASH)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.schema.simpleString() == docs.schema.simpleString()
+        assert {r["size"] for r in out.collect()} <= {"large", None}
+    one = corpus_pipeline.drop_copies(spark, docs, folder)
+    assert one.count() == 32 and corpus_pipeline.drop_near_copies(spark, docs, folder).where("doc_id = 4").first()["lang"] == one.where("doc_id = 4").first()["lang"]
+    assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_empty_tables(spark, tmp_path):
+    folder = str(tmp_path / "sf")
+    spark.createDataFrame([], CLASH).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
