@@ -45,3 +45,9 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name)
         out.append(name)
     return out
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

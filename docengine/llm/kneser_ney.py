@@ -1,92 +1,113 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-Tokens are the text's characters mapped to ALPHABET classes (letters, accented letters by
-their last byte, capitals, digits, white space, punctuation, symbols), so an n-gram is one
-integer below ALPHABET ** ORDER.  Counting covers all trusted text: each task adds up its
-n-grams and emits one row per n-gram it met; the rest are sharded aggregates and joins by
-context and suffix, with the three discounts of each order from the counts of counts.
-
-Perplexity is per text, over all of it.  The joined probabilities fill a table whose size is
-fixed by ALPHABET and ORDER (21 MB), which is what scoring broadcasts.  A text stays if its
-perplexity is at most the KEEP quantile of the trusted texts of its language.
+Tokens are code points: ASCII letters in lower case, digits as one digit, white space as a
+blank, and every other code point hashed to one of 2 ** BITS classes, so all scripts are
+modelled.  ORDER classes make one 60-bit integer; its low bits are the shorter n-grams that
+end alike, its high bits the context, so counts, contexts and suffixes are plain arithmetic.
+
+All text is read in blocks (splits of the input files).  A task emits each distinct n-gram of
+its block once, with its count in trusted text: the table of n-grams grows with the corpus and
+is written to the shared folder.  Counts, discounts and probabilities of every order are
+aggregates and joins of that table on n-gram, context and suffix.  Each n-gram of the corpus,
+in trusted text or not, gets its probability by the same joins, and a join back on the block
+brings every block exactly the n-grams it holds; there the perplexity of each whole text is
+added up.  Nothing of the model is collected or broadcast.
+
+A text stays if its perplexity is at most the KEEP quantile of the trusted texts of its language.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.common import materialise
-from docengine.llm.textkit import buffers, slices
+from docengine.llm.common import fresh, materialise, remove, shared_folder
+from docengine.llm.textkit import buffers, mix, slices
 
-ALPHABET = 48
-ORDER = 4
+BITS = 12
+ORDER = 5
 KEEP = 0.998
 SLACK = 1.05
-SHORT = 12.0  # the threshold of a text of n classes grows by the share SHORT / n, as short texts vary more
+SHORT = 12.0  # the threshold of a text of n characters grows by the share SHORT / n, as short texts vary more
 ENOUGH = 50  # trusted texts a language needs for a threshold of its own
-_EDGE = 0  # class of the text's beginning
-
-
-def _classes() -> np.ndarray:
-    """Class of each byte."""
-    table = np.full(256, 47, np.int64)  # controls and bytes that UTF-8 lacks
-    table[97:123] = np.arange(1, 27)
-    table[65:91] = 27
-    table[48:58] = 28
-    table[[32, 9, 11, 12, 13]] = 29
-    table[10] = 30
-    table[[46, 33, 63]] = 31
-    table[[44, 59, 58]] = 32
-    table[[39, 34, 40, 41, 45, 95, 47]] = 33
-    table[[35, 42, 36, 37, 38, 124, 60, 62, 64, 61, 43, 94, 126, 96, 91, 93, 92, 123, 125]] = 34
-    table[0x80:0xC0] = 35 + (np.arange(0x80, 0xC0) >> 2 & 7)  # last bytes of accented letters
-    table[0xC2:0xC4] = 43
-    table[0xC4:0xE0] = 44
-    table[0xE0:0xF0] = 45
-    table[0xF0:0xF5] = 46
-    return table
-
-
-CLASS = _classes()
-
-
-def grams(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """The n-gram that ends at each byte; before a text's first byte stand edges."""
-    own = CLASS[raw]
+MOST_IDS = 4_000_000  # trusted ids (32 MB) up to which they are broadcast; beyond, texts and ids meet by a merge join
+SPREAD = 64  # blocks of rows that come from no file
+
+_ASCII = np.arange(128, dtype=np.int64)
+_ASCII[65:91] += 32
+_ASCII[48:58] = 48
+_ASCII[[9, 10, 11, 12, 13]] = 32
+_ASCII[0] = 1  # 0 is the edge before a text
+
+
+def grams(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram that ends at each code point, and each text's first one (n+1 values); before a text stand edges."""
+    points = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+    heads = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+    first = heads[off]
+    own = _ASCII[np.minimum(points, 127)]
+    far = points > 127
+    own[far] = 128 + (mix(points[far].astype(np.uint64)) % np.uint64((1 << BITS) - 128)).astype(np.int64)
+    place = np.arange(len(own)) - np.repeat(first[:-1], np.diff(first))
     out = own.copy()
-    place = np.arange(len(raw)) - np.repeat(off[:-1], np.diff(off))
-    for k in range(1, ORDER):
-        before = np.zeros(len(raw), np.int64)
-        before[k:] = own[:-k] if k < len(raw) else own[:0]
-        before[place < k] = _EDGE
-        out += before * ALPHABET**k
-    return out
+    for k in range(1, min(ORDER, len(own))):
+        before = np.zeros(len(own), np.int64)
+        before[k:] = own[:-k]
+        before[place < k] = 0
+        out |= before << (BITS * k)
+    return out, first
+
+
+def _blocked(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and text, with the block of each row: the split of a file it comes from."""
+    source = F.xxhash64(F.input_file_name(), F.input_file_block_start())
+    return docs.select(*columns, "text", F.when(F.input_file_name() != "", source).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD))).alias("block"))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(ALPHABET**ORDER, np.int64)
+    """(block, gram, c) of (block, trusted, text): the distinct n-grams of each block, with their trusted counts."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def merged(parts):
+        codes, ids = pd.factorize(np.concatenate([g for g, _ in parts]))
+        return ids, np.bincount(codes, np.concatenate([c for _, c in parts]), minlength=len(ids)).astype(np.int64)
+
     for batch in batches:
-        raw, off = buffers(batch.column(0))
-        for i, j in slices(off):
-            ids, n = np.unique(grams(raw[off[i] : off[j]], off[i : j + 1] - off[i]), return_counts=True)
-            total[ids] += n
-    ids = np.flatnonzero(total)
-    for i in range(0, len(ids), 100_000):
-        part = ids[i : i + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["gram", "c"])
+        blocks = batch.column(0).to_numpy()
+        trusted = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        for block in np.unique(blocks):
+            rows = np.flatnonzero(blocks == block)
+            raw, off = buffers(batch.column(2).take(pa.array(rows)))
+            for i, j in slices(off):
+                keys, first = grams(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+                parts = held.setdefault(int(block), [])
+                parts.append(merged([(keys, np.repeat(trusted[rows[i:j]], np.diff(first)))]))
+                if len(parts) > 16:
+                    held[int(block)] = [merged(parts)]
+    for block, parts in held.items():
+        ids, c = merged(parts)
+        order = np.argsort(ids)
+        for i in range(0, len(ids), 200_000):
+            at = order[i : i + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(ids[at]), pa.array(c[at])], names=["block", "gram", "c"])
 
 
-def counts(texts: DataFrame) -> list[DataFrame]:
+def _low(k: int) -> Column:
+    """The last ``k`` tokens of an n-gram."""
+    return F.col("gram").bitwiseAND(F.lit((1 << (BITS * k)) - 1))
+
+
+def counts(seen: DataFrame) -> list[DataFrame]:
     """(gram, c) for each order from 1 up: raw counts at the top, numbers of distinct left neighbours below."""
-    top = texts.select("text").mapInArrow(_count, "gram int, c long").groupBy("gram").agg(F.sum("c").alias("c"))
-    out = [materialise(top)]
+    out = [materialise(seen.where("c > 0").groupBy("gram").agg(F.sum("c").alias("c")))]
     for k in range(ORDER - 1, 0, -1):
-        out.append(materialise(out[-1].groupBy(F.pmod("gram", F.lit(ALPHABET**k)).alias("gram")).agg(F.count("*").alias("c"))))
+        out.append(materialise(out[-1].groupBy(_low(k).alias("gram")).agg(F.count("*").alias("c"))))
     return out[::-1]
 
 
@@ -100,61 +121,96 @@ def _discounts(level: DataFrame) -> list[float]:
     return [min(max(d, 0.05), k - 0.05) for k, d in zip((1, 2, 3), made)]
 
 
-def probabilities(levels: list[DataFrame]) -> list[tuple[DataFrame, DataFrame]]:
-    """For each order (gram, p) of the seen n-grams and (context, gamma) of the seen contexts, by joins on context and suffix."""
-    out: list[tuple[DataFrame, DataFrame]] = []
-    for k, level in enumerate(levels, 1):
+def probabilities(levels: list[DataFrame], needed: DataFrame) -> DataFrame:
+    """(gram, p) of every n-gram in ``needed`` (gram), by joins on n-gram, context and suffix, from the lowest order up.
+
+    An n-gram with a known context has max(c - D, 0) / total + freed / total * q, where q is its
+    suffix's probability; after an unknown context it has q.  Below order 1 all classes are alike.
+    """
+    asked = [materialise(needed.select("gram").distinct())]
+    for k in range(ORDER - 1, 0, -1):
+        asked.append(materialise(asked[-1].select(_low(k).alias("gram")).distinct()))
+    below = None
+    for k, (level, rows) in enumerate(zip(levels, asked[::-1]), 1):
         d1, d2, d3 = _discounts(level)
         cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-        rows = level.select("gram", "c", cut.alias("d"), F.expr(f"gram div {ALPHABET}").cast("int").alias("context"))
-        stats = rows.groupBy("context").agg(F.sum("c").alias("total"), F.sum("d").alias("freed"))
-        joined = rows.join(stats, "context")
-        if k == 1:
-            lower = joined.withColumn("q", F.lit(1.0 / ALPHABET))
+        kept = level.select("gram", F.greatest(F.col("c") - cut, F.lit(0.0)).alias("kept"))
+        stats = level.select(F.shiftright("gram", BITS).alias("context"), "c", cut.alias("d")).groupBy("context").agg(F.sum("c").alias("total"), F.sum("d").alias("freed"))
+        rows = rows.join(kept, "gram", "left").withColumn("context", F.shiftright("gram", BITS)).join(stats, "context", "left")
+        if below is None:
+            rows = rows.withColumn("q", F.lit(1.0 / (1 << BITS)))
         else:
-            below = out[-1][0].select(F.col("gram").alias("suffix"), F.col("p").alias("q"))
-            lower = joined.withColumn("suffix", F.pmod("gram", F.lit(ALPHABET ** (k - 1)))).join(below, "suffix")
-        p = F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("freed") / F.col("total") * F.col("q")
-        out.append((materialise(lower.select("gram", p.alias("p"))), stats.select("context", (F.col("freed") / F.col("total")).alias("gamma"))))
-    return out
-
-
-def log_table(model: list[tuple[DataFrame, DataFrame]]) -> np.ndarray:
-    """log2 P(last class | classes before) for every n-gram: at most ALPHABET ** ORDER numbers."""
-    dense = np.full(1, 1.0 / ALPHABET)
-    for k, (seen, contexts) in enumerate(model, 1):
-        gamma = np.ones(ALPHABET ** (k - 1))
-        rows = contexts.toArrow()
-        gamma[rows.column("context").to_numpy()] = rows.column("gamma").to_numpy()
-        lower = np.full((1, ALPHABET), 1.0 / ALPHABET) if k == 1 else dense.reshape(-1, ALPHABET)
-        dense = (gamma.reshape(ALPHABET if k > 1 else 1, -1)[:, :, None] * (lower if k == 1 else lower[None, :, :])).reshape(-1)
-        rows = seen.toArrow()
-        dense[rows.column("gram").to_numpy()] = rows.column("p").to_numpy()
-    return np.log2(dense).astype(np.float32)
-
+            rows = rows.withColumn("suffix", _low(k - 1)).join(below, "suffix")
+        known = (F.coalesce("kept", F.lit(0.0)) + F.col("freed") * F.col("q")) / F.col("total")
+        made = materialise(rows.select("gram", F.coalesce(known, F.col("q")).alias("p")))
+        below = made.select(F.col("gram").alias("suffix"), F.col("p").alias("q"))
+    return made
 
-def train(texts: DataFrame) -> np.ndarray:
-    return log_table(probabilities(counts(texts)))
 
-
-def perplexity(docs: DataFrame, table: np.ndarray, carry: list[str]) -> DataFrame:
-    """``carry`` columns, n_grams and the perplexity of every row; null for texts without a character."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-    at = len(carry)
+def _pack():
+    """Rows of a block as compressed Arrow streams, one for each batch and block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = shared.value
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in batches:
-            raw, off = buffers(batch.column(at))
-            size, mean = np.diff(off), np.zeros(len(off) - 1)
-            for i, j in slices(off):
-                part = off[i : j + 1] - off[i]
-                total = np.concatenate([[0.0], np.cumsum(logs[grams(raw[off[i] : off[j]], part)], dtype=np.float64)])
-                mean[i:j] = (total[part[1:]] - total[part[:-1]]) / np.maximum(np.diff(part), 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(size), pa.array(np.exp2(-mean), pa.float64(), mask=size == 0)], names=[*carry, "n_grams", "perplexity"])
-
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return docs.select(*carry, "text").mapInArrow(run, f"{schema}, n_grams long, perplexity double")
+            blocks = batch.column(batch.num_columns - 1).to_numpy()
+            names, blobs = np.unique(blocks), []
+            for block in names:
+                sink = pa.BufferOutputStream()
+                part = pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).take(pa.array(np.flatnonzero(blocks == block)))
+                with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+                    out.write_batch(part)
+                blobs.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(blobs, pa.binary())], names=["block", "rows"])
+
+    return run
+
+
+def _scored(names: list[str]):
+    """Perplexities of a block's packed rows, given the probabilities of its n-grams."""
+
+    def run(packed: pa.Table, table: pa.Table) -> pa.Table:
+        keys = table.column("gram").to_numpy()
+        order = np.argsort(keys)
+        keys, logs = keys[order], np.log(table.column("p").to_numpy()[order])
+        done = []
+        for blob in packed.column("rows"):
+            for batch in pa.ipc.open_stream(blob.as_py()):
+                raw, off = buffers(batch.column(batch.num_columns - 1))
+                size, mean = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+                for i, j in slices(off):
+                    own, first = grams(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+                    codes, ids = pd.factorize(own)
+                    total = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(keys, ids)][codes])])
+                    size[i:j] = np.diff(first)
+                    mean[i:j] = (total[first[1:]] - total[first[:-1]]) / np.maximum(size[i:j], 1)
+                done.append(pa.Table.from_arrays([*batch.columns[:-1], pa.array(size), pa.array(np.exp(-mean), pa.float64(), mask=size == 0)], names=names))
+        return pa.concat_tables(done)
+
+    return run
+
+
+def perplexity(docs: DataFrame, trusted: DataFrame, carry: list[str], folder: str) -> DataFrame:
+    """``carry`` columns, trusted, n_grams and the perplexity of every row; null for texts without a character.
+
+    ``trusted`` (doc_id) names the texts that the model counts; ``folder`` receives the table of n-grams.
+    """
+    ids = trusted.select("doc_id").where("doc_id is not null").distinct()
+    few = ids.count() <= MOST_IDS
+    mark, block = fresh(docs, "trusted", "block")
+    ids = ids.withColumn(mark, F.lit(True))
+    rows = _blocked(docs, carry).withColumnRenamed("block", block)
+    rows = rows.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left").withColumn(mark, F.coalesce(mark, F.lit(False)))
+    rows.where("text is not null").select(block, mark, "text").mapInArrow(_count, "block long, gram long, c long").write.parquet(folder)
+    seen = docs.sparkSession.read.schema("block long, gram long, c long").parquet(folder)
+    found = probabilities(counts(seen), seen)
+    tables = seen.select("block", "gram").join(found, "gram")
+    inner = rows.select(*carry, mark, "text", block)
+    packed = inner.mapInArrow(_pack(), "block long, rows binary")
+    kinds = {f.name: f.dataType.simpleString() for f in inner.schema}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*carry, mark])
+    scored = packed.groupBy("block").cogroup(tables.groupBy("block")).applyInArrow(_scored([*carry, mark, "n_grams", "perplexity"]), f"{schema}, n_grams long, perplexity double")
+    return scored.withColumnRenamed(mark, "trusted")
 
 
 def quality(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -163,14 +219,14 @@ def quality(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None)
     Trusted texts are those that ``labels`` gives quality 1.  A text without a character has
     no perplexity and is not kept.  Languages (null is one) with fewer than ENOUGH trusted texts
     take the threshold over all; without trusted texts there is none and all texts with a
-    character stay.  Repeated rows get equal results and extra columns are ignored unless carried.
+    character stay.  Very long texts are scored whole, repeated rows get equal results, extra
+    columns are ignored unless carried, and an empty table gives an empty result.
     """
-    carry = ["doc_id", *[c for c in carry or [] if c not in ("doc_id", "lang")]]
-    good = labels.where("quality = 1").select("doc_id").distinct()
-    # The same join at every size; a broadcast would come and go with the size of the labels.
-    table = train(docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi"))
-    rows = materialise(perplexity(docs, table, [*carry, "lang"]))
-    trusted = rows.join(good, "doc_id", "left_semi").where("perplexity is not null")
+    carry = ["doc_id", *[c for c in carry or [] if c not in ("doc_id", "lang", "perplexity", "threshold", "kept")]]
+    folder = f"{shared_folder(docs.sparkSession)}/kneser_ney-{uuid.uuid4().hex}"
+    rows = materialise(perplexity(docs, labels.where("quality = 1"), [*carry, "lang"], folder))
+    remove(docs.sparkSession, folder)
+    trusted = rows.where("trusted and perplexity is not null")
     limit = F.percentile_approx("perplexity", KEEP, 10_000) * SLACK
     by_lang = trusted.groupBy("lang").agg(F.count("*").alias("n"), limit.alias("own")).where(F.col("n") >= ENOUGH).select(F.col("lang").alias("of"), "own")
     pooled = trusted.agg(limit.alias("pooled"))  # one row

@@ -218,18 +218,73 @@ def test_toxicity(spark):
     assert right >= 0.9 * len(test) and all(0 <= g["score"] <= 1 and g["predicted"] == (g["score"] >= 0.5) for g in got.values())
 
 
-def test_kneser_ney(spark, docs, labels):
-    table = kneser_ney.train(docs)
-    probs = 2.0 ** table.reshape(-1, kneser_ney.ALPHABET).astype("float64")
-    assert probs.sum(axis=1) == pytest.approx(1, abs=2e-3)
-    got = kneser_ney.quality(docs, labels).collect()
-    assert len(got) == len(rows())
-    assert all((g["perplexity"] is None) == (not dict((r[0], r[1]) for r in rows() if r[0] is not None).get(g["doc_id"], g["perplexity"])) for g in got if g["doc_id"] is not None)
+def test_kneser_ney(spark, monkeypatch):
+    """Perplexities, thresholds and verdicts against a plain version of the same formulas."""
+    import math
+    import random
+    from collections import defaultdict
+
+    r = random.Random(4)
+    monkeypatch.setattr(kneser_ney, "ENOUGH", 5)
+    made = [(i, " ".join("".join(r.choice("abcdé") for _ in range(r.randrange(1, 4))) for _ in range(r.randrange(1, 30))), ["x", "y", None][i % 3]) for i in range(40)]
+    made += [(50, "", "x"), (51, None, "x"), (52, "ЖЖ 漢字 999 zzz", "z"), made[3], (None, "ab cd", "x"), (53, "ab " * 5000, "y")]
+    marks = [(i, int(i % 2 == 0 or i == 50)) for i in range(51)] + [(None, 1)]
+    good = {i for i, q in marks if q and i is not None}
+    n = kneser_ney.ORDER
+
+    def tokens(t):
+        return [None] * (n - 1) + [" " if c in " \t\n" else "0" if c in "0123456789" else c.lower() if c.isascii() else c for c in t or ""]
+
+    top = Counter(tuple(w[i - n + 1 : i + 1]) for d, t, _ in made if d in good for w in [tokens(t)] for i in range(n - 1, len(w)))
+    levels = [top]
+    for _ in range(n - 1):
+        levels.append(Counter(g[1:] for g in levels[-1]))
+    levels = levels[::-1]
+    stats = []
+    for level in levels:
+        n1, n2, n3, n4 = (sum(c == k for c in level.values()) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 and n2 else 0
+        d = [min(max(k - (k + 1) * y * b / a if a else 0.5, 0.05), k - 0.05) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))] if n1 and n2 else [0.5] * 3
+        total, freed = defaultdict(int), defaultdict(float)
+        for g, c in level.items():
+            total[g[:-1]] += c
+            freed[g[:-1]] += d[min(c, 3) - 1]
+        stats.append((d, total, freed))
+
+    def p(g):
+        k = len(g)
+        q = p(g[1:]) if k > 1 else 1 / (1 << kneser_ney.BITS)
+        d, total, freed = stats[k - 1]
+        if g[:-1] not in total:
+            return q
+        c = levels[k - 1][g]
+        return (max(c - d[min(c, 3) - 1], 0) if c else 0) / total[g[:-1]] + freed[g[:-1]] / total[g[:-1]] * q
+
+    def plain(t):
+        w = tokens(t)
+        return math.exp(-sum(math.log(p(tuple(w[i - n + 1 : i + 1]))) for i in range(n - 1, len(w))) / (len(w) - n + 1)) if t else None
+
+    want = {d: plain(t) for d, t, _ in made}
+    for chunk in (None, 1):
+        if chunk:
+            monkeypatch.setattr(kneser_ney, "MOST_IDS", 0)
+        got = kneser_ney.quality(spark.createDataFrame(made, "doc_id long, text string, lang string"), spark.createDataFrame(marks, "doc_id long, quality int")).collect()
+        assert Counter(g["doc_id"] for g in got) == Counter(d for d, _, _ in made)
+        ranked = {lang: sorted(want[d] for d, t, of in made if d in good and t and (of == lang or lang == "all")) for lang in ("x", "y", None, "all")}
+        text, lang = {d: t for d, t, _ in made}, {d: x for d, _, x in made}
+        for g in got:
+            if not text[g["doc_id"]]:
+                assert g["perplexity"] is None and not g["kept"]
+                continue
+            assert g["perplexity"] == pytest.approx(want[g["doc_id"]], rel=1e-6)
+            own = ranked[lang[g["doc_id"]] if lang[g["doc_id"]] != "z" else "all"]
+            limit = own[math.ceil(kneser_ney.KEEP * len(own)) - 1] * kneser_ney.SLACK * (1 + kneser_ney.SHORT / len(text[g["doc_id"]]))
+            assert g["threshold"] == pytest.approx(limit, rel=1e-6) and g["kept"] == (g["perplexity"] <= g["threshold"])
 
 
 def test_substring_dedup(spark):
     passage = "This long passage has more than twenty words in it so that it counts as a repeat. It also has a second sentence with a good many words to follow the first."
-    made = [(1, f"Own start of one here. {passage} Own end of one."), (2, f"A different start é here now. {passage} Another end of it."), (3, None), (4, ""), (5, "Short one. Short one."), (6, f"line\n{passage}\nline"), (None, passage), (2, f"A different start é here now. {passage} Another end of it.")]
+    made = [(1, f"Own start of one here. {passage} Own end of one."), (2, f"A different start é here now. {passage} Another end of it."), (3, None), (4, ""), (5, "Short one. Short one."), (6, f"line\n{passage}\nend"), (None, passage), (2, f"A different start é here now. {passage} Another end of it.")]
     got = substring_dedup.substring_dedup(spark.createDataFrame([(i, t, 0) for i, t in made], "doc_id long, text string, removed int")).collect()
     by = {}
     for g in got:
