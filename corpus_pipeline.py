@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docengine.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
-from docengine.llm.common import fresh, shared_folder, table
+from docengine.llm.common import fresh, remove, shared_folder, table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -88,11 +88,6 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again.
 
@@ -105,6 +100,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
         if before:
-            _remove(spark, before)
+            remove(spark, before)
         before = f"{folder}/{k}-{name}"
     return docs
