@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docengine.llm.common import let
+from docengine.llm.common import let, materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 WINDOW = 5
@@ -25,6 +25,10 @@ SPREAD = 4.0  # fences lie this many interquartile ranges outside the quartiles
 METRICS = {"mean_word": 2.0, "symbol_rate": 0.1, "dup_line_rate": 0.25, "repeat_rate": 0.2}
 
 
+#: Columns of the table of measures, which carried columns must not bear.
+NAMES = ("lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *METRICS)
+
+
 def _repeat_words(words: Column) -> Column:
     """Words that lie in a window of five words found twice or more in the text.
 
@@ -127,13 +131,14 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     A null text counts as empty: no words, so base_failed.  Null lang or source form groups
     of their own.  kept is false if base_failed, or if a metric lies outside the fences of
     the finest of (lang, source), lang and all that has SMALL documents with ten words or
-    more.  Equal rows get equal verdicts; extra columns are ignored unless carried.
+    more.  Very long texts are measured whole.  Equal rows get equal verdicts, extra columns are
+    ignored unless carried, and an empty table gives an empty result.
     """
-    carry = ["doc_id", *[c for c in carry or [] if c not in ("doc_id", "lang", "source")]]
+    carry = ["doc_id", *[c for c in carry or [] if c not in ("doc_id", *NAMES)]]
     m = docs.select(*carry, "lang", "source", measures(F.col("text")).alias("m")).select(
         *carry, "lang", "source", "m.w.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.w.n_repeat_words", "m"
     ).drop("m")
-    return judge(m, carry)
+    return judge(materialise(m), carry)  # a few numbers a row, so that the texts are measured once
 
 
 def judge(measured: DataFrame, carry: list[str]) -> DataFrame:
