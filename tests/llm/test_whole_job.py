@@ -1,12 +1,13 @@
 """Cases in which an operator once did less than the whole job, against brute force."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
 from tests_llm_brute import components
 
-from docengine.llm import near_dedup
+from docengine.llm import near_dedup, substring_dedup
 
 
 def variants(n, seed):
@@ -33,3 +34,88 @@ def test_near_dedup_links_variants_around_the_threshold(spark, n):
 
 def test_near_dedup_trees_have_roots_of_their_own():
     assert len(set(near_dedup.root_coordinates())) == near_dedup.TREES
+
+
+def plain_units(text):
+    """(start, end, words, digest) of the units of a text, one character at a time."""
+    lines, out = re.findall(r"[^\n]*\n|[^\n]+$", text), []
+    at = 0
+    for line in lines:
+        cut, a = [], 0
+        for m in re.finditer(r"[.!?]+(?=[ \t\n\v\f\r])|[。！？]+|\n", line):
+            cut.append((a, m.end()))
+            a = m.end()
+        if a < len(line):
+            cut.append((a, len(line)))
+        sized = [(x, y, sum(max(len(w.encode()) // 12, 1) for w in re.findall(r"[^ \t\n\v\f\r]+", line[x:y]))) for x, y in cut]
+        units, before = [], 0
+        for k, (x, y, n) in enumerate(sized):
+            if n >= 4:
+                units.append([x, y, n, False])
+                before = 0
+            elif k and sized[k - 1][2] < 4 and before // 4 == (before - sized[k - 1][2]) // 4:
+                units[-1][1], units[-1][2] = y, units[-1][2] + n
+                before += n
+            else:
+                before = n if not k or sized[k - 1][2] >= 4 else before + n
+                units.append([x, y, n, True])
+        norm = [" ".join(re.findall(r"[^ \t\n\v\f\r]+", line[x:y])).lower() for x, y, _, _ in units]
+        for k, (x, y, n, _) in enumerate(units):
+            digest = (norm[k],)
+            if 0 < n < 4:
+                digest = (norm[k], "next", norm[k + 1]) if k + 1 < len(units) else (norm[k], "last", norm[k - 1]) if k else digest
+            out.append((at + x, at + y, n, digest))
+        at += len(line)
+    return out
+
+
+def plain_removed(rows, run):
+    seen, out = set(), {}
+    for d, text in sorted(rows):
+        spans, open_ = [], []
+
+        def close():
+            while open_ and open_[-1][3]:
+                open_.pop()
+            if open_ and sum(u[2] for u in open_) >= run:
+                spans.append((open_[0][0], open_[-1][1]))
+            open_.clear()
+
+        for a, b, n, digest in plain_units(text):
+            again = n > 0 and digest in seen
+            seen.add(digest)
+            if again or open_ and not n:
+                open_.append((a, b, n, not n))
+            else:
+                close()
+        close()
+        out[d] = spans
+    return out
+
+
+@pytest.mark.parametrize("run", [20, 1])
+def test_substring_dedup_against_a_plain_version(spark, run):
+    """Short, long, joined and wide units, blank lines, repeats inside one text; a span holds repeats only."""
+    r = random.Random(9)
+    pool = [" ".join(r.choice(["ab", "cd", "éf", "gh", "ij", "漢字" * 9]) for _ in range(r.choice([1, 2, 3, 5, 9, 14]))) + r.choice([".", "!!", "?", ""]) for _ in range(40)]
+    rows = []
+    for d in range(120):
+        lines = []
+        for _ in range(r.randrange(1, 7)):
+            lines.append(" ".join(r.choice(pool) if r.random() < 0.8 else f"own{d} {r.random()} words here." for _ in range(r.randrange(0, 6))))
+        rows.append((d, "\n".join(lines)))
+    want = plain_removed(rows, run)
+    got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), run=run).collect()
+    assert {g["doc_id"]: [(s["start"], s["end"]) for s in g["removed"]] for g in got} == want
+    source = dict(rows)
+    for g in got:
+        t = source[g["doc_id"]]
+        assert "own" not in "".join(t[s["start"] : s["end"]] for s in g["removed"])
+        assert len(g["text"]) == len(t) - g["removed_chars"]
+
+
+def test_substring_dedup_keeps_what_is_no_repeat(spark):
+    passage = "these are the words of a passage that many of the texts share with one another in full. It has a second sentence of quite a few words too."
+    rows = [(1, passage), (2, f"{passage} UNIQUE bit! {passage}"), (3, "No! Yes! Well! Why! " + passage)]
+    got = {g["doc_id"]: g["text"] for g in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == passage and "UNIQUE bit!" in got[2] and "passage" not in got[2] and got[3].strip() == "No! Yes! Well! Why!"
