@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from tests_llm_brute import components
 
-from docengine.llm import near_dedup, substring_dedup
+from docengine.llm import html, near_dedup, substring_dedup
 
 
 def variants(n, seed):
@@ -119,3 +119,72 @@ def test_substring_dedup_keeps_what_is_no_repeat(spark):
     rows = [(1, passage), (2, f"{passage} UNIQUE bit! {passage}"), (3, "No! Yes! Well! Why! " + passage)]
     got = {g["doc_id"]: g["text"] for g in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == passage and "UNIQUE bit!" in got[2] and "passage" not in got[2] and got[3].strip() == "No! Yes! Well! Why!"
+
+
+def one_page(page):
+    own = html.Plan(html.wrapper(html.parse(page)))
+    return html.extract(html.parse(page), own.main, own.beside)
+
+
+def site(n, seed=1, copies=1):
+    """Pages without article elements: a menu, a constant head and foot, an advert, a body of div and p, comments on some."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefg") for _ in range(r.randrange(2, 8)))
+    out = []
+    for i in range(n):
+        body = [" ".join(word() for _ in range(r.randrange(20, 40))) for _ in range(r.randrange(2, 5))]
+        menu = "".join(f"<li><a href='/{k}'>{word()}</a></li>" for k in range(r.randrange(3, 9)))
+        remarks = "".join(f"<div class=comment><p>{word()} {word()}</p></div>" for _ in range(r.randrange(0, 3)))
+        page = f"<body><div class=top>The site of things</div><div><ul>{menu}</ul></div><div class=text><h2>Abstract</h2>{''.join(f'<p>{x}' for x in body)}<div class='ad-box'>{word()} now</div>{remarks}</div><div class=end>All rights</div></body>"
+        out += [(page, ["Abstract", *body])] * copies
+    return out
+
+
+@pytest.mark.parametrize(("n", "copies"), [(4, 1), (9, 1), (30, 1)])
+def test_html_wrapper_decides_what_is_beside(spark, n, copies):
+    """The merged result is that of one process, at any number of pages and partitions."""
+    pages = site(n, copies=copies)
+    done = None
+    for page, _ in pages:
+        own = html.wrapper(html.parse(page))
+        done = own if done is None else html.bounded(html.align(done, own))
+    plan = html.Plan(done)
+    for page, want in pages:
+        assert html.extract(html.parse(page), plan.main, plan.beside) == want
+    table = spark.createDataFrame([(i, "http://a.example/", p) for i, (p, _) in enumerate(pages)], "page_id long, url string, html string")
+    for parts in (1, 5):
+        got = {g["page_id"]: g["text"] for g in html.main_text(table.repartition(parts)).collect()}
+        assert got == {i: "\n".join(want) for i, (_, want) in enumerate(pages)}
+
+
+def test_html_copies_of_a_page_do_not_hide_it(spark):
+    page = "<body><div><p>" + "same words of the page " * 5 + "</p><div>text in a div</div></div></body>"
+    table = spark.createDataFrame([(i, "http://a.example/", page) for i in range(15)], "page_id long, url string, html string")
+    assert {g["text"] for g in html.main_text(table).collect()} == {("same words of the page " * 5).strip() + "\ntext in a div"}
+
+
+def test_html_tag_soup():
+    assert one_page("<html><head><title>x</title><body><article><p>Main text") == ["Main text"]
+    assert one_page("<body><p title=it's>one<p>two<p title='a>b'>three</p><p class=\"x\">four") == ["one", "two", "three", "four"]
+    assert one_page("<body><article><h1>T</h1><div class='product-review-tags'><p>" + "body words " * 30 + "</div><p>next</article>")[1].startswith("body words")
+    deep = "<div>" * 400 + "<p>in</p>" + "</div>" * 400 + "<p>after</p>"
+    assert one_page(f"<body>{deep}</body>") == ["in", "after"]
+
+
+def test_html_wrapper_is_bounded(monkeypatch):
+    monkeypatch.setattr(html, "NODES", 200)
+    done = None
+    for i in range(300):
+        name = "".join("abcdefghij"[int(c)] for c in str(i))
+        own = html.wrapper(html.parse(f"<body><div class=x{name}>w{i} one</div><div class=text><p>{'word ' * 20}{i}</div></body>"))
+        done = own if done is None else html.bounded(html.align(done, own))
+    count = lambda n: 1 + sum(map(count, n.kids))
+    assert count(done) <= 220 and html.Plan(done).main == ["body", "div.text"]
+
+
+def test_html_matches_are_ascending():
+    r = random.Random(2)
+    for _ in range(300):
+        a, b = ([html.Node(r.choice("abc")) for _ in range(r.randrange(0, 9))] for _ in range(2))
+        got = html._matches(a, b)
+        assert all(a[i].name == b[j].name for i, j in got) and all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
