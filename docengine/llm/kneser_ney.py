@@ -5,9 +5,9 @@ blank, and every other code point hashed to one of 2 ** BITS classes, so all scr
 modelled.  ORDER classes make one 60-bit integer; its low bits are the shorter n-grams that
 end alike, its high bits the context, so counts, contexts and suffixes are plain arithmetic.
 
-All text is read in blocks (splits of the input files).  A task emits each distinct n-gram of
-its block once, with its count in trusted text: the table of n-grams grows with the corpus and
-is written to the shared folder.  Counts, discounts and probabilities of every order are
+All text is read in blocks (whole splits of the input files, dealt out by a hash so that a block
+has about BLOCK bytes).  A task emits each distinct n-gram of a block once, with its count in
+trusted text: the table of n-grams grows with the corpus and is written to the shared folder.  Counts, discounts and probabilities of every order are
 aggregates and joins of that table on n-gram, context and suffix.  Each n-gram of the corpus,
 in trusted text or not, gets its probability by the same joins, and a join back on the block
 brings every block exactly the n-grams it holds; there the perplexity of each whole text is
@@ -37,7 +37,7 @@ SLACK = 1.05
 SHORT = 12.0  # the threshold of a text of n characters grows by the share SHORT / n, as short texts vary more
 ENOUGH = 50  # trusted texts a language needs for a threshold of its own
 MOST_IDS = 4_000_000  # trusted ids (32 MB) up to which they are broadcast; beyond, texts and ids meet by a merge join
-SPREAD = 64  # blocks of rows that come from no file
+BLOCK = 32 << 20  # bytes of text a block has about: what meets in one task to be scored
 
 _ASCII = np.arange(128, dtype=np.int64)
 _ASCII[65:91] += 32
@@ -65,9 +65,10 @@ def grams(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _blocked(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` and text, with the block of each row: the split of a file it comes from."""
-    source = F.xxhash64(F.input_file_name(), F.input_file_block_start())
-    return docs.select(*columns, "text", F.when(F.input_file_name() != "", source).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD))).alias("block"))
+    """``columns`` and text, with the block of each row: chosen by the split it comes from, or by doc_id if it comes from no file."""
+    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    source = F.when(F.input_file_name() != "", F.xxhash64(F.input_file_name(), F.input_file_block_start())).otherwise(F.xxhash64("doc_id"))
+    return docs.select(*columns, "text", F.pmod(source, F.lit(-(-size // BLOCK) or 1)).alias("block"))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +205,8 @@ def perplexity(docs: DataFrame, trusted: DataFrame, carry: list[str], folder: st
     rows.where("text is not null").select(block, mark, "text").mapInArrow(_count, "block long, gram long, c long").write.parquet(folder)
     seen = docs.sparkSession.read.schema("block long, gram long, c long").parquet(folder)
     found = probabilities(counts(seen), seen)
-    tables = seen.select("block", "gram").join(found, "gram")
+    # One row for each n-gram and block; both steps use one shuffle.
+    tables = seen.select("block", "gram").repartition("gram").distinct().join(found, "gram")
     inner = rows.select(*carry, mark, "text", block)
     packed = inner.mapInArrow(_pack(), "block long, rows binary")
     kinds = {f.name: f.dataType.simpleString() for f in inner.schema}

@@ -268,6 +268,7 @@ def test_kneser_ney(spark, monkeypatch):
     for chunk in (None, 1):
         if chunk:
             monkeypatch.setattr(kneser_ney, "MOST_IDS", 0)
+            monkeypatch.setattr(kneser_ney, "BLOCK", 500)  # many blocks
         got = kneser_ney.quality(spark.createDataFrame(made, "doc_id long, text string, lang string"), spark.createDataFrame(marks, "doc_id long, quality int")).collect()
         assert Counter(g["doc_id"] for g in got) == Counter(d for d, _, _ in made)
         ranked = {lang: sorted(want[d] for d, t, of in made if d in good and t and (of == lang or lang == "all")) for lang in ("x", "y", None, "all")}
