@@ -37,6 +37,7 @@ SLACK = 1.05
 SHORT = 12.0  # the threshold of a text of n characters grows by the share SHORT / n, as short texts vary more
 ENOUGH = 50  # trusted texts a language needs for a threshold of its own
 MOST_IDS = 4_000_000  # trusted ids (32 MB) up to which they are broadcast; beyond, texts and ids meet by a merge join
+SLICE = 1 << 20  # bytes of text that are turned into n-grams at once; each takes about 80 bytes of memory meanwhile
 BLOCK = 32 << 20  # bytes of text a block has about: what meets in one task to be scored
 
 _ASCII = np.arange(128, dtype=np.int64)
@@ -85,11 +86,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in np.unique(blocks):
             rows = np.flatnonzero(blocks == block)
             raw, off = buffers(batch.column(2).take(pa.array(rows)))
-            for i, j in slices(off):
+            for i, j in slices(off, SLICE):
                 keys, first = grams(raw[off[i] : off[j]], off[i : j + 1] - off[i])
                 parts = held.setdefault(int(block), [])
                 parts.append(merged([(keys, np.repeat(trusted[rows[i:j]], np.diff(first)))]))
-                if len(parts) > 16:
+                if len(parts) > 32:
                     held[int(block)] = [merged(parts)]
     for block, parts in held.items():
         ids, c = merged(parts)
@@ -179,7 +180,7 @@ def _scored(names: list[str]):
             for batch in pa.ipc.open_stream(blob.as_py()):
                 raw, off = buffers(batch.column(batch.num_columns - 1))
                 size, mean = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-                for i, j in slices(off):
+                for i, j in slices(off, SLICE):
                     own, first = grams(raw[off[i] : off[j]], off[i : j + 1] - off[i])
                     codes, ids = pd.factorize(own)
                     total = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(keys, ids)][codes])])
