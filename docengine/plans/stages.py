@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,30 @@ def extract(spark: SparkSession, folder: str, provider: V.PdfProvider, settings:
     return pages.withColumn("name", S.rendered_name(F.col("page")))
 
 
+def extracted(spark: SparkSession, folder: str, provider: V.PdfProvider, settings: Settings) -> DataFrame:
+    """The files that the extraction writes, (path, payload): by ``settings.extract`` page images or embedded
+    images or both, page texts and the combined text if ``settings.write_text``, and a manifest for each input."""
+    pages = extract(spark, folder, provider, settings)
+    images = embedded_images(spark, folder, provider, settings) if settings.extract in ("images", "both") else None
+    stem = T.safe_stem(F.regexp_extract("input_pdf", "([^/]*)$", 1))
+    at = lambda *parts: F.concat_ws("/", stem, *parts).alias("path")
+    plain = lambda text: F.encode(text, "UTF-8").alias("payload")
+    made = S.manifests(pages, images)
+    if settings.extract == "images":
+        made = made.drop("rendered_pages")
+    texts = S.combined_text(pages)
+    out = [(made.join(texts, "input_pdf", "left") if settings.write_text else made)]
+    out = [o.select(at(F.lit("manifest.json")), plain(F.to_json(F.struct(*o.columns)))) for o in out]
+    if settings.extract in ("render", "both"):
+        out.append(pages.select(at(F.lit("pages"), "name"), F.col("png").alias("payload")))
+    if images is not None:
+        out.append(images.select(at(F.lit("embedded_images"), "name"), "payload"))
+    if settings.write_text:
+        out.append(pages.select(at(F.lit("text"), F.format_string("page-%03d.txt", "page")), plain(F.col("text"))))
+        out.append(texts.select(at(F.lit("text"), F.lit("combined.txt")), plain(F.col("text.combined"))))
+    return reduce(DataFrame.unionByName, out)
+
+
 def embedded_images(spark: SparkSession, folder: str, provider: V.PdfProvider, settings: Settings) -> DataFrame:
     """Embedded images (input_pdf, page, index, ext, width, height, size, payload, name); the mode "both" also renders."""
     found = P.first_folders(S.pdfs(spark, folder), settings.limit or None)
@@ -39,6 +65,20 @@ def crop(metrics: DataFrame, page: list[str], settings: Settings) -> DataFrame:
     return C.crop_names(kept)
 
 
+def cut_crops(pages: DataFrame, settings: Settings) -> DataFrame:
+    """Crops with name, box, measures and PNG of pages (file, page, path_pos, png): boxes are found, then cut and judged.
+
+    The boxes of a page are a few dozen, so they travel as an array to the page's image; only
+    chosen crops keep their PNG.  A page that cannot be read has no crops.
+    """
+    key = ["file", "page", "path_pos"]
+    sized = [*key, "width", "height"]
+    placed = G.numbered(boxes(V.detect_boxes(pages.select(*key, "png")), sized), sized, F.col("width"), F.col("height"))
+    per_page = placed.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("i", "x1", "y1", "x2", "y2"))).alias("boxes"))
+    cut = V.cut_boxes(pages.select(*key, "png").join(per_page, key)).withColumns({"page_base": F.col("page"), "page_id": T.page_id(F.col("page"))})
+    return crop(cut, ["file", "page"], settings)
+
+
 def read(images: DataFrame, provider: V.OcrProvider, settings: Settings) -> DataFrame:
     """Records of (file, page, image, content): filters first, then one recognition call per crop."""
     chosen = P.first_pages(P.first_folders(P.only(images, settings.only_folder, settings.only_page), settings.limit), settings.limit_pages)
@@ -87,6 +127,13 @@ def sidecars(asked: DataFrame) -> DataFrame:
     return asked.where("error is not null").select("file", text.alias("text"))
 
 
+def answered(asked: DataFrame) -> DataFrame:
+    """The files of the answers, (path, payload): a metadata document or a failure's sidecar for each folder."""
+    good = asked.where("error is null").select(F.concat("file", F.lit(".json")).alias("path"), F.encode("document", "UTF-8").alias("payload"))
+    bad = sidecars(asked).select(F.concat("file", F.lit(".raw.txt")).alias("path"), F.encode("text", "UTF-8").alias("payload"))
+    return good.unionByName(bad)
+
+
 #: Regions of the fixed-grid layout.
 GRID_ROIS = {
     "serial": (0.05, 0.05, 0.35, 0.18), "epic": (0.55, 0.05, 0.98, 0.18), "name": (0.05, 0.20, 0.98, 0.38), "father_name": (0.05, 0.38, 0.98, 0.56),

@@ -8,6 +8,7 @@ exercised here; the stubs are deterministic, for tests and dry runs.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -15,6 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from docengine.sources.images import from_png, to_png
+
 WORDS = "array<struct<text:string,conf:int,x:int,y:int,w:int,h:int,block_num:int,par_num:int,line_num:int,word_num:int>>"
 OCR_SCHEMA = f"epic_raw string, serial_raw array<string>, serial_fallback string, house_roi string, ocr {WORDS}, error string"
 PAGE_SCHEMA = "page int, png binary, text string"
@@ -92,6 +95,13 @@ class StubOcr:
         return {"epic_raw": lines[0] if lines else "", "serial_raw": [], "serial_fallback": "", "house_roi": "", "ocr": words}
 
 
+class NoProvider:
+    """For work that needs none."""
+
+    def setup(self) -> None:
+        pass
+
+
 class StubVision:
     def setup(self) -> None:
         pass
@@ -141,6 +151,65 @@ def recognise(crops: DataFrame, provider: OcrProvider, languages: str) -> DataFr
     return _spread(crops, provider, {"content"}, OCR_SCHEMA, work)
 
 
+def _readable(png: bytes | None) -> np.ndarray | None:
+    try:
+        return from_png(bytes(png or b""))
+    except (ValueError, zlib.error):
+        return None
+
+
+def detect_boxes(pages: DataFrame) -> DataFrame:
+    """Connected line structures (x, y, w, h, n_vertices) and the size of each readable page (.., png)."""
+
+    def work(_, row: dict) -> list[dict]:
+        from docengine.sources.pixels import grid_boxes, to_gray
+
+        page = _readable(row["png"])
+        if page is None:
+            return []
+        return [dict(zip(("x", "y", "w", "h", "n_vertices"), box)) | {"width": page.shape[1], "height": page.shape[0]} for box in grid_boxes(to_gray(page))]
+
+    return _spread(pages, NoProvider(), {"png"}, "x int, y int, w int, h int, n_vertices int, width int, height int", work)
+
+
+def cut_boxes(pages: DataFrame) -> DataFrame:
+    """A row for each of the boxes array<struct<i, x1, y1, x2, y2>> of a page (.., png, boxes): corners, measures and the crop as PNG."""
+
+    def work(_, row: dict) -> list[dict]:
+        from docengine.sources.pixels import crop_metrics, edges, preprocess
+
+        page, out = _readable(row["png"]), []
+        for box in row["boxes"] if page is not None else []:
+            box = box if isinstance(box, dict) else box.asDict()
+            own = page[box["y1"] : box["y2"], box["x1"] : box["x2"]]
+            out.append(box | crop_metrics(own) | {"post_edge_frac": float(edges(preprocess(own)).mean()), "crop": to_png(own)})
+        return out
+
+    more = "i int, x1 int, y1 int, x2 int, y2 int, ink_frac double, line_ratio double, small_components int, largest_cc_ratio double, edge_frac double, post_edge_frac double, crop binary"
+    return _spread(pages, NoProvider(), {"png", "boxes"}, more, work)
+
+
+def write_files(rows: DataFrame, folder: str) -> DataFrame:
+    """Write (path, payload) below ``folder``, a file a row, from the executors; gives path and size.
+
+    ``folder`` is a path or URI that Arrow's file systems know and that executors share.  A
+    repeated task writes the same bytes again, so a lost executor does no harm.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        for frame in frames:
+            for path, payload in zip(frame["path"], frame["payload"]):
+                store.create_dir(f"{root}/{path}".rpartition("/")[0], recursive=True)
+                with store.open_output_stream(f"{root}/{path}") as out:
+                    out.write(bytes(payload or b""))
+            yield pd.DataFrame({"path": frame["path"], "size": [len(p or b"") for p in frame["payload"]]})
+
+    return rows.select("path", "payload").mapInPandas(run, "path string, size long")
+
+
 def ask(folders: DataFrame, provider: VisionProvider, prompt: str) -> DataFrame:
     """Answers for (.., front_url, back_url)."""
 
