@@ -66,3 +66,17 @@ LOOKBACK = 6
 # File kinds of the listings.
 PAGE_EXTENSIONS = ["png", "jpg", "jpeg", "webp", "tif", "tiff", "bmp"]
 CROP_EXTENSIONS = ["png", "jpg", "jpeg", "webp", "tiff", "bmp"]
+
+# Regions of the fixed-grid layout.
+GRID_ROIS = {
+    "serial": (0.05, 0.05, 0.35, 0.18), "epic": (0.55, 0.05, 0.98, 0.18), "name": (0.05, 0.20, 0.98, 0.38), "father_name": (0.05, 0.38, 0.98, 0.56),
+    "house_no": (0.05, 0.56, 0.98, 0.72), "age": (0.05, 0.72, 0.55, 0.92), "gender": (0.55, 0.72, 0.98, 0.92),
+}
+
+# Default endpoint and model by the provider's name.
+BASE_URLS = {"": ("https://api.openai.com/v1/", "gpt-4o-mini"), "gemini": ("https://generativelanguage.googleapis.com/v1beta/openai/", "gemini-2.5-flash")}
+
+# Texts that stand for what was not read.
+NO_TEXT = "[No text detected]"
+READ_ERROR = "[Error processing image: "
+NO_JSON = "Could not parse JSON from model response"

@@ -178,7 +178,7 @@ _PAGE_ROWS = _row(["row_number() OVER (PARTITION BY file, page ORDER BY image)",
 _MD_LINES = f"""
 li AS (SELECT k, line_num, '- **b1/p1/l' || line_num || '**: ' || {_md("string_agg(t, ' ' ORDER BY x, pos)")} AS item FROM (SELECT *, {_strip('text')} AS t FROM rw) WHERE t <> '' GROUP BY k, line_num),
 items AS (SELECT k, string_agg(item, chr(10) ORDER BY line_num) AS items FROM li GROUP BY k)"""
-_RAW = f"""raw AS (SELECT 'f' AS file, 'p' || (k % 50) AS page, k::VARCHAR AS image, {_text(["'## p' || (k % 50) || ' / ' || k", "''", "'- **File**: f'", "'- **Languages**: eng'", "'- **Tesseract config**: `--psm 6`'", "''", "'### Text by line'", "''", "items", "''"])} AS markdown FROM items)"""
+_RAW = f"""raw AS (SELECT 'f' || k // 500 AS file, 'p' || (k % 50) AS page, k::VARCHAR AS image, {_text(["'## p' || (k % 50) || ' / ' || k", "''", "'- **File**: f' || k // 500", "'- **Languages**: eng'", "'- **Tesseract config**: `--psm 6`'", "''", "'### Text by line'", "''", "items", "''"])} AS markdown FROM items)"""
 _PAGES = "pages AS (SELECT file, page, count(*) AS n FROM records GROUP BY file, page)"
 _URL = "SELECT id, CASE WHEN id % 11 = 0 THEN ' ' ELSE CASE WHEN id % 3 = 0 THEN ' ' ELSE '' END || 'https://h/v1' || CASE WHEN id % 2 = 0 THEN '/openai' ELSE '' END || CASE WHEN id % 5 = 0 THEN '/chat/completions' ELSE '' END || CASE WHEN id % 7 = 0 THEN '//' ELSE '' END END AS url FROM (" + X.FILES + ")"
 _TRIMMED = "rtrim(trim(url), '/')"
@@ -282,6 +282,9 @@ ORACLES = {
     "files_resolved": f"WITH {_FILES} SELECT id, file, page FROM files f WHERE in_images = (SELECT max(in_images) FROM files g WHERE g.file = f.file AND g.page = f.page)",
     "files_names": f"SELECT id, printf('page-%03d-img-%02d.%s', id % 1200, id % 150, CASE WHEN id % 7 = 0 THEN 'bin' ELSE lower(ext) END) AS embedded, printf('page-%03d.png', id % 1200) AS rendered FROM ({X.FILES})",
     "files_combined_text": "SELECT conv_id::VARCHAR AS input_pdf, length(string_agg(text, chr(10) ORDER BY turn, text)) AS n_combined, md5(string_agg(text, chr(10) ORDER BY turn, text)) AS digest, count(*) AS pages, sum(length(text)) AS chars FROM conversations GROUP BY conv_id",
+    "files_manifest": """WITH p AS (SELECT DISTINCT conv_id::VARCHAR AS input_pdf, turn::INT AS page FROM conversations)
+SELECT input_pdf, count(*) AS pages, string_agg(printf('page-%03d.png', page), ',' ORDER BY page) AS rendered,
+  string_agg(printf('embedded_images/page-%03d-img-01.%s', page, CASE WHEN page % 3 = 0 THEN 'bin' ELSE 'png' END), ',' ORDER BY page) FILTER (page % 4 > 0) AS images FROM p GROUP BY input_pdf""",
     "files_data_url": f"SELECT id, 'data:image/' || CASE WHEN lower(ext) IN ('jpg', 'jpeg') THEN 'jpeg' ELSE lower(ext) END || ';base64,' || base64(stem::BLOB) AS url FROM ({X.FILES})",
     "files_crop_names": f"""WITH {_FILES}, c AS (SELECT file, page AS page_id, stem AS page_base, id AS path_pos, unnest([1, 2]) AS i FROM files WHERE kind <> 'text'),
 n AS (SELECT *, row_number() OVER (PARTITION BY file, page_id, i ORDER BY path_pos) AS r, ltrim(substr(page_base, length(page_id) + 1), '-_') AS extra FROM c),
@@ -322,13 +325,23 @@ SELECT page, count(*) AS n, sum(i) AS i FROM m JOIN p USING (page) WHERE ok OR (
     "pages_dry_run": f"WITH {_PICK} SELECT *, '(default)' AS provider FROM picked",
     "pages_limit": f"WITH rec AS ({X.RECORDS}) SELECT file, count(*) AS n FROM rec WHERE file IN (SELECT DISTINCT file FROM rec ORDER BY file LIMIT 3) GROUP BY file",
     "pages_limit_pages": f"WITH rec AS ({X.RECORDS}) SELECT file, page, count(*) AS n FROM rec WHERE file = 'file-3' AND page IN (SELECT DISTINCT page FROM rec WHERE file = 'file-3' ORDER BY page LIMIT 2) GROUP BY file, page",
-    "pages_resume": f"WITH rec AS ({X.RECORDS}) SELECT file, count(*) AS n FROM rec WHERE file NOT IN (SELECT file FROM rec WHERE page = 'page-7') GROUP BY file",
+    "pages_resume": f"WITH rec AS ({X.RECORDS}) SELECT file, count(*) AS n FROM rec WHERE file NOT IN (SELECT file FROM rec WHERE page = 'page-7' AND k % 7 = 0) GROUP BY file",
     "model_cost": f"""SELECT k, CASE WHEN has_usage AND (input_cost IS NOT NULL OR output_cost IS NOT NULL) THEN 0.0::DOUBLE
   + CASE WHEN input_cost IS NOT NULL THEN coalesce(prompt_tokens, 0) / 1000000.0::DOUBLE * input_cost::DOUBLE ELSE 0.0::DOUBLE END
   + CASE WHEN output_cost IS NOT NULL THEN coalesce(completion_tokens, 0) / 1000000.0::DOUBLE * output_cost::DOUBLE ELSE 0.0::DOUBLE END END AS cost FROM ({X.USAGE})""",
     "model_json": f"WITH {_ANSWERS} SELECT event_id, parsed, CASE WHEN event_id % 6 = 4 THEN NULL ELSE json_extract_string(json, '$.k') END AS value FROM got",
     "model_documents": f"WITH {_ANSWERS} SELECT event_id, 'm' AS model, '6515' AS tokens, CASE WHEN event_id % 6 = 4 THEN '1' END AS data FROM got WHERE parsed",
     "model_failures": f"WITH {_ANSWERS} SELECT event_id, content FROM got WHERE NOT parsed",
+    "model_sidecars": f"WITH {_ANSWERS} SELECT event_id::VARCHAR AS file, concat_ws(chr(10), {_q('ERROR: ' + L.NO_JSON)}, 'front=1', 'back=' || (event_id % 5 + 2), '', '--- MODEL OUTPUT (raw) ---', content) AS text FROM got WHERE NOT parsed",
+    "model_files": f"WITH {_ANSWERS} SELECT event_id || CASE WHEN parsed THEN '.json' ELSE '.raw.txt' END AS path FROM got",
+    "grid_records": f"""WITH r AS (SELECT k::VARCHAR AS image, {_sub('r0', '[^0-9]')} AS serial_no, {_epic('raw')} AS epic_no, 'N' || k AS name, 'F' AS father_name,
+  translate({_sub('upper(raw)', '[^A-Z0-9/-]')}, 'OI', '01') AS house_no, {_sub('number', '[^0-9]')} AS age, CASE k % 4 WHEN 0 THEN 'Male' WHEN 1 THEN 'Male' WHEN 2 THEN 'x' ELSE '' END AS gender FROM ({X.CODES}))
+SELECT *, '- Serial No: **' || serial_no || '**' || chr(10) || '- EPIC No: **' || epic_no || '**' || CASE WHEN epic_no = '' OR {_VALID.format('epic_no')} THEN '' ELSE '  *(check EPIC)*' END
+  || chr(10) || '- Name: ' || name || chr(10) || '- Father Name: ' || father_name || chr(10) || '- House No: ' || house_no || chr(10) || '- Age: ' || age || chr(10) || '- Gender: ' || gender || chr(10) AS markdown FROM r""",
+    "page_texts": f"SELECT k, CASE WHEN k % 7 = 0 THEN {_q(L.READ_ERROR)} || 'boom ' || k || ']' WHEN k % 3 = 0 OR {_strip('raw')} = '' THEN {_q(L.NO_TEXT)} ELSE {_strip('raw')} END AS text FROM ({X.CODES})",
+    "words_older_label": f"WITH {_SPANS} SELECT k, min(i) FILTER (norm <> '' AND {_any(lambda q: f'contains(norm, {_q(q)}) OR contains({_q(q)}, norm)', sorted({T.normalize_py(v) for v in L.HOUSE_LABELS} - {''}))}) AS i FROM w GROUP BY k",
+    "crops_cut": """WITH s AS (SELECT 'f' || s_suppkey // 20 AS file, printf('page-%03d', s_suppkey % 20) AS page, s_suppkey AS path_pos, unnest(generate_series(1, (s_suppkey % 3 + 1) * 2)) AS i FROM supplier)
+SELECT *, page || printf('-%03d.png', i) AS crop_name FROM s""",
     "output_pages": f"WITH {_STEPS} SELECT file, page, count(*) AS images_count, 0.65::DOUBLE AS x1, string_agg(concat_ws(',', image, epic_no, house_no), ';' ORDER BY image) AS records FROM records GROUP BY file, page",
     "output_files": f"WITH {_STEPS}, {_PAGES} SELECT file AS folder, count(*) AS pages_count, sum(n) AS images_count, string_agg(page || ':' || n, ';' ORDER BY page) AS pages FROM pages GROUP BY file",
     "output_page_markdown": f"""WITH {_STEPS}, rep AS ({_REPORT}), rows AS (SELECT file, page, image, {_PAGE_ROWS} AS r FROM records), body AS (SELECT file, page, string_agg(r, chr(10) ORDER BY image) AS body FROM rows GROUP BY file, page)
@@ -340,9 +353,9 @@ SELECT file, page, {_text(["'# OCR Preview'", "''", "'- **File**: ' || file", "'
     "output_raw_text": f"WITH rec AS ({X.RECORDS}), {_REC_WORDS}, {_MD_LINES}, {_RAW} SELECT * FROM raw",
     "output_raw_detail": f"""WITH rec AS ({X.RECORDS}), {_REC_WORDS}, {_MD_LINES},
 tok AS (SELECT k, count(*) AS n, string_agg(CASE WHEN {_strip('text')} <> '' THEN {_row(["i", _md(_strip('text')), "conf", "x", "y", "w", "h", "1", "1", "line_num", "pos + 1"])} END, chr(10) ORDER BY i) AS rows FROM rw GROUP BY k)
-SELECT k::VARCHAR AS image, {_text(["'# Raw OCR Dump (Detailed)'", "''", "'- **File**: f'", "'- **Page**: p' || (k % 50)", "'- **Image**: ' || k", "'- **Languages**: eng'", "'- **Tesseract config**: `--psm 6`'", "'- **Token rows**: ' || n", "'- **Conf (min..max)**: 90..90'", "''",
+SELECT k::VARCHAR AS image, {_text(["'# Raw OCR Dump (Detailed)'", "''", "'- **File**: f' || k // 500", "'- **Page**: p' || (k % 50)", "'- **Image**: ' || k", "'- **Languages**: eng'", "'- **Tesseract config**: `--psm 6`'", "'- **Token rows**: ' || n", "'- **Conf (min..max)**: 90..90'", "''",
     "'## Text by line (as Tesseract tokens)'", "''", "items", "''", "'## Tokens'", "''", "'| i | text | conf | left | top | width | height | block | par | line | word |'", "'|---:|---|---:|---:|---:|---:|---:|---:|---:|---:|---:|'", "rows", "''"])} AS markdown FROM tok LEFT JOIN items USING (k)""",
-    "output_raw_file": f"""WITH rec AS ({X.RECORDS}), {_REC_WORDS}, {_MD_LINES}, {_RAW}, one AS (SELECT file, '# Raw OCR (Text Only)' || chr(10) || chr(10) || '- **File**: f' || chr(10) || '- **Languages**: eng' || chr(10) || '- **Tesseract config**: `--psm 6`' || chr(10) || string_agg(markdown, '' ORDER BY page, image) AS markdown FROM raw GROUP BY file)
+    "output_raw_file": f"""WITH rec AS ({X.RECORDS}), {_REC_WORDS}, {_MD_LINES}, {_RAW}, one AS (SELECT file, '# Raw OCR (Text Only)' || chr(10) || chr(10) || '- **File**: ' || file || chr(10) || '- **Languages**: eng' || chr(10) || '- **Tesseract config**: `--psm 6`' || chr(10) || string_agg(markdown, '' ORDER BY page, image) AS markdown FROM raw GROUP BY file)
 SELECT file, length(markdown) AS chars, md5(markdown) AS digest FROM one""",
     "stats_timing": f"SELECT file, page, count(*) AS images_processed, round(sum(k % 64 / 8.0::DOUBLE), 4) AS total_seconds, round(sum(k % 64 / 8.0::DOUBLE) / count(*), 4) AS avg_seconds_per_image FROM ({X.RECORDS}) GROUP BY file, page",
     "stats_run": f"WITH f AS (SELECT file, count(*) AS n, round(sum(k % 64 / 8.0::DOUBLE), 4) AS s FROM ({X.RECORDS}) GROUP BY file) SELECT count(*) AS files, sum(n)::BIGINT AS images, round(sum(s) / sum(n), 4) AS avg_seconds FROM f",

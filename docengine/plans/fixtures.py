@@ -6,11 +6,14 @@ with plain arithmetic.  ``{array}`` style differences are kept out: each view is
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docengine.sources.images import to_png
+
 RECORDS = """
-SELECT c_custkey AS k, 'file-' || CAST(c_custkey % 12 AS STRING) AS file, 'page-' || CAST(c_custkey % 50 AS STRING) AS page,
+SELECT c_custkey AS k, 'file-' || CAST(CAST(floor(c_custkey / 150) AS INT) AS STRING) AS file, 'page-' || CAST(c_custkey % 50 AS STRING) AS page,
   'img-' || CAST(c_custkey AS STRING) || '.png' AS image,
   CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN 'பெயர் : ' || c_name WHEN 2 THEN 'Name - ' || c_name || ' -' WHEN 3 THEN 'na‌me : ' || c_name
     WHEN 4 THEN 'NAME:' || c_name || '  Photo is available' ELSE ' Name  : ' || c_name END AS l0,
@@ -75,12 +78,23 @@ FROM events
 """
 
 
+def spread(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``rows`` dealt out by their first column if the scan has fewer splits than there are cores.
+
+    Row-wise work then uses all cores on a small table; a scan with splits enough gets no shuffle.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, rows.columns[0]) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A view's SQL over the tables of a folder, without registering names in the session."""
     import re
 
     tables = sorted(set(re.findall(r"\b(?:FROM|JOIN) ([a-z]+)", sql)))
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
+    driving = re.search(r"\bFROM ([a-z]+)", sql).group(1)
+    frames[driving] = spread(spark, frames[driving])
     escaped = sql.replace("{", "{{").replace("}", "}}")
     named = re.sub(r"\b(FROM|JOIN) ([a-z]+)", r"\1 {\2}", escaped)
     return spark.sql(named, **frames)
@@ -88,7 +102,7 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents as a recogniser would give them; one line of text is one line."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
     rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_num", "line")).select("doc_id", "line_num", F.posexplode(F.split("line", " ")).alias("i", "text"))
     conf = ((F.col("doc_id") * 31 + F.col("line_num") * 7 + F.col("i") * 13) % 100 - 1).cast("int")
     one = F.lit(1)
@@ -113,3 +127,29 @@ def record_words(spark: SparkSession, sf_dir: str) -> DataFrame:
         "k", at.alias("i"), "text", F.lit(90).alias("conf"), (F.col("pos") * 60).alias("x"), (F.col("line_num") * 30).alias("y"), (F.length("text") * 5).alias("w"), F.lit(20).alias("h"),
         F.lit(1).alias("block_num"), F.lit(1).alias("par_num"), "line_num", (F.col("pos") + 1).alias("word_num"),
     )
+
+
+def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drawn pages (file, page, path_pos, png): a supplier's has one to three rows of two framed boxes with strokes."""
+    def run(frames):
+        for frame in frames:
+            yield frame.assign(png=[to_png(form(int(n))) for n in frame["n"]])[["file", "page", "path_pos", "png"]]
+
+    key = F.col("s_suppkey")
+    rows = spread(spark, spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey")).select(
+        F.concat(F.lit("f"), F.floor(key / 20).cast("string")).alias("file"), F.format_string("page-%03d", (key % 20).cast("int")).alias("page"), key.cast("int").alias("path_pos"), (key % 3 + 1).alias("n")
+    )
+    return rows.mapInPandas(run, "file string, page string, path_pos int, png binary")
+
+
+def form(rows: int = 3, columns: int = 2) -> np.ndarray:
+    """A white page with framed boxes that hold some strokes."""
+    page = np.full((1679, 1187), 255, np.uint8)
+    for r in range(rows):
+        for c in range(columns):
+            box = page[60 + r * 400 :, 40 + c * 560 :][:300, :500]
+            box[:3] = box[-3:] = box[:, :3] = box[:, -3:] = 0
+            for k in range(6):
+                for m in range(12):
+                    box[40 + 40 * k : 48 + 40 * k, 30 + 35 * m : 45 + 35 * m] = 0
+    return page

@@ -1,4 +1,7 @@
-"""Nested page and file documents, and their Markdown."""
+"""Nested page and file documents, and their Markdown.
+
+Headings, table heads and field names of the documents are fixed values of the output format.
+"""
 
 from __future__ import annotations
 

@@ -13,8 +13,6 @@ from docengine.plans import outputs as O, records as R
 from docengine.sources import files as S, providers as V
 from docengine.sources.config import Settings, pricing
 
-BASE_URLS = {"": ("https://api.openai.com/v1/", "gpt-4o-mini"), "gemini": ("https://generativelanguage.googleapis.com/v1beta/openai/", "gemini-2.5-flash")}
-
 
 def extract(spark: SparkSession, folder: str, provider: V.PdfProvider, settings: Settings) -> DataFrame:
     """Rendered pages (file, page, png, text, name) of the first PDFs of a folder."""
@@ -107,7 +105,7 @@ def ask(pages: DataFrame, scores: DataFrame, done: DataFrame, provider: V.Vision
     todo = P.unfinished(P.first_folders(scores, settings.limit), done, settings.force)
     plan = P.pick_pages(todo, ["file"])
     name = (values.get("AI_PROVIDER") or "").strip().lower()
-    base, model = BASE_URLS.get(name, BASE_URLS[""])
+    base, model = L.BASE_URLS.get(name, L.BASE_URLS[""])
     base, model = values.get("AI_BASE_URL") or base, values.get("AI_MODEL") or model
     endpoint = T.sdk_base_url(F.lit(base))
     if settings.dry_run:
@@ -116,7 +114,7 @@ def ask(pages: DataFrame, scores: DataFrame, done: DataFrame, provider: V.Vision
     asked = V.ask(plan.join(url("front"), ["file", "front"]).join(url("back"), ["file", "back"]).select("file", "front", "back", "front_url", "back_url"), provider, prompt)
     fixed = J.repair(asked, "answer")
     meta = J.ai_metadata(name or "openai", base, model, pricing(values), F.col("prompt_tokens"), F.col("completion_tokens"), F.col("total_tokens"))
-    error = F.when(~F.col("parsed"), "Could not parse JSON from model response")
+    error = F.when(~F.col("parsed"), L.NO_JSON)
     return fixed.select("file", "front", "back", F.when(F.col("parsed"), J.merged(F.col("json"), meta)).alias("document"), error.alias("error"), "answer")
 
 
@@ -134,13 +132,6 @@ def answered(asked: DataFrame) -> DataFrame:
     return good.unionByName(bad)
 
 
-#: Regions of the fixed-grid layout.
-GRID_ROIS = {
-    "serial": (0.05, 0.05, 0.35, 0.18), "epic": (0.55, 0.05, 0.98, 0.18), "name": (0.05, 0.20, 0.98, 0.38), "father_name": (0.05, 0.38, 0.98, 0.56),
-    "house_no": (0.05, 0.56, 0.98, 0.72), "age": (0.05, 0.72, 0.55, 0.92), "gender": (0.55, 0.72, 0.98, 0.92),
-}
-
-
 def grid_records(readings: DataFrame) -> DataFrame:
     """Records of the fixed-grid layout from one raw reading per region, with their Markdown."""
     epic = T.clean_epic(F.col("epic"))
@@ -158,4 +149,4 @@ def grid_records(readings: DataFrame) -> DataFrame:
 
 def page_text(text, error):
     """A whole crop's text: placeholders for nothing recognised and for failures."""
-    return F.when(error.isNotNull(), F.concat(F.lit("[Error processing image: "), error, F.lit("]"))).when(T.strip(F.coalesce(text, F.lit(""))) == "", "[No text detected]").otherwise(T.strip(text))
+    return F.when(error.isNotNull(), F.concat(F.lit(L.READ_ERROR), error, F.lit("]"))).when(T.strip(F.coalesce(text, F.lit(""))) == "", L.NO_TEXT).otherwise(T.strip(text))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from docengine.functions import fields, labels as L, modeljson as J, text as T
 from docengine.operators import crops as C, geometry as G, pages as P, words as W
-from docengine.plans import fixtures as X, outputs as O, records as R
+from docengine.plans import fixtures as X, outputs as O, records as R, stages
 from docengine.sources import files as S
+from docengine.sources.config import Settings
 
 
 def _lines(spark, d):
@@ -90,6 +91,13 @@ def files_combined_text(spark, d):
     return S.combined_text(rows).select("input_pdf", F.length("text.combined").alias("n_combined"), F.md5("text.combined").alias("digest"), F.size("text.pages").alias("pages"), F.aggregate("text.pages", F.lit(0), lambda s, p: s + p["chars"]).alias("chars"))
 
 
+def files_manifest(spark, d):
+    pages = spark.read.parquet(f"{d}/conversations.parquet").select(F.col("conv_id").cast("string").alias("input_pdf"), F.col("turn").cast("int").alias("page")).distinct()
+    ext = F.when(F.col("page") % 3 != 0, "png")
+    images = pages.select("input_pdf", "page", F.lit(1).alias("index"), ext.alias("ext"), F.lit(8).alias("width"), F.lit(9).alias("height"), (F.col("page") % 4).alias("size"))
+    return S.manifests(pages, images).select("input_pdf", "pages", F.array_join("rendered_pages", ",").alias("rendered"), F.array_join("images.path", ",").alias("images"))
+
+
 def files_data_url(spark, d):
     return X.view(spark, d, X.FILES).select("id", T.data_url(F.concat(F.lit("."), "ext"), F.col("stem").cast("binary")).alias("url"))
 
@@ -127,6 +135,10 @@ def words_next_line(spark, d):
     return packed.select("k", F.array_join(F.transform(below, lambda w: w["text"]), " ").alias("line"))
 
 
+def words_older_label(spark, d):
+    return _word_arrays(spark, d).select("k", fields.find_token(F.col("words"), L.HOUSE_LABELS)["i"].alias("i"))
+
+
 def _word_arrays(spark, d):
     return W.word_arrays(_words(spark, d), ["k"])
 
@@ -236,6 +248,12 @@ def boxes_region(spark, d):
     return X.view(spark, d, X.BOXES).select("page", "w", "h", *[c.alias(n) for n, c in G.region(L.SERIAL_ROIS[0], F.col("w"), F.col("h")).items()])
 
 
+def crops_cut(spark, d):
+    """From page images to crops: lines, boxes, reading order, cut, measures, names."""
+    cut = stages.cut_crops(X.forms(spark, d), Settings(diagram_filter="off"))
+    return cut.select("file", "page", "path_pos", "i", "crop_name")
+
+
 def _crop_stats(rows):
     return rows.groupBy("page").agg(F.count("*").alias("n"), F.sum("i").alias("i"))
 
@@ -266,7 +284,7 @@ def pages_limit_pages(spark, d):
 
 def pages_resume(spark, d):
     rows = _lines(spark, d)
-    done = rows.where("page = 'page-7'").select("file").distinct()
+    done = rows.where("page = 'page-7' and k % 7 = 0").select("file").distinct()
     return P.unfinished(rows, done).groupBy("file").agg(F.count("*").alias("n"))
 
 
@@ -293,10 +311,43 @@ def model_documents(spark, d):
 
 
 def model_failures(spark, d):
-    """The sidecar of answers that hold no JSON."""
+    """Answers that hold no JSON."""
     return J.repair(X.view(spark, d, X.RESPONSES)).where("not parsed").select("event_id", "content")
 
 
+def _asked(spark, d):
+    rows = J.repair(X.view(spark, d, X.RESPONSES)).withColumn("file", F.col("event_id").cast("string"))
+    return rows.select("file", F.lit(1).alias("front"), (F.col("event_id") % 5 + 2).alias("back"), F.col("json").alias("document"), F.when(~F.col("parsed"), L.NO_JSON).alias("error"), F.col("content").alias("answer"))
+
+
+def model_sidecars(spark, d):
+    """The failure files of answers that hold no JSON."""
+    return stages.sidecars(_asked(spark, d))
+
+
+def model_files(spark, d):
+    """Names of the files of all answers: a document, or a sidecar."""
+    return stages.answered(_asked(spark, d)).select("path")
+
+
+def grid_records(spark, d):
+    """Records and Markdown of the fixed-grid layout."""
+    k = F.col("k").cast("string")
+    gender = F.when(F.col("k") % 4 == 0, "female").when(F.col("k") % 4 == 1, "ஆண்").when(F.col("k") % 4 == 2, " x ").otherwise("")
+    rows = X.view(spark, d, X.CODES).select(
+        k.alias("image"), F.col("r0").alias("serial"), F.col("raw").alias("epic"), F.concat(F.lit("N"), k).alias("name"), F.lit("F").alias("father_name"), F.col("raw").alias("house_no"),
+        F.col("number").alias("age"), gender.alias("gender"),
+    )
+    return stages.grid_records(rows)
+
+
+def page_texts(spark, d):
+    """Whole-crop texts with the placeholders for nothing read and for failures."""
+    text = F.when(F.col("k") % 3 == 0, " ").otherwise(F.concat("raw", F.lit(" ")))
+    error = F.when(F.col("k") % 7 == 0, F.concat(F.lit("boom "), F.col("k").cast("string")))
+    return X.view(spark, d, X.CODES).select("k", stages.page_text(text, error).alias("text"))
+
+
 def output_pages(spark, d):
     p = O.page_payloads(_records(spark, d), "eng+tam", True, 0)
     return p.select("file", "page", "images_count", F.col("epic_roi.x1").alias("x1"), F.array_join(F.transform("records", lambda r: F.concat_ws(",", r["image"], r["epic_no"], r["house_no"])), ";").alias("records"))
@@ -316,7 +367,7 @@ def output_file_markdown(spark, d):
 
 
 def _image_words(spark, d):
-    return _words(spark, d).withColumn("file", F.lit("f")).withColumn("page", F.concat(F.lit("p"), (F.col("k") % 50).cast("string"))).withColumn("image", F.col("k").cast("string"))
+    return _words(spark, d).withColumn("file", F.concat(F.lit("f"), F.floor(F.col("k") / 500).cast("string"))).withColumn("page", F.concat(F.lit("p"), (F.col("k") % 50).cast("string"))).withColumn("image", F.col("k").cast("string"))
 
 
 def output_raw_text(spark, d):
@@ -345,11 +396,11 @@ def stats_run(spark, d):
 QUERIES = {
     "page_report": page_report, "records": records, "strict_gender": strict_gender,
     **{f.__name__: f for f in (
-        files_safe_stem, files_page_id, files_page_images, files_crop_images, files_scan_images, files_folders, files_page_folders, files_resolved, files_names, files_combined_text,
-        files_data_url, files_crop_names, words_confident, words_lines, words_group_lines, words_exploded, words_next_line, words_label_span, words_join_value, words_fields, words_records,
+        files_safe_stem, files_page_id, files_page_images, files_crop_images, files_scan_images, files_folders, files_page_folders, files_resolved, files_names, files_combined_text, files_manifest,
+        files_data_url, files_crop_names, words_confident, words_lines, words_group_lines, words_exploded, words_next_line, words_label_span, words_join_value, words_fields, words_records, words_older_label,
         codes_epic, codes_serial, codes_numbers, text_normalized, text_markers, text_value_after_colon, text_house_value, text_urls, boxes_plausible, boxes_deduped, boxes_contained,
-        boxes_order, boxes_numbered, boxes_detected, boxes_scaled, boxes_region, crops_strict, crops_auto, crops_post, pages_back, pages_limit, pages_limit_pages, pages_resume, pages_dry_run,
-        model_cost, model_json, model_documents, model_failures, output_pages, output_files, output_page_markdown, output_file_markdown, output_raw_text, output_raw_detail, output_raw_file,
+        boxes_order, boxes_numbered, boxes_detected, boxes_scaled, boxes_region, crops_strict, crops_auto, crops_post, crops_cut, pages_back, pages_limit, pages_limit_pages, pages_resume, pages_dry_run,
+        model_cost, model_json, model_documents, model_failures, model_sidecars, model_files, grid_records, page_texts, output_pages, output_files, output_page_markdown, output_file_markdown, output_raw_text, output_raw_detail, output_raw_file,
         stats_timing, stats_run,
     )},
 }

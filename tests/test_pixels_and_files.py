@@ -8,24 +8,11 @@ import pytest
 
 from docengine.functions import labels as L
 from docengine.plans import stages
+from docengine.plans.fixtures import form
 from docengine.sources import adapters, images, pixels, providers
 from docengine.sources.config import Settings
 
 
-def form(w=1187, h=1679, rows=3, columns=2):
-    """A white page with framed boxes that hold some strokes."""
-    page = np.full((h, w), 255, np.uint8)
-    for r in range(rows):
-        for c in range(columns):
-            x, y, bw, bh = 40 + c * 560, 60 + r * 400, 500, 300
-            page[y : y + 3, x : x + bw] = page[y + bh - 3 : y + bh, x : x + bw] = 0
-            page[y : y + bh, x : x + 3] = page[y : y + bh, x + bw - 3 : x + bw] = 0
-            for k in range(6):
-                for m in range(12):
-                    page[y + 40 + 40 * k : y + 48 + 40 * k, x + 30 + 35 * m : x + 45 + 35 * m] = 0
-    return page
-
-
 @pytest.mark.parametrize("shape", [(5, 7), (4, 6, 3)])
 def test_png_round_trip(shape):
     made = np.random.default_rng(1).integers(0, 256, shape).astype(np.uint8)
