@@ -340,7 +340,7 @@ SELECT *, '- Serial No: **' || serial_no || '**' || chr(10) || '- EPIC No: **' |
   || chr(10) || '- Name: ' || name || chr(10) || '- Father Name: ' || father_name || chr(10) || '- House No: ' || house_no || chr(10) || '- Age: ' || age || chr(10) || '- Gender: ' || gender || chr(10) AS markdown FROM r""",
     "page_texts": f"SELECT k, CASE WHEN k % 7 = 0 THEN {_q(L.READ_ERROR)} || 'boom ' || k || ']' WHEN k % 3 = 0 OR {_strip('raw')} = '' THEN {_q(L.NO_TEXT)} ELSE {_strip('raw')} END AS text FROM ({X.CODES})",
     "words_older_label": f"WITH {_SPANS} SELECT k, min(i) FILTER (norm <> '' AND {_any(lambda q: f'contains(norm, {_q(q)}) OR contains({_q(q)}, norm)', sorted({T.normalize_py(v) for v in L.HOUSE_LABELS} - {''}))}) AS i FROM w GROUP BY k",
-    "crops_cut": """WITH s AS (SELECT 'f' || s_suppkey // 20 AS file, printf('page-%03d', s_suppkey % 20) AS page, s_suppkey AS path_pos, unnest(generate_series(1, (s_suppkey % 3 + 1) * 2)) AS i FROM supplier)
+    "crops_cut": """WITH s AS (SELECT 'f' || n_nationkey // 20 AS file, printf('page-%03d', n_nationkey % 20) AS page, n_nationkey AS path_pos, unnest(generate_series(1, (n_nationkey % 3 + 1) * 2)) AS i FROM nation)
 SELECT *, page || printf('-%03d.png', i) AS crop_name FROM s""",
     "output_pages": f"WITH {_STEPS} SELECT file, page, count(*) AS images_count, 0.65::DOUBLE AS x1, string_agg(concat_ws(',', image, epic_no, house_no), ';' ORDER BY image) AS records FROM records GROUP BY file, page",
     "output_files": f"WITH {_STEPS}, {_PAGES} SELECT file AS folder, count(*) AS pages_count, sum(n) AS images_count, string_agg(page || ':' || n, ';' ORDER BY page) AS pages FROM pages GROUP BY file",

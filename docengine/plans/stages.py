@@ -67,13 +67,17 @@ def cut_crops(pages: DataFrame, settings: Settings) -> DataFrame:
     """Crops with name, box, measures and PNG of pages (file, page, path_pos, png): boxes are found, then cut and judged.
 
     The boxes of a page are a few dozen, so they travel as an array to the page's image; only
-    chosen crops keep their PNG.  A page that cannot be read has no crops.
+    chosen crops keep their PNG.  A page that cannot be read has no crops.  The number of
+    partitions is fixed, as a page of a few kilobytes costs seconds: by bytes, adaptive
+    execution would put a thousand of them into one task.
     """
+    spark = pages.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     key = ["file", "page", "path_pos"]
     sized = [*key, "width", "height"]
     placed = G.numbered(boxes(V.detect_boxes(pages.select(*key, "png")), sized), sized, F.col("width"), F.col("height"))
     per_page = placed.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("i", "x1", "y1", "x2", "y2"))).alias("boxes"))
-    cut = V.cut_boxes(pages.select(*key, "png").join(per_page, key)).withColumns({"page_base": F.col("page"), "page_id": T.page_id(F.col("page"))})
+    cut = V.cut_boxes(pages.select(*key, "png").repartition(parts, *key).join(per_page, key)).withColumns({"page_base": F.col("page"), "page_id": T.page_id(F.col("page"))})
     return crop(cut, ["file", "page"], settings)
 
 
