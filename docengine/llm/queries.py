@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docengine.llm import bpe, exact_dedup, html, kneser_ney, langid, mixing, near_dedup, quality_rules, substring_dedup, toxicity
+from docengine.llm import bpe, exact_dedup, html, importance, kneser_ney, langid, merkle, mixing, near_dedup, quality_rules, substring_dedup, toxicity
 from docengine.llm.common import table
 
 
@@ -53,6 +53,14 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
@@ -64,4 +72,6 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_importance": op11_importance,
+    "op12_merkle": op12_merkle,
 }
