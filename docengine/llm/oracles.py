@@ -153,9 +153,96 @@ FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
 """
 
 
+#: CRC-32 by its byte table, which SQL makes from the rule.
+_TABLE = "tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)))"
+
+
+def _crc(text: str) -> str:
+    data = f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: ('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _features(table: str, key: str) -> str:
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+  SELECT key, len(w) AS n_words, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+  FROM (SELECT {key} AS key, regexp_extract_all(coalesce({lower}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table})"""
+
+
+IMPORTANCE = rf"""
+WITH {_TABLE},
+df AS ({_features("documents", "doc_id")}), bf AS ({_features("benchmark", "item_id")}),
+bucket AS (SELECT f, {_crc("f")} % 10000 AS b FROM (SELECT f FROM df UNION SELECT f FROM bf), tab),
+s AS (SELECT b, count(*) AS n FROM df JOIN bucket USING (f) GROUP BY b), t AS (SELECT b, count(*) AS n FROM bf JOIN bucket USING (f) GROUP BY b),
+gain AS (
+  SELECT b, floor(1000 * ln(((coalesce(t.n, 0) + 1) * ((SELECT sum(n) FROM s) + 10000))::DOUBLE / ((s.n + 1) * ((SELECT coalesce(sum(n), 0) FROM t) + 10000))::DOUBLE)) AS gain
+  FROM s LEFT JOIN t USING (b)
+), weighed AS (SELECT key AS doc_id, max(n_words) AS n_words, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight FROM df JOIN bucket USING (f) JOIN gain USING (b) GROUP BY key),
+scored AS (
+  SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || d.doc_id), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM documents d LEFT JOIN weighed USING (doc_id)
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS r, count(*) FILTER (n_words >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND r <= 25 * n // 100 THEN r END AS rank FROM ranked
+"""
+
+
+def _field(name: str, more: str = "") -> str:
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE octet_length(encode(({name}{more})::VARCHAR)) || ':' || ({name}{more})::VARCHAR END"
+
+
+def _leaf(more: str) -> str:
+    return "sha256(" + " || ".join(_field(c, more if c == "n_chars" else "") for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+
+
+MERKLE = rf"""
+WITH RECURSIVE {_TABLE},
+leaves AS (
+  SELECT doc_id, lang, {_leaf("")} AS leaf, CASE WHEN {_crc("doc_id::VARCHAR")} % 7 = 0 THEN {_leaf(" + 1")} ELSE {_leaf("")} END AS other FROM documents, tab
+), placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+up AS (
+  SELECT lang, 0 AS level, pos, leaf AS h, n FROM placed
+  UNION ALL SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM up WHERE n > 1 GROUP BY lang, level, pos // 2, n
+), sub AS (SELECT lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS level, pos, h, n FROM sub
+  UNION ALL SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY level, pos // 2, n
+), heights AS (SELECT lang, level FROM up WHERE n > 1 GROUP BY lang, level), steps AS (SELECT DISTINCT level FROM top WHERE n > 1),
+sides AS (
+  SELECT p.lang, p.pos, h.level AS step, (p.pos >> h.level) & 1 AS odd, coalesce(u.h, '') AS h
+  FROM placed p JOIN heights h ON p.lang IS NOT DISTINCT FROM h.lang LEFT JOIN up u ON u.lang IS NOT DISTINCT FROM p.lang AND u.level = h.level AND u.pos = xor(p.pos >> h.level, 1)
+  UNION ALL SELECT p.lang, p.pos, 1000 + e.level, (s.pos >> e.level) & 1, coalesce(t.h, '')
+  FROM placed p JOIN sub s ON p.lang IS NOT DISTINCT FROM s.lang CROSS JOIN steps e LEFT JOIN top t ON t.level = e.level AND t.pos = xor(s.pos >> e.level, 1)
+), paths AS (SELECT lang, pos, list(CASE odd WHEN 1 THEN 'L' ELSE 'R' END || h ORDER BY step) AS path, string_agg(h, '' ORDER BY step) AS flat FROM sides GROUP BY lang, pos),
+folded AS (
+  SELECT p.doc_id, p.leaf, s.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(coalesce(q.flat, '')) AS proof_sha256,
+         list_reduce(list_prepend(p.other, coalesce(q.path, [])), lambda a, x: sha256(CASE WHEN x[1] = 'L' THEN substr(x, 2) || a ELSE a || substr(x, 2) END)) AS folded_root
+  FROM placed p JOIN sub s ON p.lang IS NOT DISTINCT FROM s.lang LEFT JOIN paths q ON p.lang IS NOT DISTINCT FROM q.lang AND p.pos = q.pos
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+SUFFIX = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
+w AS (SELECT doc_id, p, array_slice(x, p + 1, p + 50) AS s FROM d, unnest(range(0, octet_length(x) - 49)) u(p)),
+g AS (SELECT doc_id, p FROM w JOIN (SELECT s, min(doc_id) AS low FROM w GROUP BY s) USING (s) WHERE low < doc_id),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS fresh FROM g)),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM r GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT d.doc_id, coalesce(max(s.b), 0), max(octet_length(x)) FROM d LEFT JOIN spans s USING (doc_id) GROUP BY d.doc_id
+), kept AS (SELECT doc_id, sha256(unhex(string_agg(hex(array_slice(x, a + 1, b)), '' ORDER BY a))) AS kept_sha256 FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, octet_length(x) AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id) USING (doc_id)
+"""
+
+
 ORACLES = {
     "op2_quality_rules": _fence_sql(),
     "op3_mix_sources": MIX,
     "op4_exact_dedup": EXACT_DEDUP,
     "op8_near_dedup": NEAR_DEDUP,
+    "op11_importance": IMPORTANCE,
+    "op12_merkle": MERKLE,
+    "op13_suffix_dedup": SUFFIX,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docengine.llm import bpe, exact_dedup, html, importance, kneser_ney, langid, merkle, mixing, near_dedup, quality_rules, substring_dedup, toxicity
+from docengine.llm import bpe, exact_dedup, html, importance, kneser_ney, langid, merkle, mixing, near_dedup, quality_rules, substring_dedup, suffix_dedup, toxicity
 from docengine.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).drop("removed")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
@@ -74,4 +78,5 @@ QUERIES = {
     "op10_kneser_ney": op10_kneser_ney,
     "op11_importance": op11_importance,
     "op12_merkle": op12_merkle,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
