@@ -11,7 +11,8 @@ so the suffix array is dealt out by content first, and no comparison is lost by
 2. The strings of a bucket of anchors are one text, sorted by the difference-cover algorithm:
    triples of the suffixes at 1 and 2 modulo 3 are sorted and named, the sort recurses on the
    names, and the remaining suffixes are merged in by their first symbol and the rank behind it.
-   The recursion ends once names cover ``LENGTH`` bytes.
+   The recursion ends once names cover ``LENGTH`` bytes.  Equal strings are one, with several
+   holders; a string that is alone with its anchor has no equal window elsewhere and is left out.
 3. Adjacent windows of the suffix array are compared over their ``LENGTH`` bytes; a run of equal
    ones is a class, and its smallest document keeps it.
 
@@ -19,6 +20,7 @@ Equal strings and anchors of one task's slice of text are merged before the shuf
 passage that every document holds is one row for each 16 MB of text.  The most frequent anchors
 (at most ``HOT_ANCHORS``, held by more than ``HOT`` documents) are dealt by window instead of by
 anchor: strings around a common passage differ, but their windows inside the passage don't.
+The joins of texts hash the small side, so texts are shuffled once and never sorted.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +40,10 @@ from docengine.llm.common import materialise
 
 LENGTH = 50
 #: Bytes of an anchor; a window holds LENGTH - K + 1 of them.
-K = 20
+K = 24
 HOT, HOT_ANCHORS = 50_000, 4096
-#: Text bytes whose pairs, and string bytes which, are merged before a shuffle.
-FLUSH, HELD = 16 << 20, 8 << 20
+#: Text bytes whose pairs and strings are merged before a shuffle.
+FLUSH = 16 << 20
 #: Bytes of strings in a bucket that is sorted at once, on average; bytes hashed at once; windows of a string.
 BUCKET, PIECE, WINDOWS = 1 << 20, 1 << 19, 1024
 
@@ -219,69 +222,118 @@ def _shared(hot: int):
 # --- strings of shared anchors
 
 
-_STRINGS = "bucket int, local boolean, held binary, ends binary, owners binary"
+_STRINGS = "bucket int, local boolean, n int, held binary, owners binary"
+_OWNER = 4
+"""Columns of an owner: string, did, tag, start.  A tag tells apart texts under one did."""
+
+
+def _tag(data: bytes) -> int:
+    return xxhash.xxh32_intdigest(data)
+
+
+def _flat(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices of all bytes of the spans, one span after another."""
+    return np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
+def _spans_hashed(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans of one array, which may overlap."""
+    power, inverse = T._powers(len(raw) + 1)
+    total = np.zeros(len(raw) + 1, _U)
+    np.cumsum(T.CODES[raw] * power[: len(raw)], out=total[1:])
+    return T.mix((total[starts + lengths] - total[starts]) * inverse[starts] ^ lengths.astype(_U))
+
+
+def _firsts(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """For each span the first span with the same bytes: equal hashes propose, the bytes decide."""
+    order = np.lexsort((np.arange(len(hashes)), hashes))
+    edge = _edges(hashes[order])
+    first = np.empty(len(hashes), np.int64)
+    first[order] = np.repeat(order[edge[:-1]], np.diff(edge))
+    copy = np.flatnonzero(first != np.arange(len(first)))
+    same = lengths[copy] == lengths[first[copy]]
+    odd, copy = copy[~same], copy[same]
+    if len(copy):
+        equal = raw[_flat(starts[copy], lengths[copy])] == raw[_flat(starts[first[copy]], lengths[copy])]
+        whole = np.logical_and.reduceat(equal, np.cumsum(lengths[copy]) - lengths[copy])
+        odd = np.concatenate([odd, copy[~whole]])
+    first[odd] = odd
+    return first
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    return zstandard.compress(b"".join(c.astype(np.int64).tobytes() for c in columns), 1)
+
+
+def _unpacked(data: bytes, width: int) -> np.ndarray:
+    """Columns of a pack as rows."""
+    return np.frombuffer(zstandard.decompress(data), np.int64).reshape(width, -1).T
 
 
 def _strings(n_buckets: int, hot: np.ndarray, length: int, k: int):
-    """Strings around shared anchors, each once for 8 MB of them, with (string, did, tag, start) of the first document's places.
+    """Strings around shared anchors, each once for 16 MB of text, with the places in its first document.
 
     Later documents of the same slice lose the string's windows at once (``local``: did, tag, start, end).
     """
 
-    def flush(seen: dict[bytes, list], turn: int) -> pa.RecordBatch:
-        rows, by = [], {}
-        lost = []
-        for text, (bucket, places) in seen.items():
-            least = min(p[0] for p in places)
-            kept = [p for p in places if p[0] == least]
-            lost += [(*p, p[2] + len(text)) for p in places if p[0] != least]
-            by.setdefault(bucket, []).append((text, kept))
-        if lost:
-            rows.append((turn % n_buckets, True, np.array(lost, np.int64).tobytes(), b"", b""))
-        for bucket, held in by.items():
-            ends = np.cumsum([len(t) for t, _ in held]).astype(np.int64)
-            owners = np.array([(x, *p) for x, (_, kept) in enumerate(held) for p in kept], np.int64)
-            rows.append((bucket, False, b"".join(t for t, _ in held), ends.tobytes(), owners.tobytes()))
-        types = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["bucket", "local", "held", "ends", "owners"])
+    def flush(texts: list, parts: list, turn: int) -> pa.RecordBatch:
+        raw = np.concatenate(texts)
+        start, size, code, did, tag, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+        hashes = _spans_hashed(raw, start, size)
+        first = _firsts(raw, start, size, hashes)
+        least = np.full(len(first), _LAST, np.int64)
+        np.minimum.at(least, first, did)
+        lost = np.flatnonzero(did != least[first])
+        rows = []
+        if len(lost):
+            rows.append((turn % n_buckets, True, 0, b"", _packed([did[lost], tag[lost], place[lost], place[lost] + size[lost]])))
+        own = np.flatnonzero(did == least[first])
+        own = own[np.lexsort((did[own], first[own], code[first[own]] & _LOW, _bucket(code[first[own]], n_buckets)))]
+        bucket = _bucket(code[first[own]], n_buckets)
+        new = np.ones(len(own), bool)  # where the next string begins
+        new[1:] = first[own[1:]] != first[own[:-1]]
+        for a, b in zip(edge := _edges(bucket), edge[1:], strict=False):
+            mine = own[a:b]
+            heads = first[mine[new[a:b]]]
+            sizes = size[heads]
+            held = b"".join([sizes.astype(np.int32).tobytes(), _five(code[heads]).tobytes(), raw[_flat(start[heads], sizes)].tobytes()])
+            rows.append((int(bucket[a]), False, len(heads), zstandard.compress(held, 3), _packed([np.cumsum(new[a:b]) - 1, did[mine], tag[mine], place[mine]])))
+        types = (pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["bucket", "local", "n", "held", "owners"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, list] = {}
-        size, turn = 0, 0
+        texts, parts, held, turn = [], [], 0, 0
         for batch in batches:
-            ids = np.asarray(batch.column("did")).tolist()
+            ids = np.asarray(batch.column("did"))
             raw, off = T.buffers(batch.column("text"))
-            lows = batch.column("lows")
-            flags = [np.unique(_from_five(b"".join(x.as_py()))) for x in lows]
-            tags = [xxhash.xxh64_intdigest(raw[off[d] : off[d + 1]].tobytes()) - (1 << 63) for d in range(len(ids))]
+            flags = [np.unique(_from_five(b"".join(x.as_py()))) for x in batch.column("lows")]
+            tags = np.array([_tag(raw[off[d] : off[d + 1]].tobytes()) for d in range(len(ids))], np.int64)
             for i, j, lo, hi in _pieces(off, length):
                 own = np.clip(off[i : j + 1], lo, hi) - lo
                 start, count, code, doc = runs(raw[lo:hi], own, length, k)
-                low = code & _LOW
                 wanted = np.concatenate([flags[d] | _U(d - i) << _U(40) for d in range(i, j)])
-                at = np.flatnonzero(np.isin(low | doc.astype(_U) << _U(40), wanted))
-                common = np.isin(low[at], hot)
-                bucket = _bucket(code[at], n_buckets)
-                turn += len(at)
-                data = raw[lo:hi].tobytes()
-                for s, n, d, b, h in zip(start[at].tolist(), count[at].tolist(), doc[at].tolist(), bucket.tolist(), common.tolist(), strict=True):
-                    d += i
-                    base = lo - int(off[d])
-                    step = 1 if h else WINDOWS
-                    for x in range(s, s + n, step):
-                        text = data[x : min(x + step, s + n) + length - 1]
-                        place = (ids[d], tags[d], base + x)
-                        if (found := seen.get(text)) is None:
-                            seen[text] = [int(_bucket(np.array([xxhash.xxh64_intdigest(text)], _U), n_buckets)[0]) if h else b, [place]]
-                            size += len(text)
-                        else:
-                            found[1].append(place)
-                            size += 32
-                if size >= HELD:
-                    yield flush(seen, turn)
-                    seen, size = {}, 0
-        if seen:
-            yield flush(seen, turn)
+                at = np.isin((code & _LOW) | doc.astype(_U) << _U(40), wanted)
+                start, count, code, doc = start[at], count[at], code[at], doc[at] + i
+                if not len(start):
+                    continue
+                # A string of windows per anchor; of the most frequent ones, and of very long runs, more.
+                step = np.where(np.isin(code & _LOW, hot), 1, WINDOWS)
+                n = -(-count // step)
+                which = np.repeat(np.arange(len(n)), n)
+                shift = (np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)) * step[which]
+                size = np.minimum(step[which], count[which] - shift) + length - 1
+                start, code, doc, common = start[which] + shift, code[which], doc[which], step[which] == 1
+                if common.any():
+                    code = np.where(common, _spans_hashed(raw[lo:hi], start, size), code)
+                parts.append((start + held, size, code, ids[doc], tags[doc], start + lo - off[doc]))
+                texts.append(raw[lo:hi])
+                held += hi - lo
+                turn += len(start)
+                if held >= FLUSH:
+                    yield flush(texts, parts, turn)
+                    texts, parts, held = [], [], 0
+        if parts:
+            yield flush(texts, parts, turn)
 
     return run
 
@@ -400,7 +452,7 @@ def classes(raw: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-_SPANS = "did long, spans binary"
+_SPANS = "did long, spans binary, width int"
 
 
 def _verdicts(length: int):
@@ -408,48 +460,61 @@ def _verdicts(length: int):
 
     def one(rows: list[dict]) -> np.ndarray:
         ids: dict[bytes, int] = {}
-        owners = []
+        owners, anchors = [], []
         for r in rows:
-            held, ends = r["held"], np.frombuffer(r["ends"], np.int64).tolist()
-            own = np.frombuffer(r["owners"], np.int64).reshape(-1, 4).copy()
-            number = np.array([ids.setdefault(held[a:b], len(ids)) for a, b in zip([0, *ends[:-1]], ends, strict=True)], np.int64)
+            n, held = r["n"], zstandard.decompress(r["held"])
+            ends = (9 * n + np.cumsum(np.frombuffer(held, np.int32, n))).tolist()
+            own = _unpacked(r["owners"], _OWNER).copy()
+            number = np.array([ids.setdefault(held[a:b], len(ids)) for a, b in zip([9 * n, *ends[:-1]], ends, strict=True)], np.int64)
             own[:, 0] = number[own[:, 0]]
             owners.append(own)
+            anchors.append((number, _from_five(held[4 * n : 9 * n])))
         owners = np.concatenate(owners)
-        raw = np.frombuffer(b"".join(ids), np.uint8)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        windows = sizes - length + 1
-        begin, first = np.cumsum(sizes) - sizes, np.cumsum(windows) - windows
-        starts = np.arange(int(windows.sum())) + np.repeat(begin - first, windows)
-        found = classes(raw, starts, length)
+        anchor = np.zeros(len(ids), _U)
+        for number, low in anchors:
+            anchor[number] = low
         least = np.full(len(ids), _LAST, np.int64)
         np.minimum.at(least, owners[:, 0], owners[:, 1])
-        order = np.argsort(found, kind="stable")
-        edge = _edges(found[order])
-        least = np.minimum.reduceat(np.repeat(least, windows)[order], edge[:-1])[found]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        windows = sizes - length + 1
+        first = np.cumsum(windows) - windows
+        by_window = np.repeat(least, windows)  # the first document that has the window
+        # A string that is alone with its anchor shares no window with another string.
+        _, number, alike = np.unique(anchor, return_inverse=True, return_counts=True)
+        rivals = alike[number] > 1
+        if rivals.any():
+            texts = list(ids)
+            raw = np.frombuffer(b"".join(texts[x] for x in np.flatnonzero(rivals)), np.uint8)
+            n = windows[rivals]
+            starts = _flat(np.cumsum(sizes[rivals]) - sizes[rivals], n)
+            found = classes(raw, starts, length)
+            order = np.argsort(found, kind="stable")
+            mine = np.repeat(least[rivals], n)
+            by_window[np.repeat(rivals, windows)] = np.minimum.reduceat(mine[order], _edges(found[order])[:-1])[found]
         # Windows of every place of every string that go.
         n = windows[owners[:, 0]]
         place = np.repeat(np.arange(len(owners)), n)
         shift = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        gone = least[first[owners[place, 0]] + shift] < owners[place, 1]
-        edge = gone & np.concatenate([[True], ~gone[:-1] | (place[1:] != place[:-1])])
-        end = gone & np.concatenate([~gone[1:] | (place[1:] != place[:-1]), [True]])
-        a, b = np.flatnonzero(edge), np.flatnonzero(end)
+        gone = by_window[first[owners[place, 0]] + shift] < owners[place, 1]
+        begins = gone & np.concatenate([[True], ~gone[:-1] | (place[1:] != place[:-1])])
+        stops = gone & np.concatenate([~gone[1:] | (place[1:] != place[:-1]), [True]])
+        a, b = np.flatnonzero(begins), np.flatnonzero(stops)
         own = owners[place[a]]
         return np.stack([own[:, 1], own[:, 2], own[:, 3] + shift[a], own[:, 3] + shift[b] + length], axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_bucket(batches):
-            spans = [np.frombuffer(r["held"], np.int64).reshape(-1, 4) for r in rows if r["local"]]
+            spans = [_unpacked(r["owners"], 4) for r in rows if r["local"]]
             if parts := [r for r in rows if not r["local"]]:
                 spans.append(one(parts))
             spans = np.concatenate(spans)
-            spans = spans[np.argsort(spans[:, 0], kind="stable")]
-            edge = _edges(spans[:, 0])
+            spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
             if len(spans):
-                out = [(int(spans[a, 0]), np.ascontiguousarray(spans[a:b, 1:]).tobytes()) for a, b in zip(edge[:-1], edge[1:], strict=True)]
-                dids, held = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(dids, pa.int64()), pa.array(held, pa.binary())], names=["did", "spans"])
+                edge = _edges(spans[:, 0])
+                narrow = spans[:, 1:].astype(np.uint32 if spans[:, 3].max() < 1 << 32 else np.uint64)
+                out = [(int(spans[a, 0]), narrow[a:b].tobytes(), narrow.itemsize) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+                dids, held, width = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(dids, pa.int64()), pa.array(held, pa.binary()), pa.array(width, pa.int32())], names=["did", "spans", "width"])
 
     return run
 
@@ -477,11 +542,10 @@ def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for d, spans in enumerate(batch.column("spans")):
             data = raw[off[d] : off[d + 1]]
-            spans = b"".join(spans.as_py() or [])
+            spans = spans.as_py() or []
             if spans:
-                tag = xxhash.xxh64_intdigest(data.tobytes()) - (1 << 63)
-                spans = np.frombuffer(spans, np.int64).reshape(-1, 3)
-                gone = merged(spans[spans[:, 0] == tag][:, 1:])
+                spans = np.concatenate([np.frombuffer(x["spans"], f"u{x['width']}").reshape(-1, 3).astype(np.int64) for x in spans])
+                gone = merged(spans[spans[:, 0] == _tag(data.tobytes())][:, 1:])
             else:
                 gone = np.zeros((0, 2), np.int64)
             digest, at = hashlib.sha256(), 0
@@ -515,10 +579,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = H
     often = shared.where("did is null").orderBy(F.desc("holders"), "lows").limit(HOT_ANCHORS).collect()
     common = np.unique(_from_five(b"".join(r["lows"] for r in often)))
 
-    flags = shared.where("did is not null").groupBy("did").agg(F.collect_list("lows").alias("lows"))
+    flags = shared.where("did is not null").groupBy("did").agg(F.collect_list("lows").alias("lows")).hint("shuffle_hash")
     n_buckets = max(parts, n_shared // 5 * (length + (length - k) // 2) // BUCKET)
     strings = texts.join(flags, "did").select("did", "doc_id", "text", "lows").mapInArrow(_strings(n_buckets, common, length, k), _STRINGS)
     spans = strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_verdicts(length), _SPANS)
-    spans = spans.groupBy("did").agg(F.collect_list("spans").alias("spans"))
+    spans = spans.groupBy("did").agg(F.collect_list(F.struct("spans", "width")).alias("spans")).hint("shuffle_hash")
     # The texts' exchange is the one of the join above.
     return texts.join(spans, "did", "left").select("did", "doc_id", "text", "spans").mapInArrow(_left, _RESULT)
