@@ -253,10 +253,11 @@ def _firsts(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, hashes: np
     copy = np.flatnonzero(first != np.arange(len(first)))
     same = lengths[copy] == lengths[first[copy]]
     odd, copy = copy[~same], copy[same]
-    if len(copy):
-        equal = raw[_flat(starts[copy], lengths[copy])] == raw[_flat(starts[first[copy]], lengths[copy])]
-        whole = np.logical_and.reduceat(equal, np.cumsum(lengths[copy]) - lengths[copy])
-        odd = np.concatenate([odd, copy[~whole]])
+    for i in range(0, len(copy), 1 << 13):
+        some = copy[i : i + (1 << 13)]
+        equal = raw[_flat(starts[some], lengths[some])] == raw[_flat(starts[first[some]], lengths[some])]
+        whole = np.logical_and.reduceat(equal, np.cumsum(lengths[some]) - lengths[some])
+        odd = np.concatenate([odd, some[~whole]])
     first[odd] = odd
     return first
 
@@ -278,8 +279,7 @@ def _strings(n_buckets: int, hot: np.ndarray, length: int, k: int):
 
     def flush(texts: list, parts: list, turn: int) -> pa.RecordBatch:
         raw = np.concatenate(texts)
-        start, size, code, did, tag, place = (np.concatenate(c) for c in zip(*parts, strict=True))
-        hashes = _spans_hashed(raw, start, size)
+        start, size, code, did, tag, place, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
         first = _firsts(raw, start, size, hashes)
         least = np.full(len(first), _LAST, np.int64)
         np.minimum.at(least, first, did)
@@ -323,9 +323,8 @@ def _strings(n_buckets: int, hot: np.ndarray, length: int, k: int):
                 shift = (np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)) * step[which]
                 size = np.minimum(step[which], count[which] - shift) + length - 1
                 start, code, doc, common = start[which] + shift, code[which], doc[which], step[which] == 1
-                if common.any():
-                    code = np.where(common, _spans_hashed(raw[lo:hi], start, size), code)
-                parts.append((start + held, size, code, ids[doc], tags[doc], start + lo - off[doc]))
+                hashes = _spans_hashed(raw[lo:hi], start, size)
+                parts.append((start + held, size, np.where(common, hashes, code), ids[doc], tags[doc], start + lo - off[doc], hashes))
                 texts.append(raw[lo:hi])
                 held += hi - lo
                 turn += len(start)
