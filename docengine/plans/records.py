@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docengine.functions import fields, labels as L, text as T
@@ -83,3 +83,25 @@ def timing(rows: DataFrame, by: list[str], seconds: str = "seconds") -> DataFram
     """Images, total and average seconds, rounded to four places."""
     total = F.sum(seconds)
     return rows.groupBy(*by).agg(F.count("*").alias("images_processed"), F.round(total, 4).alias("total_seconds"), F.round(total / F.count("*"), 4).alias("avg_seconds_per_image"))
+
+
+def levels(rows: DataFrame, seconds: str = "seconds", error: str = "error") -> DataFrame:
+    """Totals of a run, its files and their pages: level, file, page, images, ok, failed, seconds, average and milliseconds for each image that is ok.
+
+    One pass over the rows makes sums per page; the grouping sets then expand pages, not
+    images.  Names are null above their level, so a level is told by ``level``, not by null.
+    """
+    sums = rows.groupBy("file", "page").agg(F.count("*").alias("images"), F.count_if(F.col(error).isNull()).alias("ok"), F.sum(seconds).alias("seconds"))
+    total = F.sum("seconds")
+    kind = F.when(F.grouping("file") == 1, "run").when(F.grouping("page") == 1, "file").otherwise("page")
+    return sums.rollup("file", "page").agg(
+        kind.alias("level"), F.sum("images").alias("images"), F.sum("ok").alias("ok"), (F.sum("images") - F.sum("ok")).alias("failed"), F.round(total, 4).alias("total_seconds"),
+        F.round(F.try_divide(total, F.sum("images")), 4).alias("avg_seconds_per_image"), F.round(F.coalesce(F.try_divide(total, F.sum("ok")), F.lit(0.0)) * 1000, 1).alias("ms_per_ok"),
+    )
+
+
+def watched(rows: DataFrame, error: str = "error") -> tuple[DataFrame, Observation]:
+    """``rows``, and what will be known of them once they have been written: images, ok, failed; no second pass."""
+    seen = Observation()
+    failed = F.count_if(F.col(error).isNotNull())
+    return rows.observe(seen, F.count(F.lit(1)).alias("images"), (F.count(F.lit(1)) - failed).alias("ok"), failed.alias("failed")), seen

@@ -10,15 +10,26 @@ from pyspark.sql import functions as F
 from docengine.functions import labels as L, modeljson as J, text as T
 from docengine.operators import crops as C, geometry as G, pages as P, words as W
 from docengine.plans import outputs as O, records as R
-from docengine.sources import files as S, providers as V
+from docengine.sources import files as S, ordered, providers as V, scan as N
 from docengine.sources.config import Settings, pricing
 
 
+def documents(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    """file, input_pdf and content of the first PDFs of a folder; only these are opened."""
+    names = S.pdfs(spark, folder).select("path", "file")
+    if not settings.limit or settings.limit < 0:
+        return S.pdfs(spark, folder).select("file", F.col("path").alias("input_pdf"), "content")
+    # One name may stand for several files; the limit is of names.
+    chosen = P.first_folders(names, settings.limit)
+    paths = [r["path"] for r in chosen.orderBy("file", "path").collect()]
+    found = N.contents(spark, paths).select("path", "content").join(F.broadcast(chosen), "path")  # as many rows as the limit allows
+    return found.select("file", F.col("path").alias("input_pdf"), "content")
+
+
 def extract(spark: SparkSession, folder: str, provider: V.PdfProvider, settings: Settings) -> DataFrame:
-    """Rendered pages (file, page, png, text, name) of the first PDFs of a folder."""
-    found = P.first_folders(S.pdfs(spark, folder), settings.limit or None)
-    pages = V.render(found.select("file", F.col("path").alias("input_pdf"), "content"), provider, settings.dpi)
-    return pages.withColumn("name", S.rendered_name(F.col("page")))
+    """Rendered pages (file, page, png, text, name) of the first PDFs of a folder, a task for each range of pages."""
+    ranges = V.in_ranges(documents(spark, folder, settings), provider, settings.range_pages)
+    return V.render(ranges, provider, settings.dpi).withColumn("name", S.rendered_name(F.col("page")))
 
 
 def extracted(spark: SparkSession, folder: str, provider: V.PdfProvider, settings: Settings) -> DataFrame:
@@ -29,7 +40,8 @@ def extracted(spark: SparkSession, folder: str, provider: V.PdfProvider, setting
     stem = T.safe_stem(F.regexp_extract("input_pdf", "([^/]*)$", 1))
     at = lambda *parts: F.concat_ws("/", stem, *parts).alias("path")
     plain = lambda text: F.encode(text, "UTF-8").alias("payload")
-    made = S.manifests(pages, images)
+    about = V.described(documents(spark, folder, settings).select("input_pdf", "content"), provider)
+    made = S.manifests(pages, images, about)
     if settings.extract == "images":
         made = made.drop("rendered_pages")
     texts = S.combined_text(pages)
@@ -47,8 +59,7 @@ def extracted(spark: SparkSession, folder: str, provider: V.PdfProvider, setting
 
 def embedded_images(spark: SparkSession, folder: str, provider: V.PdfProvider, settings: Settings) -> DataFrame:
     """Embedded images (input_pdf, page, index, ext, width, height, size, payload, name); the mode "both" also renders."""
-    found = P.first_folders(S.pdfs(spark, folder), settings.limit or None)
-    rows = V.embedded(found.select("file", F.col("path").alias("input_pdf"), "content"), provider)
+    rows = V.embedded(V.in_ranges(documents(spark, folder, settings), provider, settings.range_pages), provider)
     return rows.withColumn("name", S.embedded_name(F.col("page"), F.col("index"), F.col("ext")))
 
 
@@ -91,13 +102,30 @@ def read(images: DataFrame, provider: V.OcrProvider, settings: Settings) -> Data
     return R.assemble(seen.drop("ocr").join(by_image, key, "left"), settings.allow_next_line, settings.strict)
 
 
-def read_outputs(records: DataFrame, settings: Settings, epoch: int, folder: str) -> None:
-    """Page and file documents as JSON and Markdown."""
+def output_pieces(records: DataFrame, settings: Settings, epoch: int, words: DataFrame | None = None, config: str = "") -> DataFrame:
+    """Everything that the reading stage writes, as (path, section, page, item, piece).
+
+    ``<file>/output/<file>.json`` and ``.md``, ``<file>/output/page_wise/<page>.json`` and ``.md``; with
+    ``words`` (file, page, image, ..) also ``<file>/output/raw_ocr.md`` and ``<file>/output/raw_ocr/<page>/<image>.md``.
+    """
+    at = lambda *parts: F.concat(F.col("file"), F.lit("/output/"), *parts)
     pages = O.page_payloads(records, settings.languages, settings.allow_next_line, epoch)
-    O.write_json(pages, f"{folder}/page_wise", "file")
-    O.write_json(O.file_payloads(pages), f"{folder}/files", "folder")
-    O.write_text(O.page_markdown(records, settings.languages, settings.allow_next_line), f"{folder}/page_markdown")
-    O.write_text(O.file_markdown(O.file_payloads(pages)), f"{folder}/file_markdown")
+    page = lambda ext: at(F.lit("page_wise/"), F.col("page"), F.lit(ext))
+    made = [
+        O.page_documents(pages, page(".json")), O.file_documents(pages, at(F.col("file"), F.lit(".json"))),
+        O.single(O.page_markdown(records, settings.languages, settings.allow_next_line), page(".md")), O.file_markdown_pieces(pages, at(F.col("file"), F.lit(".md"))),
+    ]
+    if words is not None:
+        key = ["file", "page", "image"]
+        made.append(O.raw_text_pieces(O.raw_text_markdown(words, key, settings.languages, config), at(F.lit("raw_ocr.md")), settings.languages, config))
+        stem = F.regexp_replace("image", r"\.[^.]*$", "")
+        made.append(O.single(O.raw_detail_markdown(words, key, settings.languages, config), at(F.lit("raw_ocr/"), F.col("page"), F.lit("/"), stem, F.lit(".md"))))
+    return reduce(DataFrame.unionByName, made)
+
+
+def read_outputs(records: DataFrame, settings: Settings, epoch: int, folder: str, words: DataFrame | None = None, config: str = "") -> None:
+    """Page and file documents as named JSON and Markdown files, by an ordered sink."""
+    ordered.write(output_pieces(records, settings, epoch, words, config), folder, O.PIECE_ORDER)
 
 
 def ask(pages: DataFrame, scores: DataFrame, done: DataFrame, provider: V.VisionProvider, prompt: str, values: dict, settings: Settings) -> DataFrame:

@@ -47,6 +47,7 @@ class Settings:
 
     extract: str = "render"  # images, render or both
     dpi: int = 200
+    range_pages: int = 64  # pages that one task renders
     write_text: bool = False
     limit: int | None = None
     limit_pages: int = 0

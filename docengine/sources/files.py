@@ -22,9 +22,9 @@ def images(spark: SparkSession, folder: str) -> DataFrame:
     return parts(rows, folder)
 
 
-def parts(paths: DataFrame, root: str) -> DataFrame:
+def parts(paths: DataFrame, root: str, path: str = "path") -> DataFrame:
     """Path segments below ``root``."""
-    below = F.regexp_replace(F.col("path"), "^.*?" + _quoted(root.rstrip("/").split(":")[-1]) + "/", "")
+    below = F.regexp_replace(F.col(path), "^.*?" + _quoted(root.rstrip("/").split(":")[-1]) + "/", "")
     s = F.split(below, "/")
     name = F.element_at(s, -1)
     return paths.withColumns({
@@ -90,9 +90,16 @@ def combined_text(pages: DataFrame) -> DataFrame:
     )
 
 
-def manifests(pages: DataFrame, images: DataFrame | None = None) -> DataFrame:
-    """One manifest row per input: page count, optional images and rendered pages."""
+def manifests(pages: DataFrame, images: DataFrame | None = None, about: DataFrame | None = None) -> DataFrame:
+    """One manifest row per input: page count, the document's own metadata, optional images and rendered pages.
+
+    ``about`` has (input_pdf, metadata map); documents without one have an empty map.
+    """
     made = pages.groupBy("input_pdf").agg(F.count("*").cast("int").alias("pages"), F.array_sort(F.collect_list(rendered_name(F.col("page")))).alias("rendered_pages"))
+    if about is not None:
+        known = F.map_filter("metadata", lambda k, v: F.coalesce(v, F.lit("")) != "")
+        made = made.join(about.select("input_pdf", known.alias("metadata")), "input_pdf", "left").withColumn("metadata", F.coalesce("metadata", F.create_map().cast("map<string,string>")))
+        made = made.select("input_pdf", "pages", "metadata", "rendered_pages")
     if images is None:
         return made
     row = F.struct("page", "index", F.concat(F.lit("embedded_images/"), embedded_name(F.col("page"), F.col("index"), F.col("ext"))).alias("path"), "ext", "width", "height")

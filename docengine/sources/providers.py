@@ -15,6 +15,8 @@ from typing import Protocol
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
 from docengine.sources.images import from_png, to_png
 
@@ -27,9 +29,13 @@ ANSWER_SCHEMA = "answer string, prompt_tokens int, completion_tokens int, total_
 
 
 class PdfProvider(Protocol):
+    """``first`` and ``last`` are page numbers from 1, both included."""
+
     def setup(self) -> None: ...
-    def pages(self, content: bytes, dpi: int) -> list[tuple[int, bytes, str]]: ...
-    def images(self, content: bytes) -> list[tuple[int, int, str, int, int, bytes]]: ...
+    def count(self, content: bytes) -> int: ...
+    def metadata(self, content: bytes) -> dict[str, str]: ...
+    def pages(self, content: bytes, dpi: int, first: int, last: int) -> list[tuple[int, bytes, str]]: ...
+    def images(self, content: bytes, first: int, last: int) -> list[tuple[int, int, str, int, int, bytes]]: ...
 
 
 class OcrProvider(Protocol):
@@ -48,12 +54,22 @@ class StubPdf:
     def setup(self) -> None:
         pass
 
-    def pages(self, content: bytes, dpi: int) -> list[tuple[int, bytes, str]]:
-        return [(i, hashlib.sha256(part + bytes([dpi % 256])).digest(), part.decode("utf-8", "replace")) for i, part in enumerate(content.split(b"\f"), 1)]
+    def count(self, content: bytes) -> int:
+        return content.count(b"\f") + 1
+
+    def metadata(self, content: bytes) -> dict[str, str]:
+        """A first page that is one line ``Title: ..`` names the title."""
+        head = content.split(b"\f")[0].decode("utf-8", "replace")
+        return {"title": head[7:].strip()} if head.startswith("Title: ") else {}
+
+    def _parts(self, content: bytes, first: int, last: int) -> list[tuple[int, bytes]]:
+        return list(enumerate(content.split(b"\f"), 1))[first - 1 : last]
 
+    def pages(self, content: bytes, dpi: int, first: int, last: int) -> list[tuple[int, bytes, str]]:
+        return [(i, hashlib.sha256(part + bytes([dpi % 256])).digest(), part.decode("utf-8", "replace")) for i, part in self._parts(content, first, last)]
 
-    def images(self, content: bytes) -> list[tuple[int, int, str, int, int, bytes]]:
-        return [(i, 1, "", len(part), 1, part) for i, part in enumerate(content.split(b"\f"), 1)]
+    def images(self, content: bytes, first: int, last: int) -> list[tuple[int, int, str, int, int, bytes]]:
+        return [(i, 1, "", len(part), 1, part) for i, part in self._parts(content, first, last)]
 
 
 class FitzPdf:
@@ -64,17 +80,27 @@ class FitzPdf:
 
         self.fitz = fitz
 
-    def pages(self, content: bytes, dpi: int) -> list[tuple[int, bytes, str]]:
-        zoom = dpi / 72
-        with self.fitz.open(stream=content, filetype="pdf") as doc:
-            return [(i, p.get_pixmap(matrix=self.fitz.Matrix(zoom, zoom), alpha=False).tobytes("png"), p.get_text()) for i, p in enumerate(doc, 1)]
+    def _open(self, content: bytes):
+        return self.fitz.open(stream=content, filetype="pdf")
+
+    def count(self, content: bytes) -> int:
+        with self._open(content) as doc:
+            return doc.page_count
 
+    def metadata(self, content: bytes) -> dict[str, str]:
+        with self._open(content) as doc:
+            return {k: str(v) for k, v in (doc.metadata or {}).items() if v}
 
-    def images(self, content: bytes) -> list[tuple[int, int, str, int, int, bytes]]:
+    def pages(self, content: bytes, dpi: int, first: int, last: int) -> list[tuple[int, bytes, str]]:
+        zoom = dpi / 72
+        with self._open(content) as doc:
+            return [(i, doc[i - 1].get_pixmap(matrix=self.fitz.Matrix(zoom, zoom), alpha=False).tobytes("png"), doc[i - 1].get_text()) for i in range(first, last + 1)]
+
+    def images(self, content: bytes, first: int, last: int) -> list[tuple[int, int, str, int, int, bytes]]:
         out = []
-        with self.fitz.open(stream=content, filetype="pdf") as doc:
-            for i, page in enumerate(doc, 1):
-                for k, entry in enumerate(page.get_images(full=True), 1):
+        with self._open(content) as doc:
+            for i in range(first, last + 1):
+                for k, entry in enumerate(doc[i - 1].get_images(full=True), 1):
                     found = doc.extract_image(entry[0]) or {}
                     out.append((i, k, found.get("ext") or "", found.get("width") or 0, found.get("height") or 0, found.get("image") or b""))
         return out
@@ -127,16 +153,55 @@ def _spread(df: DataFrame, provider, drop: set[str], more: str, work) -> DataFra
     return df.mapInPandas(run, _schema(df, drop, more))
 
 
-def render(pdfs: DataFrame, provider: PdfProvider, dpi: int = 200) -> DataFrame:
-    """Page images and texts of (.., content)."""
-    return _spread(pdfs, provider, {"content"}, PAGE_SCHEMA, lambda p, row: [{"page": n, "png": png, "text": text} for n, png, text in p.pages(bytes(row["content"]), dpi)])
+def page_ranges(provider: PdfProvider, size: int):
+    """A table function over a document's bytes: a row (pages, first, last) for each range of ``size`` pages."""
+
+    class Ranges:
+        def __init__(self) -> None:
+            provider.setup()
+
+        def eval(self, content: bytes):
+            n = provider.count(bytes(content))
+            for first in range(1, n + 1, size):
+                yield n, first, min(first + size - 1, n)
+
+    return udtf(Ranges, returnType="pages int, first int, last int")
+
 
+def in_ranges(pdfs: DataFrame, provider: PdfProvider, size: int, key: str = "input_pdf") -> DataFrame:
+    """Documents (.., content) as page ranges, dealt out by document and first page.
 
-def embedded(pdfs: DataFrame, provider: PdfProvider) -> DataFrame:
-    """Non-empty images embedded in (.., content)."""
+    A document of many pages is work for many tasks; its bytes go along with each range, so a
+    range has enough pages (``size``) to make rendering, not shuffling, the cost.  A document
+    without pages has no range.
+    """
+    parts = max(int(pdfs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pdfs.sparkSession.sparkContext.defaultParallelism)
+    ranged = pdfs.lateralJoin(page_ranges(provider, size)(F.col("content").outer()))
+    return ranged.repartition(parts, key, "first")
+
+
+def render(ranges: DataFrame, provider: PdfProvider, dpi: int = 200) -> DataFrame:
+    """Page images and texts of ranges (.., content, pages, first, last)."""
+
+    def work(p: PdfProvider, row: dict) -> list[dict]:
+        return [{"page": n, "png": png, "text": text} for n, png, text in p.pages(bytes(row["content"]), dpi, row["first"], row["last"])]
+
+    return _spread(ranges, provider, {"content", "pages", "first", "last"}, PAGE_SCHEMA, work)
+
+
+def embedded(ranges: DataFrame, provider: PdfProvider) -> DataFrame:
+    """Non-empty images embedded in the pages of ranges (.., content, pages, first, last)."""
     names = ["page", "index", "ext", "width", "height"]
-    rows = _spread(pdfs, provider, {"content"}, IMAGE_SCHEMA, lambda p, row: [dict(zip(names, i)) | {"size": len(i[5]), "payload": i[5]} for i in p.images(bytes(row["content"]))])
-    return rows.where("size > 0")
+
+    def work(p: PdfProvider, row: dict) -> list[dict]:
+        return [dict(zip(names, i)) | {"size": len(i[5]), "payload": i[5]} for i in p.images(bytes(row["content"]), row["first"], row["last"])]
+
+    return _spread(ranges, provider, {"content", "pages", "first", "last"}, IMAGE_SCHEMA, work).where("size > 0")
+
+
+def described(pdfs: DataFrame, provider: PdfProvider) -> DataFrame:
+    """The set entries of the documents' own metadata, map<string,string>, of (.., content)."""
+    return _spread(pdfs, provider, {"content"}, "metadata map<string,string>", lambda p, row: [{"metadata": {k: v for k, v in p.metadata(bytes(row["content"])).items() if v}}])
 
 
 def recognise(crops: DataFrame, provider: OcrProvider, languages: str) -> DataFrame:
