@@ -17,7 +17,7 @@ so the suffix array is dealt out by content first, and no comparison is lost by
    ones is a class, and its smallest document keeps it.
 
 Equal strings and anchors of one task's slice of text are merged before the shuffle, so a
-passage that every document holds is one row for each 16 MB of text.  The most frequent anchors
+passage that every document holds is one row for each 32 MB of text.  The most frequent anchors
 (at most ``HOT_ANCHORS``, held by more than ``HOT`` documents) are dealt by window instead of by
 anchor: strings around a common passage differ, but their windows inside the passage don't.
 The joins of texts hash the small side, so texts are shuffled once and never sorted.
@@ -42,10 +42,12 @@ LENGTH = 50
 #: Bytes of an anchor; a window holds LENGTH - K + 1 of them.
 K = 24
 HOT, HOT_ANCHORS = 50_000, 4096
-#: Text bytes whose pairs and strings are merged before a shuffle.
-FLUSH = 16 << 20
-#: Bytes of strings in a bucket that is sorted at once, on average; bytes hashed at once; windows of a string.
-BUCKET, PIECE, WINDOWS = 1 << 20, 1 << 19, 1024
+#: Text bytes whose pairs are merged before a shuffle, and whose strings are.
+FLUSH, HELD = 16 << 20, 32 << 20
+#: Text bytes whose pairs meet in a bucket, and bytes of strings that are sorted at once, on average.
+PAIRS, BUCKET = 32 << 20, 1 << 20
+#: Bytes hashed at once; windows of a string.
+PIECE, WINDOWS = 1 << 19, 1024
 
 _U = np.uint64
 _LOW = _U((1 << 40) - 1)
@@ -115,7 +117,17 @@ def _edges(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
 
 
-_PAIRS = "bucket int, local boolean, lows binary, dids binary, counts binary"
+_PAIRS = "bucket int, local boolean, lows binary, held binary"
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Integer columns of one length; as differences, since most of them ascend or repeat."""
+    return zstandard.compress(b"".join(np.diff(c.astype(np.int64), prepend=0).tobytes() for c in columns), 1)
+
+
+def _unpacked(data: bytes, width: int) -> np.ndarray:
+    """Columns of a pack as rows."""
+    return np.cumsum(np.frombuffer(zstandard.decompress(data), np.int64).reshape(width, -1), axis=1).T
 
 
 def _pairs(n_buckets: int, length: int, k: int):
@@ -137,15 +149,15 @@ def _pairs(n_buckets: int, length: int, k: int):
         several = np.repeat(count > 1, count)
         if several.any():
             order = np.argsort(did[several], kind="stable")
-            rows.append((int(turn % n_buckets), True, _five(code[several][order]).tobytes(), did[several][order].tobytes(), b""))
+            rows.append((int(turn % n_buckets), True, _five(code[several][order]).tobytes(), _packed([did[several][order], np.ones(len(order))])))
         code, did = code[first[:-1]], did[first[:-1]]
         bucket = _bucket(code, n_buckets)
         order = np.lexsort((did, bucket))
-        bucket, low, did, count = bucket[order], _five(code[order]), did[order], count[order].astype(np.int32)
+        bucket, low, did, count = bucket[order], _five(code[order]), did[order], count[order]
         edge = _edges(bucket)
-        rows += [(int(bucket[a]), False, low[a:b].tobytes(), did[a:b].tobytes(), count[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:], strict=True)]
-        types = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["bucket", "local", "lows", "dids", "counts"])
+        rows += [(int(bucket[a]), False, low[a:b].tobytes(), _packed([did[a:b], count[a:b]])) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        types = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["bucket", "local", "lows", "held"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, dids, size, turn = [], [], 0, 0
@@ -192,13 +204,12 @@ def _shared(hot: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_bucket(batches):
             low = [_from_five(r["lows"]) for r in rows if r["local"]]
-            did = [np.frombuffer(r["dids"], np.int64) for r in rows if r["local"]]
+            did = [_unpacked(r["held"], 2)[:, 0] for r in rows if r["local"]]
             parts = [r for r in rows if not r["local"]]
             often: list[tuple[None, bytes, int]] = []
             if parts:
                 a = np.concatenate([_from_five(r["lows"]) for r in parts])
-                d = np.concatenate([np.frombuffer(r["dids"], np.int64) for r in parts])
-                c = np.concatenate([np.frombuffer(r["counts"], np.int32) for r in parts]).astype(np.int64)
+                d, c = np.concatenate([_unpacked(r["held"], 2) for r in parts]).T
                 order = np.lexsort((d, a))
                 a, d, c = a[order], d[order], c[order]
                 edge = _edges(a)
@@ -224,7 +235,7 @@ def _shared(hot: int):
 
 _STRINGS = "bucket int, local boolean, n int, held binary, owners binary"
 _OWNER = 4
-"""Columns of an owner: string, did, tag, start.  A tag tells apart texts under one did."""
+"""Columns of an owner: string, did, tag, start.  A tag tells apart texts under one did; it is 0 where no doc_id repeats."""
 
 
 def _tag(data: bytes) -> int:
@@ -262,17 +273,8 @@ def _firsts(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, hashes: np
     return first
 
 
-def _packed(columns: list[np.ndarray]) -> bytes:
-    return zstandard.compress(b"".join(c.astype(np.int64).tobytes() for c in columns), 1)
-
-
-def _unpacked(data: bytes, width: int) -> np.ndarray:
-    """Columns of a pack as rows."""
-    return np.frombuffer(zstandard.decompress(data), np.int64).reshape(width, -1).T
-
-
-def _strings(n_buckets: int, hot: np.ndarray, length: int, k: int):
-    """Strings around shared anchors, each once for 16 MB of text, with the places in its first document.
+def _strings(n_buckets: int, hot: np.ndarray, length: int, k: int, tagged: bool):
+    """Strings around shared anchors, each once for 32 MB of text, with the places in its first document.
 
     Later documents of the same slice lose the string's windows at once (``local``: did, tag, start, end).
     """
@@ -307,7 +309,7 @@ def _strings(n_buckets: int, hot: np.ndarray, length: int, k: int):
             ids = np.asarray(batch.column("did"))
             raw, off = T.buffers(batch.column("text"))
             flags = [np.unique(_from_five(b"".join(x.as_py()))) for x in batch.column("lows")]
-            tags = np.array([_tag(raw[off[d] : off[d + 1]].tobytes()) for d in range(len(ids))], np.int64)
+            tags = np.array([_tag(raw[off[d] : off[d + 1]].tobytes()) if tagged else 0 for d in range(len(ids))], np.int64)
             for i, j, lo, hi in _pieces(off, length):
                 own = np.clip(off[i : j + 1], lo, hi) - lo
                 start, count, code, doc = runs(raw[lo:hi], own, length, k)
@@ -328,7 +330,7 @@ def _strings(n_buckets: int, hot: np.ndarray, length: int, k: int):
                 texts.append(raw[lo:hi])
                 held += hi - lo
                 turn += len(start)
-                if held >= FLUSH:
+                if held >= HELD:
                     yield flush(texts, parts, turn)
                     texts, parts, held = [], [], 0
         if parts:
@@ -535,27 +537,30 @@ def merged(spans: np.ndarray) -> np.ndarray:
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>"
 
 
-def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, off = T.buffers(batch.column("text"))
-        rows = []
-        for d, spans in enumerate(batch.column("spans")):
-            data = raw[off[d] : off[d + 1]]
-            spans = spans.as_py() or []
-            if spans:
-                spans = np.concatenate([np.frombuffer(x["spans"], f"u{x['width']}").reshape(-1, 3).astype(np.int64) for x in spans])
-                gone = merged(spans[spans[:, 0] == _tag(data.tobytes())][:, 1:])
-            else:
-                gone = np.zeros((0, 2), np.int64)
-            digest, at = hashlib.sha256(), 0
-            for a, b in gone.tolist():
-                digest.update(data[at:a])
-                at = b
-            digest.update(data[at:])
-            rows.append((len(data), int((gone[:, 1] - gone[:, 0]).sum()), len(gone), digest.hexdigest(), gone.reshape(-1).tolist()))
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=[x.split()[0] for x in _RESULT.split(", ")])
+def _left(tagged: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, off = T.buffers(batch.column("text"))
+            rows = []
+            for d, spans in enumerate(batch.column("spans")):
+                data = raw[off[d] : off[d + 1]]
+                spans = spans.as_py() or []
+                if spans:
+                    spans = np.concatenate([np.frombuffer(x["spans"], f"u{x['width']}").reshape(-1, 3).astype(np.int64) for x in spans])
+                    gone = merged(spans[spans[:, 0] == (_tag(data.tobytes()) if tagged else 0)][:, 1:])
+                else:
+                    gone = np.zeros((0, 2), np.int64)
+                digest, at = hashlib.sha256(), 0
+                for a, b in gone.tolist():
+                    digest.update(data[at:a])
+                    at = b
+                digest.update(data[at:])
+                rows.append((len(data), int((gone[:, 1] - gone[:, 0]).sum()), len(gone), digest.hexdigest(), gone.reshape(-1).tolist()))
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=[x.split()[0] for x in _RESULT.split(", ")])
+
+    return run
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT) -> DataFrame:
@@ -571,8 +576,9 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = H
     doc_id = F.col("doc_id").cast("long")
     texts = docs.select(F.coalesce(doc_id, F.lit(_LAST)).alias("did"), doc_id.alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    tagged = bool(texts.groupBy("did").count().where("count > 1").limit(1).count())
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = texts.select("did", "text").mapInArrow(_pairs(max(parts, size // (4 * BUCKET)), length, k), _PAIRS)
+    pairs = texts.select("did", "text").mapInArrow(_pairs(max(parts, size // PAIRS), length, k), _PAIRS)
     shared = materialise(pairs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared(hot), _SHARED))
     n_shared = shared.where("did is not null").agg(F.sum(F.octet_length("lows"))).head()[0] or 0
     often = shared.where("did is null").orderBy(F.desc("holders"), "lows").limit(HOT_ANCHORS).collect()
@@ -580,8 +586,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = H
 
     flags = shared.where("did is not null").groupBy("did").agg(F.collect_list("lows").alias("lows")).hint("shuffle_hash")
     n_buckets = max(parts, n_shared // 5 * (length + (length - k) // 2) // BUCKET)
-    strings = texts.join(flags, "did").select("did", "doc_id", "text", "lows").mapInArrow(_strings(n_buckets, common, length, k), _STRINGS)
+    strings = texts.join(flags, "did").select("did", "doc_id", "text", "lows").mapInArrow(_strings(n_buckets, common, length, k, tagged), _STRINGS)
     spans = strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_verdicts(length), _SPANS)
     spans = spans.groupBy("did").agg(F.collect_list(F.struct("spans", "width")).alias("spans")).hint("shuffle_hash")
     # The texts' exchange is the one of the join above.
-    return texts.join(spans, "did", "left").select("did", "doc_id", "text", "spans").mapInArrow(_left, _RESULT)
+    return texts.join(spans, "did", "left").select("did", "doc_id", "text", "spans").mapInArrow(_left(tagged), _RESULT)

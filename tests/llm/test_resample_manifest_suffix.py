@@ -214,7 +214,7 @@ def found(frame):
 
 @pytest.mark.parametrize(("hot", "bucket", "flush", "piece"), [(50_000, 1 << 20, 16 << 20, 1 << 19), (1, 2000, 3000, 700), (3, 1 << 14, 1, 4096)])
 def test_suffix_dedup(docs, monkeypatch, hot, bucket, flush, piece):
-    for name, value in {"BUCKET": bucket, "FLUSH": flush, "PIECE": piece}.items():
+    for name, value in {"BUCKET": bucket, "PAIRS": bucket, "FLUSH": flush, "HELD": flush, "PIECE": piece}.items():
         monkeypatch.setattr(suffix_dedup, name, value)
     assert found(suffix_dedup.suffix_dedup(docs, hot=hot)) == left([r[:2] for r in rows()])
 
