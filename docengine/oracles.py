@@ -268,6 +268,41 @@ _JOINED = _STEPS.replace(f"rec AS ({X.RECORDS}),", "", 1)
 
 _ANSWERS = f"ans AS ({X.RESPONSES}), got AS (SELECT event_id, content, event_id % 6 NOT IN (3) AS parsed, CASE event_id % 6 WHEN 4 THEN '[1, {{\"a\": \"}}\"}}]' WHEN 3 THEN NULL ELSE regexp_extract(content, '(\\{{\"k\".*\\}})', 1) END AS json FROM ans)"
 
+_SECONDS = "k % 64 / 8.0::DOUBLE"
+_INT = lambda e: f"CASE WHEN json_type({e}) NOT IN ('OBJECT', 'ARRAY') AND regexp_full_match(replace(json_extract_string({e}, '$'), ',', ''), '[+-]?[0-9]+') THEN replace(json_extract_string({e}, '$'), ',', '')::BIGINT END"
+_BOOL = lambda e: f"CASE WHEN lower(json_extract_string({e}, '$')) IN ('true', 'yes', '1') THEN true WHEN lower(json_extract_string({e}, '$')) IN ('false', 'no', '0') THEN false END"
+_TYPED_FIELDS = {
+    "year": ("document_metadata.electoral_roll_year", None, _INT), "page": ("document_metadata.page_number_current", "document_metadata.page_number", _INT),
+    "assembly": ("constituency_details.assembly_constituency_number", "constituency.assembly_constituency_number", _INT),
+    "electors": ("detailed_elector_summary.net_total.total", "elector_summary.total_electors", _INT), "signed": ("authority_verification.signature_present", "authority.signature_present", _BOOL),
+}
+
+
+def _typed_value(path: str, older: str | None) -> str:
+    at = [f"CASE WHEN json_type(doc, '$.{p}') <> 'NULL' THEN json_extract(doc, '$.{p}') END" for p in (path, older) if p]
+    return f"coalesce({', '.join(at)})"
+
+
+_TYPED = f"""WITH m AS (SELECT k, CASE WHEN json_valid(document) THEN document::JSON END AS doc FROM ({X.METADATA})),
+v AS (SELECT k, doc IS NOT NULL AS parsed, {', '.join(f"{_typed_value(p, o)} AS v_{n}" for n, (p, o, _) in _TYPED_FIELDS.items())} FROM m),
+t AS (SELECT *, {', '.join(f"{kind(f'v_{n}')} AS {n}" for n, (_, _, kind) in _TYPED_FIELDS.items())} FROM v)
+SELECT k, parsed, {', '.join(_TYPED_FIELDS)}, concat_ws(';', {', '.join(f"CASE WHEN v_{n} IS NOT NULL AND {n} IS NULL THEN {_q(p + '=')} || v_{n}::VARCHAR END" for n, (p, _, _) in _TYPED_FIELDS.items())}) AS misfit FROM t"""
+_CHANGED = f"""WITH r AS (SELECT * FROM ({X.RECORDS})), now AS (SELECT file, page, string_agg(image || ':' || k, ',' ORDER BY image) AS f FROM r GROUP BY file, page),
+b AS (SELECT file, page, image, k + CASE WHEN k % 170 = 3 THEN 1 ELSE 0 END AS n FROM r WHERE file <> 'file-1' UNION ALL SELECT file, page || '-old', image, k FROM r WHERE k % 37 = 0),
+l AS (SELECT file, page, string_agg(image || ':' || n, ',' ORDER BY image) AS f FROM b WHERE file <> 'file-2' GROUP BY file, page)
+SELECT file, page, CASE WHEN l.f IS NULL THEN 'new' WHEN now.f IS NULL THEN 'gone' ELSE 'changed' END AS change FROM now FULL JOIN l USING (file, page) WHERE now.f IS DISTINCT FROM l.f"""
+_NAMES_AGAIN = f"""WITH RECURSIVE {_FILES}, c AS (SELECT file, page AS page_id, stem AS page_base, id AS path_pos, unnest([1, 2]) AS i FROM files WHERE kind <> 'text'),
+w AS (SELECT *, ltrim(substr(page_base, length(page_id) + 1), '-_') AS extra, page_id || printf('-%03d.png', i) AS plain FROM c),
+e AS (SELECT *, row_number() OVER (PARTITION BY file, page_id, i ORDER BY path_pos) AS r FROM w WHERE path_pos % 3 = 0),
+old AS (SELECT DISTINCT file, page_id, CASE WHEN r > 1 AND extra <> '' THEN page_id || '-' || extra || printf('-%03d.png', i) ELSE plain END AS name FROM e),
+o AS (SELECT *, row_number() OVER (PARTITION BY file, page_id, i ORDER BY path_pos) AS r, extra <> '' AND page_base <> page_id AS able, page_id || '-' || extra || printf('-%03d.png', i) AS longer FROM w),
+-- crop by crop, with the names on disk as state
+s AS (
+  SELECT o.*, old.name IS NOT NULL AS there FROM o LEFT JOIN old ON o.file = old.file AND o.page_id = old.page_id AND o.plain = old.name WHERE r = 1
+  UNION ALL SELECT o.*, s.there OR NOT (s.there AND s.able) FROM s JOIN o ON o.file = s.file AND o.page_id = s.page_id AND o.i = s.i AND o.r = s.r + 1
+), m AS (SELECT *, CASE WHEN there AND able THEN longer ELSE plain END AS crop_name FROM s)
+SELECT file, page_id, path_pos, i, crop_name FROM m QUALIFY row_number() OVER (PARTITION BY file, page_id, crop_name ORDER BY path_pos DESC) = 1"""
+
 ORACLES = {
     "page_report": f"WITH {_STEPS} {_REPORT}",
     "records": f"WITH {_STEPS} SELECT * FROM records",
@@ -375,4 +410,19 @@ SELECT k, error, coalesce(nullif(folded, ''), {_bare("right(whole, 4)")}) AS ser
   CASE WHEN error IS NULL THEN CASE WHEN rn <> '' AND {_photo('rn')} THEN '' ELSE rt END END AS relation_type, CASE WHEN error IS NULL THEN CASE WHEN rn <> '' AND {_photo('rn')} THEN '' ELSE rn END END AS relation_name,
   CASE WHEN error IS NULL THEN house_no END AS house_no, CASE WHEN error IS NULL THEN age END AS age, CASE WHEN error IS NULL THEN gender END AS gender
 FROM pick""",
+    "files_chosen": f"""WITH {_FILES}, c AS (SELECT * FROM files WHERE lower(ext) IN ({', '.join(map(_q, L.CROP_EXTENSIONS))})),
+f AS (SELECT * FROM c WHERE file IN (SELECT DISTINCT file FROM c ORDER BY file LIMIT 25)), p AS (SELECT *, dense_rank() OVER (PARTITION BY file ORDER BY page) AS n FROM f)
+SELECT id, file, page, path FROM p WHERE n <= 6 AND NOT EXISTS (SELECT 1 FROM files d WHERE d.id % 11 = 0 AND d.file = p.file AND d.page = p.page)""",
+    "files_crop_names_again": _NAMES_AGAIN,
+    "pages_changed": _CHANGED,
+    "stats_levels": f"""WITH r AS (SELECT file, page, {_SECONDS} AS s, k % 9 <> 0 AS good FROM ({X.RECORDS}))
+SELECT CASE WHEN grouping(file) = 1 THEN 'run' WHEN grouping(page) = 1 THEN 'file' ELSE 'page' END AS level, file, page, count(*) AS images, count(*) FILTER (good) AS ok, count(*) FILTER (NOT good) AS failed,
+  round(sum(s), 4) AS total_seconds, round(sum(s) / count(*), 4) AS avg_seconds_per_image, round(CASE WHEN count(*) FILTER (good) > 0 THEN sum(s) / count(*) FILTER (good) ELSE 0 END * 1000, 1) AS ms_per_ok
+FROM r GROUP BY GROUPING SETS ((file, page), (file), ())""",
+    "output_raw_index": f"""WITH rec AS ({X.RECORDS}), {_REC_WORDS}, {_MD_LINES}, {_RAW},
+p AS (
+  SELECT DISTINCT file || '.md' AS path, 0 AS section, '' AS page, '' AS image, octet_length(encode('# Raw OCR (Text Only)' || chr(10) || chr(10) || '- **File**: ' || file || chr(10) || '- **Languages**: eng' || chr(10) || '- **Tesseract config**: `--psm 6`' || chr(10))) AS bytes FROM raw
+  UNION ALL SELECT file || '.md', 1, page, image, octet_length(encode(markdown)) FROM raw
+) SELECT path, page, image, (sum(bytes) OVER (PARTITION BY path ORDER BY section, page, image) - bytes)::BIGINT AS start, bytes FROM p""",
+    "model_typed": _TYPED,
 }

@@ -77,6 +77,17 @@ SELECT event_id, CASE event_id % 6 WHEN 0 THEN props WHEN 1 THEN '```json
 FROM events
 """
 
+#: Metadata documents of both layouts, with values of wrong kinds, and text that is no JSON.
+METADATA = """
+SELECT o_orderkey AS k, CASE o_orderkey % 8 WHEN 7 THEN 'no document' WHEN 6 THEN
+  '{"document_metadata":{"electoral_roll_year":' || CAST(2000 + o_custkey % 26 AS STRING) || ',"page_number":' || CAST(o_orderkey % 40 AS STRING) || '},"constituency":{"assembly_constituency_number":"'
+    || CAST(o_custkey % 234 AS STRING) || '"},"authority":{"signature_present":' || CASE WHEN o_orderkey % 3 = 0 THEN 'null' ELSE '"yes"' END || '},"elector_summary":{"total_electors":"1,' || CAST(100 + o_custkey % 900 AS STRING) || '"}}'
+  ELSE '{"document_metadata":{"electoral_roll_year":' || CASE WHEN o_orderkey % 5 = 0 THEN '"unknown"' WHEN o_orderkey % 5 = 1 THEN '[2024]' ELSE CAST(2000 + o_custkey % 26 AS STRING) END || ',"page_number_current":"'
+    || CAST(o_orderkey % 40 AS STRING) || '"},"constituency_details":{"assembly_constituency_number":' || CAST(o_custkey % 234 AS STRING) || '},"authority_verification":{"signature_present":'
+    || CASE o_orderkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN '"perhaps"' ELSE 'false' END || '},"detailed_elector_summary":{"net_total":{"total":' || CASE WHEN o_orderkey % 4 = 0 THEN '{"all":5}' ELSE CAST(o_custkey AS STRING) END || '}}}' END AS document
+FROM orders
+"""
+
 
 def spread(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """``rows`` dealt out by their first column if the scan has fewer splits than there are cores.

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docengine.functions import fields, labels as L, modeljson as J, text as T
+from docengine.functions import fields, labels as L, metadata, modeljson as J, text as T
 from docengine.operators import crops as C, geometry as G, pages as P, words as W
-from docengine.plans import fixtures as X, outputs as O, records as R, stages
-from docengine.sources import files as S
+from docengine.plans import fixtures as X, outputs as O, records as R, refresh, stages
+from docengine.sources import files as S, scan as N
 from docengine.sources.config import Settings
 
 
@@ -108,6 +108,30 @@ def files_crop_names(spark, d):
     return C.crop_names(crops).select("file", "page_id", "path_pos", "i", "crop_name")
 
 
+def files_chosen(spark, d):
+    """What a run reads of a listing: limits of folders and pages, without the pages that are done."""
+    rows = _files(spark, d)
+    done = rows.where("id % 11 = 0").select("file", "page")
+    return N.choose(S.crop_images(rows), Settings(limit=25, limit_pages=6), done).select("id", "file", "page", "path")
+
+
+def files_crop_names_again(spark, d):
+    """Names of crops beside what an earlier run has left."""
+    rows = _files(spark, d).where("kind <> 'text'")
+    crops = rows.select("file", F.col("page").alias("page_id"), F.col("stem").alias("page_base"), F.col("id").alias("path_pos"), F.explode(F.sequence(F.lit(1), F.lit(2))).alias("i"))
+    return C.crop_names(crops, C.crop_names(crops.where("path_pos % 3 = 0"))).select("file", "page_id", "path_pos", "i", "crop_name")
+
+
+def pages_changed(spark, d):
+    """Pages that are new, changed or gone since the last runs of a ledger."""
+    rows = X.view(spark, d, X.RECORDS).select("file", "page", F.col("image").alias("name"), F.col("k").alias("length"), F.lit(0).alias("modificationTime"), "k")
+    before = rows.where("file <> 'file-1'").withColumn("length", F.col("length") + F.when((F.col("k") % 170 == 3), 1).otherwise(0))
+    moved = rows.where("k % 37 = 0").withColumn("page", F.concat("page", F.lit("-old")))
+    first = refresh.fingerprints(before.unionByName(moved)).withColumn("run", F.lit(1).cast("long"))
+    second = first.where("file = 'file-2'").withColumns({"images": F.lit(0), "fingerprint": F.lit(""), "run": F.lit(2).cast("long")})
+    return refresh.changes(refresh.fingerprints(rows), first.unionByName(second))
+
+
 def words_confident(spark, d):
     return X.doc_words(spark, d).groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(W.confident(F.col("conf"), F.col("text")) & (T.strip(F.col("text")) != "")).alias("n_usable"))
 
@@ -393,6 +417,28 @@ def stats_run(spark, d):
     return files.agg(F.count("*").alias("files"), F.sum("images_processed").alias("images"), F.round(F.sum("total_seconds") / F.sum("images_processed"), 4).alias("avg_seconds"))
 
 
+def stats_levels(spark, d):
+    """Totals of the run, of its files and of their pages."""
+    rows = X.view(spark, d, X.RECORDS).select("file", "page", (F.col("k") % 64 / F.lit(8.0)).alias("seconds"), F.when(F.col("k") % 9 == 0, "failed").alias("error"))
+    return R.levels(rows)
+
+
+def output_raw_index(spark, d):
+    """Where each image's dump stands in its file's document, without a row for the file."""
+    pieces = O.raw_text_pieces(output_raw_text(spark, d), F.concat("file", F.lit(".md")), "eng", "--psm 6")
+    return O.piece_index(pieces).select("path", "page", F.col("item").alias("image"), "start", "bytes")
+
+
+def model_typed(spark, d):
+    """Typed fields of metadata documents of both layouts, and the fields that do not fit."""
+    rows = metadata.typed(X.view(spark, d, X.METADATA))
+    return rows.select(
+        "k", "parsed", F.col("document_metadata.electoral_roll_year").alias("year"), F.col("document_metadata.page_number_current").alias("page"),
+        F.col("constituency_details.assembly_constituency_number").alias("assembly"), F.col("authority_verification.signature_present").alias("signed"),
+        F.col("detailed_elector_summary.net_total.total").alias("electors"), F.array_join(F.transform("misfit", lambda m: F.concat(m["path"], F.lit("="), m["value"])), ";").alias("misfit"),
+    )
+
+
 QUERIES = {
     "page_report": page_report, "records": records, "strict_gender": strict_gender,
     **{f.__name__: f for f in (
@@ -401,6 +447,6 @@ QUERIES = {
         codes_epic, codes_serial, codes_numbers, text_normalized, text_markers, text_value_after_colon, text_house_value, text_urls, boxes_plausible, boxes_deduped, boxes_contained,
         boxes_order, boxes_numbered, boxes_detected, boxes_scaled, boxes_region, crops_strict, crops_auto, crops_post, crops_cut, pages_back, pages_limit, pages_limit_pages, pages_resume, pages_dry_run,
         model_cost, model_json, model_documents, model_failures, model_sidecars, model_files, grid_records, page_texts, output_pages, output_files, output_page_markdown, output_file_markdown, output_raw_text, output_raw_detail, output_raw_file,
-        stats_timing, stats_run,
+        stats_timing, stats_run, files_chosen, files_crop_names_again, pages_changed, stats_levels, output_raw_index, model_typed,
     )},
 }
