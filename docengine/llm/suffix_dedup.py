@@ -181,28 +181,40 @@ def _pairs(n_buckets: int, length: int, k: int):
     return run
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
-    """Rows of each bucket; the batches are sorted by bucket."""
+def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
+    """Rows that share the key, in batches that are sorted by it."""
     at, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            if rows and row["bucket"] != at:
-                yield at, rows
+            if rows and row[key] != at:
+                yield rows
                 rows = []
-            at = row["bucket"]
+            at = row[key]
             rows.append(row)
     if rows:
-        yield at, rows
+        yield rows
 
 
-_SHARED = "did long, lows binary, holders long"
+def _dealt(did: np.ndarray, n_groups: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of rows by group of documents, then document, and (group, first, end) of each group.
+
+    What a bucket has to tell goes out as a pack for each group, not as a row for each document,
+    so rows do not multiply with the number of buckets.
+    """
+    group = (T.mix(did.astype(_U)) % _U(n_groups)).astype(np.int64)
+    order = np.lexsort((did, group))
+    edge = _edges(group[order])
+    return order, [(int(group[order[a]]), int(a), int(b)) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
+_SHARED = "grp int, lows binary, held binary, holders long"
 
 
-def _shared(hot: int):
-    """(did, anchors) for all pairs whose anchor another document holds; rows without did name anchors of more than ``hot`` holders."""
+def _shared(hot: int, n_groups: int):
+    """Packs of (did, anchor) whose anchor another document holds; rows without group name anchors of more than ``hot`` holders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_bucket(batches):
+        for rows in _grouped(batches, "bucket"):
             low = [_from_five(r["lows"]) for r in rows if r["local"]]
             did = [_unpacked(r["held"], 2)[:, 0] for r in rows if r["local"]]
             parts = [r for r in rows if not r["local"]]
@@ -217,19 +229,29 @@ def _shared(hot: int):
                 low.append(a[several])
                 did.append(d[several])
                 holders = np.add.reduceat(c, edge[:-1])
-                often = [(None, _five(a[edge[x] : edge[x] + 1]).tobytes(), int(holders[x])) for x in np.flatnonzero(holders > hot)]
+                often = [(None, _five(a[edge[x] : edge[x] + 1]).tobytes(), None, int(holders[x])) for x in np.flatnonzero(holders > hot)]
             low, did = np.concatenate(low), np.concatenate(did)
-            order = np.argsort(did, kind="stable")
+            order, groups = _dealt(did, n_groups)
             low, did = _five(low[order]), did[order]
-            edge = _edges(did)
-            out = [(int(did[x]), low[x:y].tobytes(), None) for x, y in zip(edge[:-1], edge[1:], strict=True)] + often
+            out = [(g, low[x:y].tobytes(), _packed([did[x:y]]), None) for g, x, y in groups] + often
             if out:
-                ids, lows, n = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lows, pa.binary()), pa.array(n, pa.int64())], names=["did", "lows", "holders"])
+                types = (pa.int32(), pa.binary(), pa.binary(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["grp", "lows", "held", "holders"])
 
     return run
 
 
+def _flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(did, lows): a row for each document with shared anchors."""
+    for rows in _grouped(batches, "grp"):
+        low = np.concatenate([_from_five(r["lows"]) for r in rows])
+        did = np.concatenate([_unpacked(r["held"], 1)[:, 0] for r in rows])
+        order = np.lexsort((low, did))
+        low, did = _five(low[order]), did[order]
+        edge = _edges(did)
+        yield pa.RecordBatch.from_arrays([pa.array(did[edge[:-1]]), pa.array([low[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:], strict=True)], pa.binary())], names=["did", "lows"])
+
+
 # --- strings of shared anchors
 
 
@@ -308,7 +330,7 @@ def _strings(n_buckets: int, hot: np.ndarray, length: int, k: int, tagged: bool)
         for batch in batches:
             ids = np.asarray(batch.column("did"))
             raw, off = T.buffers(batch.column("text"))
-            flags = [np.unique(_from_five(b"".join(x.as_py()))) for x in batch.column("lows")]
+            flags = [np.unique(_from_five(x.as_py())) for x in batch.column("lows")]
             tags = np.array([_tag(raw[off[d] : off[d + 1]].tobytes()) if tagged else 0 for d in range(len(ids))], np.int64)
             for i, j, lo, hi in _pieces(off, length):
                 own = np.clip(off[i : j + 1], lo, hi) - lo
@@ -453,11 +475,11 @@ def classes(raw: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-_SPANS = "did long, spans binary, width int"
+_SPANS = "grp int, held binary"
 
 
-def _verdicts(length: int):
-    """(did, [tag, start, end]...) of the bytes that go, for each bucket."""
+def _verdicts(length: int, n_groups: int):
+    """Packs of (did, tag, start, end) of the bytes that go."""
 
     def one(rows: list[dict]) -> np.ndarray:
         ids: dict[bytes, int] = {}
@@ -504,22 +526,33 @@ def _verdicts(length: int):
         return np.stack([own[:, 1], own[:, 2], own[:, 3] + shift[a], own[:, 3] + shift[b] + length], axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_bucket(batches):
+        for rows in _grouped(batches, "bucket"):
             spans = [_unpacked(r["owners"], 4) for r in rows if r["local"]]
             if parts := [r for r in rows if not r["local"]]:
                 spans.append(one(parts))
             spans = np.concatenate(spans)
-            spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
-            if len(spans):
-                edge = _edges(spans[:, 0])
-                narrow = spans[:, 1:].astype(np.uint32 if spans[:, 3].max() < 1 << 32 else np.uint64)
-                out = [(int(spans[a, 0]), narrow[a:b].tobytes(), narrow.itemsize) for a, b in zip(edge[:-1], edge[1:], strict=True)]
-                dids, held, width = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(dids, pa.int64()), pa.array(held, pa.binary()), pa.array(width, pa.int32())], names=["did", "spans", "width"])
+            spans = spans[np.lexsort((spans[:, 2], spans[:, 1]))]
+            order, groups = _dealt(spans[:, 0], n_groups)
+            if groups:
+                grp, held = zip(*[(g, _packed(list(spans[order[a:b]].T))) for g, a, b in groups], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grp, pa.int32()), pa.array(held, pa.binary())], names=["grp", "held"])
 
     return run
 
 
+def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(did, spans): the maximal removed runs of each document and tag, a row a document."""
+    for rows in _grouped(batches, "grp"):
+        spans = np.concatenate([_unpacked(r["held"], 4) for r in rows])
+        spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
+        edge = np.flatnonzero(np.concatenate([[True], (np.diff(spans[:, :2], axis=0) != 0).any(axis=1), [True]]))
+        out: dict[int, list] = {}
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            gone = merged(spans[a:b, 2:])
+            out.setdefault(int(spans[a, 0]), []).append(np.column_stack([np.full(len(gone), spans[a, 1]), gone]))
+        yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array([np.concatenate(x).tobytes() for x in out.values()], pa.binary())], names=["did", "spans"])
+
+
 # --- what is left
 
 
@@ -544,10 +577,10 @@ def _left(tagged: bool):
             rows = []
             for d, spans in enumerate(batch.column("spans")):
                 data = raw[off[d] : off[d + 1]]
-                spans = spans.as_py() or []
+                spans = spans.as_py()
                 if spans:
-                    spans = np.concatenate([np.frombuffer(x["spans"], f"u{x['width']}").reshape(-1, 3).astype(np.int64) for x in spans])
-                    gone = merged(spans[spans[:, 0] == (_tag(data.tobytes()) if tagged else 0)][:, 1:])
+                    spans = np.frombuffer(spans, np.int64).reshape(-1, 3)
+                    gone = spans[spans[:, 0] == (_tag(data.tobytes()) if tagged else 0)][:, 1:]
                 else:
                     gone = np.zeros((0, 2), np.int64)
                 digest, at = hashlib.sha256(), 0
@@ -579,15 +612,16 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = H
     tagged = bool(texts.groupBy("did").count().where("count > 1").limit(1).count())
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = texts.select("did", "text").mapInArrow(_pairs(max(parts, size // PAIRS), length, k), _PAIRS)
-    shared = materialise(pairs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared(hot), _SHARED))
-    n_shared = shared.where("did is not null").agg(F.sum(F.octet_length("lows"))).head()[0] or 0
-    often = shared.where("did is null").orderBy(F.desc("holders"), "lows").limit(HOT_ANCHORS).collect()
+    shared = materialise(pairs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared(hot, parts), _SHARED))
+    n_shared = shared.where("grp is not null").agg(F.sum(F.octet_length("lows"))).head()[0] or 0
+    often = shared.where("grp is null").orderBy(F.desc("holders"), "lows").limit(HOT_ANCHORS).collect()
     common = np.unique(_from_five(b"".join(r["lows"] for r in often)))
 
-    flags = shared.where("did is not null").groupBy("did").agg(F.collect_list("lows").alias("lows")).hint("shuffle_hash")
+    by_group = shared.where("grp is not null").select("grp", "lows", "held").repartition("grp").sortWithinPartitions("grp")
+    flags = by_group.mapInArrow(_flags, "did long, lows binary").hint("shuffle_hash")
     n_buckets = max(parts, n_shared // 5 * (length + (length - k) // 2) // BUCKET)
     strings = texts.join(flags, "did").select("did", "doc_id", "text", "lows").mapInArrow(_strings(n_buckets, common, length, k, tagged), _STRINGS)
-    spans = strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_verdicts(length), _SPANS)
-    spans = spans.groupBy("did").agg(F.collect_list(F.struct("spans", "width")).alias("spans")).hint("shuffle_hash")
+    spans = strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_verdicts(length, parts), _SPANS)
+    removals = spans.repartition("grp").sortWithinPartitions("grp").mapInArrow(_removals, "did long, spans binary").hint("shuffle_hash")
     # The texts' exchange is the one of the join above.
-    return texts.join(spans, "did", "left").select("did", "doc_id", "text", "spans").mapInArrow(_left(tagged), _RESULT)
+    return texts.join(removals, "did", "left").select("did", "doc_id", "text", "spans").mapInArrow(_left(tagged), _RESULT)
