@@ -285,6 +285,20 @@ def ask(folders: DataFrame, provider: VisionProvider, prompt: str) -> DataFrame:
     return _spread(folders, provider, {"front_url", "back_url"}, ANSWER_SCHEMA, work)
 
 
+def ask_once(questions: DataFrame, provider: VisionProvider, prompt: str) -> DataFrame:
+    """Like ``ask``; a call that fails is a row with its error and no answer."""
+
+    def work(p: VisionProvider, row: dict) -> list[dict]:
+        none = dict.fromkeys(("answer", "prompt_tokens", "completion_tokens", "total_tokens"))
+        try:
+            text, usage = p.ask(prompt, [row["front_url"], row["back_url"]])
+        except Exception as e:
+            return [none | {"error": f"{type(e).__name__}: {e}"}]
+        return [none | {"answer": text, "error": None} | {k: (usage or {}).get(k) for k in ("prompt_tokens", "completion_tokens", "total_tokens")}]
+
+    return _spread(questions, provider, {"front_url", "back_url"}, f"{ANSWER_SCHEMA}, error string", work)
+
+
 def otsu(gray: np.ndarray) -> int:
     """The threshold with the largest variance between classes."""
     share = np.bincount(gray.ravel(), minlength=256) / gray.size
