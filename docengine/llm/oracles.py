@@ -74,16 +74,17 @@ MIX = f"WITH {mixed('documents')} SELECT doc_id, size, source_size, target, copi
 
 
 def _fence_sql() -> str:
-    gamma, small, spread = math.log(quality_rules.GAMMA), quality_rules.SMALL, quality_rules.SPREAD
-    widths = " ".join(f"WHEN '{m}' THEN {w}" for m, w in quality_rules.METRICS.items())
-    value = lambda b: f"CASE WHEN {b} = -100000 THEN 0.0 ELSE pow({quality_rules.GAMMA}::DOUBLE, {b} + 0.5::DOUBLE) END"
-    edges = ", ".join(f"max(CASE WHEN metric = '{m}' THEN {s} END) AS {m}_{s}" for m in quality_rules.METRICS for s in ("low", "high"))
-    long = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {m} AS v FROM rated WHERE n_words >= 10" for m in quality_rules.METRICS)
-    inside = " AND ".join(
-        f"coalesce({m} >= coalesce(CASE WHEN f0.docs >= {small} THEN f0.{m}_low END, CASE WHEN f1.docs >= {small} THEN f1.{m}_low END, f2.{m}_low)"
-        f" AND {m} <= coalesce(CASE WHEN f0.docs >= {small} THEN f0.{m}_high END, CASE WHEN f1.docs >= {small} THEN f1.{m}_high END, f2.{m}_high), true)"
-        for m in quality_rules.METRICS
-    )
+    q = quality_rules
+    gamma = math.log(q.GAMMA)
+    value = lambda b: f"((pow({q.GAMMA}::DOUBLE, {b} + 0.5::DOUBLE) - 1) / {q.UNIT}::DOUBLE)"
+    bucket = lambda v: f"floor(ln(1.0::DOUBLE + {q.UNIT}::DOUBLE * {v}) / {gamma!r}::DOUBLE)::INT"
+    names = [*[(m, side) for m in q.MIDDLED for side in ("low", "high")], *[(m, "cut") for m in q.RATES]]
+    edges = ", ".join(f"max(CASE WHEN metric = '{m}' THEN {side} END) AS {m}_{side}" for m, side in names)
+    long = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {bucket(m)} AS bucket FROM rated WHERE NOT base_failed" for m in q.METRICS)
+    of = lambda c: f"CASE WHEN f0.docs >= {q.SMALL} THEN f0.{c} WHEN f1.docs >= {q.SMALL} THEN f1.{c} ELSE f2.{c} END"
+    inside = " AND ".join([
+        *[f"coalesce({m} >= {of(m + '_low')} AND {m} <= {of(m + '_high')}, true)" for m in q.MIDDLED], *[f"coalesce({bucket(m)} <= {of(m + '_cut')}, true)" for m in q.RATES],
+    ])
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (
@@ -108,23 +109,28 @@ w AS (
          n_dup_lines::DOUBLE / greatest(n_words, 1) * 10.0::DOUBLE AS dup_line_rate, n_repeat_words::DOUBLE / greatest(n_words, 1) AS repeat_rate
   FROM base
 ), long AS ({long}),
-cells AS (
-  SELECT lang, source, metric, CASE WHEN v < {quality_rules.LEAST}::DOUBLE THEN -100000 ELSE floor(ln(v) / {gamma!r}::DOUBLE)::INT END AS bucket, count(*) AS n
-  FROM long GROUP BY ALL
-), merged AS (
+cells AS (SELECT lang, source, metric, bucket, count(*) AS n FROM long GROUP BY ALL),
+merged AS (
   SELECT 0 AS level, lang, source, metric, bucket, n FROM cells
   UNION ALL SELECT 1, lang, NULL, metric, bucket, sum(n) FROM cells GROUP BY lang, metric, bucket
   UNION ALL SELECT 2, NULL, NULL, metric, bucket, sum(n) FROM cells GROUP BY metric, bucket
 ), run AS (
-  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY level, lang, source, metric) AS total FROM merged
+  SELECT *, lead(bucket) OVER up AS after, sum(n) OVER up AS c1, sum(n * bucket) OVER up AS s1, sum(n * bucket * bucket) OVER up AS q1,
+         sum(n) OVER g AS c0, sum(n * bucket) OVER g AS s0, sum(n * bucket * bucket) OVER g AS q0
+  FROM merged WINDOW g AS (PARTITION BY level, lang, source, metric), up AS (PARTITION BY level, lang, source, metric ORDER BY bucket ROWS UNBOUNDED PRECEDING)
+), split AS (
+  SELECT *, CASE WHEN after IS NOT NULL THEN (c0::DOUBLE * s1::DOUBLE - c1::DOUBLE * s0::DOUBLE) * (c0::DOUBLE * s1::DOUBLE - c1::DOUBLE * s0::DOUBLE) / (c1::DOUBLE * (c0 - c1)::DOUBLE) END AS b FROM run
+), best AS (
+  SELECT level, lang, source, metric, bucket, after, c0, c1::DOUBLE AS n1, (c0 - c1)::DOUBLE AS n2, s1 / c1::DOUBLE AS m1, (s0 - s1) / (c0 - c1)::DOUBLE AS m2, q1 / c1::DOUBLE AS r1, (q0 - q1) / (c0 - c1)::DOUBLE AS r2
+  FROM split WHERE b IS NOT NULL QUALIFY row_number() OVER (PARTITION BY level, lang, source, metric ORDER BY b DESC, bucket) = 1
+), cuts AS (
+  SELECT *, floor((bucket + after) / 2.0)::INT AS cut FROM best
+  WHERE n2 * {q.MINORITY} <= c0 AND 2.0 * (m2 - m1) * (m2 - m1) >= {q.SEPARATION * q.SEPARATION!r}::DOUBLE * (r1 - m1 * m1 + r2 - m2 * m2 + {float(q.BLUR * q.BLUR)}::DOUBLE)
 ), quart AS (
-  SELECT level, lang, source, metric, max(total) AS docs, min(CASE WHEN upto * 4 >= total THEN bucket END) AS b1,
-         min(CASE WHEN upto * 4 >= total * 3 THEN bucket END) AS b3 FROM run GROUP BY ALL
-), edges AS (
-  SELECT *, {value('b1')} AS v1, {value('b3')} AS v3 FROM quart
+  SELECT level, lang, source, metric, max(c0) AS docs, min(CASE WHEN c1 * 4 >= c0 THEN bucket END) AS b1, min(CASE WHEN c1 * 4 >= c0 * 3 THEN bucket END) AS b3 FROM run GROUP BY ALL
 ), fence AS (
-  SELECT *, v1 - greatest({spread}::DOUBLE * (v3 - v1), CASE metric {widths} END) AS low,
-         v3 + greatest({spread}::DOUBLE * (v3 - v1), CASE metric {widths} END) AS high FROM edges
+  SELECT quart.*, cuts.cut, {value('b1')} - {q.SPREAD}::DOUBLE * ({value('b3')} - {value('b1')}) AS low, {value('b3')} + {q.SPREAD}::DOUBLE * ({value('b3')} - {value('b1')}) AS high
+  FROM quart LEFT JOIN cuts ON quart.level = cuts.level AND quart.lang IS NOT DISTINCT FROM cuts.lang AND quart.source IS NOT DISTINCT FROM cuts.source AND quart.metric = cuts.metric
 ), f AS (SELECT level, lang, source, max(docs) AS docs, {edges} FROM fence GROUP BY level, lang, source)
 SELECT r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, NOT r.base_failed AND {inside} AS kept
 FROM rated r

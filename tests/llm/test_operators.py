@@ -153,6 +153,35 @@ def test_quality_rules(spark, docs):
     assert not any(g["kept"] and g["base_failed"] for g in got)
 
 
+def test_quality_fences_come_from_the_sketches(spark):
+    """Sources with other habits get other fences for every metric, and a gap decides, not a constant."""
+    import math
+    import random
+
+    draw = random.Random(5)
+
+    def kind(source, usual, odd, width):
+        rows = [(source, False, 5.0 + draw.gauss(0, width), *[draw.choice([0.0, usual * draw.uniform(0.5, 1.5)]) for _ in range(3)]) for _ in range(400)]
+        return rows + [(source, False, 5.0, odd * draw.uniform(0.9, 1.1), 0.0, 0.0) for _ in range(20)] + [(source, False, 5.0, 0.0, odd, 0.0) for _ in range(20)] + [(source, False, 5.0, 0.0, 0.0, odd) for _ in range(20)]
+
+    made = kind("plain", 0.0, 0.2, 0.2) + kind("rich", 0.01, 0.8, 0.4)
+    made += [("even", False, 5.0, *[draw.random() ** 3 for _ in range(3)]) for _ in range(400)]  # spread without a gap
+    made += [("few", False, 5.0, 0.0, 0.0, 0.0)] * 50 + [("plain", True, 50.0, 9.0, 9.0, 9.0)] * 300  # those that fail the base rules say nothing
+    rated = spark.createDataFrame([("en", *r) for r in made], "lang string, source string, base_failed boolean, mean_word double, symbol_rate double, dup_line_rate double, repeat_rate double")
+    found = {(r["level"], r["source"]): r for r in quality_rules.fences(rated).collect()}
+    plain, rich, even = (found[(0, s)] for s in ("plain", "rich", "even"))
+    bucket = lambda v: math.floor(math.log(1 + quality_rules.UNIT * v) / math.log(quality_rules.GAMMA))
+    for rate in quality_rules.RATES:
+        assert 0 < plain[f"{rate}_cut"] < bucket(0.15) and bucket(0.015) < rich[f"{rate}_cut"] < bucket(0.72) and even[f"{rate}_cut"] is None
+    assert plain["mean_word_high"] - plain["mean_word_low"] < 0.8 * (rich["mean_word_high"] - rich["mean_word_low"])
+    assert plain["docs"] == 460 and (1, None) in found and (2, None) in found
+    # A small source is judged by its language.
+    kept = quality_rules.judge(spark.createDataFrame([(i, "en", s, 100, w, n, 0, 0) for i, (s, w, n) in enumerate([("plain", 500, 0), ("plain", 500, 20), ("rich", 500, 1), ("rich", 500, 80), ("plain", 5000, 0)])] + [
+        (1000 + i, "en", r[0], 100, round(100 * r[2]), round(100 * r[3]), round(10 * r[4]), round(100 * r[5])) for i, r in enumerate(made) if r[0] in ("plain", "rich") and not r[1]
+    ], "doc_id int, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"), ["doc_id"])
+    assert {r["doc_id"]: r["kept"] for r in kept.where("doc_id < 10").collect()} == {0: True, 1: False, 2: True, 3: False, 4: False}
+
+
 def test_bpe(docs):
     ranks = bpe.read_ranks(PATH)
     known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
