@@ -188,3 +188,36 @@ def test_html_matches_are_ascending():
         a, b = ([html.Node(r.choice("abc")) for _ in range(r.randrange(0, 9))] for _ in range(2))
         got = html._matches(a, b)
         assert all(a[i].name == b[j].name for i, j in got) and all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
+
+
+@pytest.mark.parametrize("extra", ['<svg class="i"/>', "<svg-icon></svg-icon>", "<title-bar></title-bar>", "<template-x></template-x>", '<svg><path d="a>b"/></svg>', "<template>no</template>", "<select><option>x</select>", "<svg>", "<iframe src=x>"])
+def test_html_elements_without_text_end_where_they_end(extra):
+    body = "".join(f"<p>Paragraph {i} of the article with some words." for i in range(4))
+    assert one_page(f"<body>{extra}<article>{extra}{body}</article></body>") == [f"Paragraph {i} of the article with some words." for i in range(4)]
+
+
+@pytest.mark.parametrize("n_comments", [0, 1, 2, 4, 8, 16, 60])
+@pytest.mark.parametrize("inside", [False, True])
+@pytest.mark.parametrize("n_pages", [1, 4])
+def test_html_comments_of_any_length_are_no_article(n_comments, inside, n_pages):
+    """From none to more than 90 % of the text; the plain answer is the article's own paragraphs."""
+    def page(k):
+        body = "".join(f"<p>Paragraph {i} of page {k} with some words." for i in range(4))
+        said = "".join(f"<div class=comment><p>Reader {i} says something {i * k} of some length here.</div>" for i in range(n_comments))
+        list_ = f"<section class=comments>{said}</section>"
+        return f"<body><nav>menu</nav>{f'<article>{body}{list_}</article>' if inside else f'<article>{body}</article>{list_}'}<footer>end</footer></body>"
+
+    pages = [page(k) for k in range(n_pages)]
+    done = None
+    for p in pages:
+        own = html.wrapper(html.parse(p))
+        done = own if done is None else html.align(done, own)
+    plan = html.Plan(done)
+    for k, p in enumerate(pages):
+        assert html.extract(html.parse(p), plan.main, plan.beside) == [f"Paragraph {i} of page {k} with some words." for i in range(4)]
+
+
+def test_html_an_article_keeps_its_lists_of_links():
+    links = "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(5))
+    got = one_page(f"<body><div><ul>{links}</ul></div><article><p>Some words about the links below.</p><ul>{links}</ul></article></body>")
+    assert got == ["Some words about the links below.", *[f"Link number {i}" for i in range(5)]]
