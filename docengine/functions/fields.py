@@ -7,7 +7,6 @@ line_num, norm, stop) in recognition order, some dozens of words of one image.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from docengine.functions import labels as L
 from docengine.functions import text as T
+from docengine.functions.labelindex import LabelIndex, tokens
 
 
 def _first(values: Column) -> Column:
@@ -108,7 +108,7 @@ def photo_line(words: Column) -> Column:
 
 def tokenize_label(variant: str) -> list[str]:
     """Normalised tokens of a label variant, on the driver."""
-    return [t for t in (T.normalize_py(p) for p in re.split(r"\s+|[:\-–—|=]+", variant.strip())) if t]
+    return list(tokens(variant))
 
 
 def visual_lines(words: Column) -> Column:
@@ -143,17 +143,31 @@ def find_span(rows: Column, variants: list[str]) -> Column:
 
 
 def join_value(words: Column, start: Column, most: int = 64) -> Column:
-    """Texts from ``start`` on until another label begins or the value would grow too long."""
+    """Texts from ``start`` on until another label begins or the value would grow too long.
+
+    Words up to the next label that fit as a whole, the usual case, are joined at once; only a
+    value that is too long is folded word by word.
+    """
 
     def step(state: Column, w: Column) -> Column:
-        skip = state["done"] | (w["x"] < start) | (w["text"] == "") | w["text"].isin(L.LABEL_SEPARATORS)
         size = state["n"] + F.length(w["text"]) + 1
         grown = F.struct(F.concat(state["parts"], F.array(w["text"])).alias("parts"), size.alias("n"), F.lit(False).alias("done"))
         ended = F.struct(state["parts"].alias("parts"), state["n"].alias("n"), F.lit(True).alias("done"))
-        return F.when(skip, state).when(w["stop"] | (size > most), ended).otherwise(grown)
+        return F.when(state["done"], state).when(size > most, ended).otherwise(grown)
 
     empty = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("n"), F.lit(False).alias("done"))
-    return T.strip(F.aggregate(words, empty, step, lambda s: F.array_join(s["parts"], " ")))
+
+    def before_label(kept: Column) -> Column:
+        stop = F.array_position(F.transform(kept, lambda w: w["stop"]), F.lit(True)).cast("int")
+        return F.when(stop > 0, F.slice(kept, F.lit(1), F.greatest(stop - 1, F.lit(0)))).otherwise(kept)
+
+    def joined(own: Column) -> Column:
+        texts = F.transform(own, lambda w: w["text"])
+        whole = T.let(F.array_join(texts, " "), lambda t: F.when(F.length(t) + 1 <= most, t))
+        return F.coalesce(whole, F.aggregate(own, empty, step, lambda s: F.array_join(s["parts"], " ")))
+
+    kept = F.filter(words, lambda w: (w["x"] >= start) & (w["text"] != "") & ~w["text"].isin(L.LABEL_SEPARATORS))
+    return T.strip(T.let(T.let(kept, before_label), joined))
 
 
 def next_visual_line(words: Column, label: Column, reach: int = 60) -> Column:
@@ -180,7 +194,7 @@ def find_token(words: Column, variants: list[str]) -> Column:
 
 
 def with_label_values(
-    images: DataFrame, wanted: dict[str, tuple[list[str], int]], next_line: bool = True, margin: int = -5, below: Callable[[Column, Column], Column] | None = None
+    images: DataFrame, wanted: dict[str, tuple[list[str], int]], next_line: bool = True, margin: int = -5, below: Callable[[Column, Column], Column] | None = None, index: LabelIndex | None = None
 ) -> DataFrame:
     """``images`` with a column for each wanted (label variants, longest value): what follows the label.
 
@@ -188,12 +202,20 @@ def with_label_values(
     lines give nothing.  ``margin`` moves the start of a value from the label's right edge and
     ``below`` chooses the line to go on with; older layouts use 5 or 10 and following_line.
     Lines, spans and values are built column by column, so that each is planned and evaluated once.
+    With an ``index`` of the same fields, whose ``hits`` the words carry, the labels of all
+    fields are found in one pass.
     """
     below = below or next_visual_line
     rows = images.withColumn("_lines", visual_lines(F.col("words")))
-    rows = rows.withColumns({f"_span_{c}": find_span(F.col("_lines"), variants) for c, (variants, _) in wanted.items()})
-    line = lambda c: F.get("_lines", F.col(f"_span_{c}.at"))
-    rows = rows.withColumns({f"_own_{c}": F.when(photo_line(line(c)), F.lit(None)).otherwise(line(c)) for c in wanted})
+    if index is not None:
+        rows = rows.withColumn("_ends", F.transform("_lines", lambda line: index.ended(F.transform(line, lambda w: w["hits"]))))
+        rows = rows.withColumn("_any", F.transform("_ends", lambda e: F.aggregate(e, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))))
+        rows = rows.withColumns({f"_span_{c}": index.span(c, F.col("_lines"), F.col("_ends"), F.col("_any")) for c in wanted})
+    else:
+        rows = rows.withColumns({f"_span_{c}": find_span(F.col("_lines"), variants) for c, (variants, _) in wanted.items()})
+    # Photo lines give nothing; each line is judged once for all fields.
+    rows = rows.withColumn("_told", F.transform("_lines", lambda line: F.when(~photo_line(line), line)))
+    rows = rows.withColumns({f"_own_{c}": F.get("_told", F.col(f"_span_{c}.at")) for c in wanted})
     start = lambda c: F.greatest(F.lit(0), F.col(f"_span_{c}.last.x") + F.col(f"_span_{c}.last.w") + margin)
     rows = rows.withColumns({f"_same_{c}": join_value(F.col(f"_own_{c}"), start(c), most) for c, (_, most) in wanted.items()})
     if next_line:

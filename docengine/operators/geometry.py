@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,11 +20,41 @@ def plausible(width: int = L.CANVAS[0], height: int = L.CANVAS[1]) -> Column:
     return area.between(F.lit(page * L.BOX_AREA[0]), F.lit(page * L.BOX_AREA[1])) & aspect.between(*L.BOX_ASPECT) & (F.col("n_vertices") >= 4)
 
 
+#: Boxes of a page up to which all of them are compared with each other.
+CROWDED = 300
+_BOX = "array<struct<x:int,y:int,w:int,h:int>>"
+
+
+def _fold_crowded(page: list[str], tolerance: int):
+    """The greedy fold over a page's sorted boxes with a grid of ``tolerance``: a box looks at its own and the neighbouring cells."""
+
+    def kept(boxes: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+        cells: dict[tuple, list] = {}
+        for box in boxes:
+            at = tuple(v // tolerance for v in box) if tolerance > 0 else box
+            near = (k for step in _STEPS for k in cells.get(tuple(map(sum, zip(at, step, strict=True))), ()))
+            if not any(all(abs(x - y) < tolerance for x, y in zip(box, k, strict=True)) for k in near):
+                cells.setdefault(at, []).append(box)
+                yield box
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.to_dict("records"):
+                own = list(kept([(int(b["x"]), int(b["y"]), int(b["w"]), int(b["h"])) for b in row["all"]]))
+                yield pd.DataFrame({**{c: [row[c]] * len(own) for c in page}, **{c: [b[i] for b in own] for i, c in enumerate("xywh")}})
+
+    return run
+
+
+_STEPS = list(itertools.product((-1, 0, 1), repeat=4))
+
+
 def dedupe(boxes: DataFrame, page: list[str], tolerance: int = L.DEDUPE_TOLERANCE) -> DataFrame:
     """Boxes in (x, y, w, h) order without those close to one kept before.
 
     Greedy by definition: a dropped box does not drop others, so the page's sorted boxes are
-    folded; a page has some dozens.
+    folded.  A page has some dozens; the boxes of a crowded one are folded over a grid of cells, in
+    time that grows with their number and not its square.
     """
 
     def close(a: Column, b: Column) -> Column:
@@ -28,28 +63,57 @@ def dedupe(boxes: DataFrame, page: list[str], tolerance: int = L.DEDUPE_TOLERANC
             test = test & (F.abs(a[c] - b[c]) < tolerance)
         return test
 
-    box = F.struct("x", "y", "w", "h")
-    kind = "array<struct<x:int,y:int,w:int,h:int>>"
-    kept = F.aggregate(
-        F.array_sort(F.collect_list(box)).cast(kind), F.array().cast(kind),
-        lambda acc, b: F.when(F.exists(acc, lambda k: close(k, b)), acc).otherwise(F.concat(acc, F.array(b))),
-    )
-    return boxes.groupBy(*page).agg(kept.alias("kept")).select(*page, F.inline("kept"))
+    packed = boxes.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("x", "y", "w", "h"))).cast(_BOX).alias("all"))
+    kept = F.aggregate("all", F.array().cast(_BOX), lambda acc, b: F.when(F.exists(acc, lambda k: close(k, b)), acc).otherwise(F.concat(acc, F.array(b))))
+    small = packed.where(F.size("all") <= CROWDED).select(*page, F.inline(kept))
+    schema = ", ".join(f"`{c}` {boxes.schema[c].dataType.simpleString()}" for c in page)
+    crowded = packed.where(F.size("all") > CROWDED).mapInPandas(_fold_crowded(page, tolerance), f"{schema}, x int, y int, w int, h int")
+    return small.unionByName(crowded)
+
+
+#: Cell sizes are powers of two up to this one.
+_LEVELS = 24
+
+
+def _level(w: Column, h: Column) -> Column:
+    """The least power of two that is no smaller than both sides."""
+    return F.least(F.greatest(F.ceil(F.log2(F.greatest(w, h, F.lit(1)).cast("double"))), F.lit(0)), F.lit(_LEVELS)).cast("int")
 
 
 def remove_contained(boxes: DataFrame, page: list[str], margin: int = L.CONTAIN_MARGIN, ratio: float = L.CONTAIN_AREA_RATIO) -> DataFrame:
-    """Boxes that lie in no larger box of their page: an anti join by page, as containment is transitive."""
-    big = boxes.select(*page, *[F.col(c).alias(f"big_{c}") for c in "xywh"]).alias("b")
-    a = boxes.alias("a")
-    x, y, w, h = (F.col(f"a.{c}") for c in "xywh")
-    bx, by, bw, bh = (F.col(f"b.big_{c}") for c in "xywh")
-    inside = (x >= bx + margin) & (y >= by + margin) & (x + w <= bx + bw - margin) & (y + h <= by + bh - margin)
-    small = w * h / F.greatest(F.lit(1), bw * bh).cast("double") <= ratio
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in page]
-    test = inside & small
-    for s in same:
-        test = s & test
-    return a.join(big, test, "left_anti")
+    """Boxes that lie in no larger box of their page, as containment is transitive an anti join.
+
+    The boxes of a page meet each other.  On a crowded page they meet through cells: a box stands
+    in the cells, at most four, that it touches in the grid of its own size, and every box asks in each
+    grid at least as wide as itself for the cell of its corner, where any box around it must stand.
+    """
+    whole = Window.partitionBy(*page)
+    counted = boxes.withColumn("_n", F.count("*").over(whole))
+    few = counted.where(F.col("_n") <= CROWDED).drop("_n")
+    many = counted.where(F.col("_n") > CROWDED).drop("_n")
+
+    def within(a: DataFrame, big: DataFrame, keys: list[str]) -> DataFrame:
+        x, y, w, h = (F.col(f"a.{c}") for c in "xywh")
+        bx, by, bw, bh = (F.col(f"b.big_{c}") for c in "xywh")
+        inside = (x >= bx + margin) & (y >= by + margin) & (x + w <= bx + bw - margin) & (y + h <= by + bh - margin)
+        test = inside & (w * h / F.greatest(F.lit(1), bw * bh).cast("double") <= ratio)
+        for c in keys:
+            test = F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) & test
+        return a.alias("a").join(big.alias("b"), test, "left_semi" if len(keys) > len(page) else "left_anti")
+
+    big = lambda rows, *more: rows.select(*page, *[F.col(c).alias(f"big_{c}") for c in "xywh"], *more)
+    free = within(few, big(few), page)
+
+    cells = ["_k", "_cx", "_cy"]
+    size = F.call_function("shiftleft", F.lit(1), F.col("_k"))
+    span = lambda at, side: F.sequence(F.floor(F.col(at) / size), F.floor((F.col(at) + F.col(side)) / size))
+    stand = big(many.withColumn("_k", _level(F.col("w"), F.col("h"))).withColumn("_cx", F.explode(span("x", "w"))).withColumn("_cy", F.explode(span("y", "h"))), *cells)
+    asks = many.select(*page, *"xywh", F.explode(F.sequence(_level(F.col("w"), F.col("h")), F.lit(_LEVELS))).alias("_k"))
+    asks = asks.withColumn("_cx", F.floor(F.col("x") / size)).withColumn("_cy", F.floor(F.col("y") / size))
+    inner = within(asks, stand, [*page, *cells]).select(*page, *[F.col(c).alias(f"in_{c}") for c in "xywh"]).distinct()
+    same = [many[c].eqNullSafe(inner[c]) for c in page] + [many[c] == inner[f"in_{c}"] for c in "xywh"]
+    rest = many.join(inner, reduce(Column.__and__, same), "left_anti")
+    return free.unionByName(rest.select(*free.columns))
 
 
 def reading_order(boxes: DataFrame, page: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docengine.functions import text as T
+from docengine.functions.labelindex import LabelIndex
 
 LINE = ["block_num", "par_num", "line_num"]
 
@@ -46,11 +47,14 @@ def line_arrays(words: DataFrame, image: list[str]) -> DataFrame:
     return lines(words, image).groupBy(*image).agg(F.transform(F.array_sort(F.collect_list(key)), lambda k: k["line"]).alias("lines"))
 
 
-def word_arrays(words: DataFrame, image: list[str]) -> DataFrame:
+def word_arrays(words: DataFrame, image: list[str], index: LabelIndex | None = None) -> DataFrame:
     """image and its usable words in recognition order, each with its normal form and whether it stops a value.
 
-    Both are computed once per word here, so the array functions that follow only compare.
+    Both are computed once per word here, so the array functions that follow only compare; with
+    an ``index``, so are the labels' tokens that a word fits (``hits``).
     """
     told = usable(words).withColumn("norm", T.normalize_text(F.col("text"))).withColumn("stop", T.stops(F.col("text")))
-    word = F.struct("i", "text", "x", "y", "w", "h", *LINE, "norm", "stop")
+    if index is not None:
+        told = told.withColumn("hits", index.mask(F.col("norm")))
+    word = F.struct("i", "text", "x", "y", "w", "h", *LINE, "norm", "stop", *(["hits"] if index is not None else []))
     return told.groupBy(*image).agg(F.array_sort(F.collect_list(word)).alias("words"))

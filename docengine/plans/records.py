@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docengine.functions import fields, labels as L, text as T
+from docengine.functions.labelindex import LabelIndex
 from docengine.operators import words as W
 
 FIELDS = ["serial_no", "epic_no", "epic_valid", "name", "relation_type", "relation_name", "house_no", "age", "gender"]
@@ -19,13 +20,21 @@ def line_fields(lines: Column, strict: bool = False) -> dict[str, Column]:
     }
 
 
+#: Column -> label variants and longest value.
+WANTED = {
+    "_v_name": (L.NAME_LABELS, 80), "_v_house": (L.HOUSE_LABELS, 80), "_v_age": (L.AGE_LABELS, 6), "_v_gender": (L.GENDER_LABELS, 12),
+    **{f"_v_{kind}": (variants, 80) for kind, variants in L.RELATION_LABELS.items()},
+}
+INDEX = LabelIndex.of({c: variants for c, (variants, _) in WANTED.items()})
+
+
 def with_word_fields(images: DataFrame, next_line: bool = True, strict: bool = False, prefix: str = "") -> DataFrame:
-    """``images`` with the same fields from word boxes: label search, value until the next label, next visual line."""
-    wanted = {
-        "_v_name": (L.NAME_LABELS, 80), "_v_house": (L.HOUSE_LABELS, 80), "_v_age": (L.AGE_LABELS, 6), "_v_gender": (L.GENDER_LABELS, 12),
-        **{f"_v_{kind}": (variants, 80) for kind, variants in L.RELATION_LABELS.items()},
-    }
-    rows = fields.with_label_values(images, wanted, next_line)
+    """``images`` with the same fields from word boxes: label search, value until the next label, next visual line.
+
+    Words that carry the ``hits`` of INDEX are searched once for all labels.
+    """
+    known = any(f.name == "hits" for f in images.schema["words"].dataType.elementType)
+    rows, wanted = fields.with_label_values(images, WANTED, next_line, index=INDEX if known else None), WANTED
     options = F.array(*[F.struct(F.lit(kind).alias("type"), T.strip_name_label(F.col(f"_v_{kind}")).alias("name")) for kind in L.RELATION_LABELS])
     none = F.struct(F.lit("").alias("type"), F.lit("").alias("name"))
     return rows.withColumns({

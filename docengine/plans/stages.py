@@ -98,7 +98,7 @@ def read(images: DataFrame, provider: V.OcrProvider, settings: Settings) -> Data
     key = ["file", "page", "image"]
     seen = V.recognise(chosen.select(*key, "content"), provider, settings.languages)
     words = seen.select(*key, F.posexplode("ocr").alias("i", "o")).select(*key, "i", "o.*")
-    by_image = W.line_arrays(words, key).join(W.word_arrays(words, key), key, "left")
+    by_image = W.line_arrays(words, key).join(W.word_arrays(words, key, R.INDEX), key, "left")
     return R.assemble(seen.drop("ocr").join(by_image, key, "left"), settings.allow_next_line, settings.strict)
 
 

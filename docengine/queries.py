@@ -164,7 +164,7 @@ def words_older_label(spark, d):
 
 
 def _word_arrays(spark, d):
-    return W.word_arrays(_words(spark, d), ["k"])
+    return W.word_arrays(_words(spark, d), ["k"], R.INDEX)
 
 
 def words_label_span(spark, d):
