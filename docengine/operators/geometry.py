@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,33 +19,63 @@ def plausible(width: int = L.CANVAS[0], height: int = L.CANVAS[1]) -> Column:
     return area.between(F.lit(page * L.BOX_AREA[0]), F.lit(page * L.BOX_AREA[1])) & aspect.between(*L.BOX_ASPECT) & (F.col("n_vertices") >= 4)
 
 
-#: Boxes of a page up to which all of them are compared with each other.
+#: Boxes of a page up to which all of them are compared with each other, natively; beyond it they meet through cells.
 CROWDED = 300
 _BOX = "array<struct<x:int,y:int,w:int,h:int>>"
+_STEPS = list(itertools.product((-1, 0, 1), repeat=4))
+
+
+def _arrays(boxes: pd.Series) -> Iterator[list[tuple[int, int, int, int]] | None]:
+    for own in boxes:
+        yield None if own is None else [(int(b["x"]), int(b["y"]), int(b["w"]), int(b["h"])) for b in own]
 
 
-def _fold_crowded(page: list[str], tolerance: int):
-    """The greedy fold over a page's sorted boxes with a grid of ``tolerance``: a box looks at its own and the neighbouring cells."""
+def _kept_in_cells(tolerance: int):
+    """Which of a crowded page's sorted boxes the greedy fold keeps; a box looks at its own and the neighbouring cells of size ``tolerance``."""
 
-    def kept(boxes: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+    def flags(boxes: list[tuple[int, int, int, int]]) -> list[bool]:
         cells: dict[tuple, list] = {}
+        out = []
         for box in boxes:
-            at = tuple(v // tolerance for v in box) if tolerance > 0 else box
-            near = (k for step in _STEPS for k in cells.get(tuple(map(sum, zip(at, step, strict=True))), ()))
-            if not any(all(abs(x - y) < tolerance for x, y in zip(box, k, strict=True)) for k in near):
+            at = tuple(v // max(tolerance, 1) for v in box)
+            near = (k for step in _STEPS for k in cells.get((at[0] + step[0], at[1] + step[1], at[2] + step[2], at[3] + step[3]), ()))
+            out.append(not any(all(abs(x - y) < tolerance for x, y in zip(box, k, strict=True)) for k in near))
+            if out[-1]:
                 cells.setdefault(at, []).append(box)
-                yield box
+        return out
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.to_dict("records"):
-                own = list(kept([(int(b["x"]), int(b["y"]), int(b["w"]), int(b["h"])) for b in row["all"]]))
-                yield pd.DataFrame({**{c: [row[c]] * len(own) for c in page}, **{c: [b[i] for b in own] for i, c in enumerate("xywh")}})
+    return F.pandas_udf(lambda boxes: pd.Series([None if b is None else flags(b) for b in _arrays(boxes)]), "array<boolean>")
 
-    return run
 
+def _free_in_cells(margin: int, ratio: float):
+    """Which of a crowded page's boxes lie in no larger one.
 
-_STEPS = list(itertools.product((-1, 0, 1), repeat=4))
+    A box stands in the cells, at most four, that it touches in the grid of its own size; a box asks in each
+    grid at least as wide as itself for the cell of its corner, where any box around it must stand.
+    """
+
+    def level(box: tuple[int, int, int, int]) -> int:
+        return max(box[2], box[3], 1).bit_length()
+
+    def inside(a: tuple, b: tuple) -> bool:
+        around = a[0] >= b[0] + margin and a[1] >= b[1] + margin and a[0] + a[2] <= b[0] + b[2] - margin and a[1] + a[3] <= b[1] + b[3] - margin
+        return around and a[2] * a[3] / max(1, b[2] * b[3]) <= ratio
+
+    def flags(boxes: list[tuple[int, int, int, int]]) -> list[bool]:
+        cells: dict[tuple, list] = {}
+        for b in boxes:
+            k = level(b)
+            for cx in range(b[0] >> k, (b[0] + b[2] >> k) + 1):
+                for cy in range(b[1] >> k, (b[1] + b[3] >> k) + 1):
+                    cells.setdefault((k, cx, cy), []).append(b)
+        levels = sorted({k for k, _, _ in cells})
+        return [not any(inside(a, b) for k in levels if k >= level(a) for b in cells.get((k, a[0] >> k, a[1] >> k), ())) for a in boxes]
+
+    return F.pandas_udf(lambda boxes: pd.Series([None if b is None else flags(b) for b in _arrays(boxes)]), "array<boolean>")
+
+
+def _by_flags(boxes: Column, flags: Column) -> Column:
+    return F.filter(boxes, lambda b, i: F.get(flags, i))
 
 
 def dedupe(boxes: DataFrame, page: list[str], tolerance: int = L.DEDUPE_TOLERANCE) -> DataFrame:
@@ -64,56 +93,30 @@ def dedupe(boxes: DataFrame, page: list[str], tolerance: int = L.DEDUPE_TOLERANC
         return test
 
     packed = boxes.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("x", "y", "w", "h"))).cast(_BOX).alias("all"))
-    kept = F.aggregate("all", F.array().cast(_BOX), lambda acc, b: F.when(F.exists(acc, lambda k: close(k, b)), acc).otherwise(F.concat(acc, F.array(b))))
-    small = packed.where(F.size("all") <= CROWDED).select(*page, F.inline(kept))
-    schema = ", ".join(f"`{c}` {boxes.schema[c].dataType.simpleString()}" for c in page)
-    crowded = packed.where(F.size("all") > CROWDED).mapInPandas(_fold_crowded(page, tolerance), f"{schema}, x int, y int, w int, h int")
-    return small.unionByName(crowded)
-
-
-#: Cell sizes are powers of two up to this one.
-_LEVELS = 24
-
-
-def _level(w: Column, h: Column) -> Column:
-    """The least power of two that is no smaller than both sides."""
-    return F.least(F.greatest(F.ceil(F.log2(F.greatest(w, h, F.lit(1)).cast("double"))), F.lit(0)), F.lit(_LEVELS)).cast("int")
+    packed = packed.withColumn("flags", _kept_in_cells(tolerance)(F.when(F.size("all") > CROWDED, F.col("all"))))
+    fold = F.aggregate("all", F.array().cast(_BOX), lambda acc, b: F.when(F.exists(acc, lambda k: close(k, b)), acc).otherwise(F.concat(acc, F.array(b))))
+    kept = F.when(F.col("flags").isNull(), fold).otherwise(_by_flags(F.col("all"), F.col("flags")))
+    return packed.select(*page, F.inline(kept))
 
 
 def remove_contained(boxes: DataFrame, page: list[str], margin: int = L.CONTAIN_MARGIN, ratio: float = L.CONTAIN_AREA_RATIO) -> DataFrame:
-    """Boxes that lie in no larger box of their page, as containment is transitive an anti join.
+    """Boxes that lie in no larger box of their page.
 
-    The boxes of a page meet each other.  On a crowded page they meet through cells: a box stands
-    in the cells, at most four, that it touches in the grid of its own size, and every box asks in each
-    grid at least as wide as itself for the cell of its corner, where any box around it must stand.
+    Containment is transitive, so each box is looked at alone.  The boxes of a page meet in one
+    row, which needs no other shuffle than that of ``dedupe``; those of a crowded one meet through cells.
     """
-    whole = Window.partitionBy(*page)
-    counted = boxes.withColumn("_n", F.count("*").over(whole))
-    few = counted.where(F.col("_n") <= CROWDED).drop("_n")
-    many = counted.where(F.col("_n") > CROWDED).drop("_n")
-
-    def within(a: DataFrame, big: DataFrame, keys: list[str]) -> DataFrame:
-        x, y, w, h = (F.col(f"a.{c}") for c in "xywh")
-        bx, by, bw, bh = (F.col(f"b.big_{c}") for c in "xywh")
-        inside = (x >= bx + margin) & (y >= by + margin) & (x + w <= bx + bw - margin) & (y + h <= by + bh - margin)
-        test = inside & (w * h / F.greatest(F.lit(1), bw * bh).cast("double") <= ratio)
-        for c in keys:
-            test = F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) & test
-        return a.alias("a").join(big.alias("b"), test, "left_semi" if len(keys) > len(page) else "left_anti")
-
-    big = lambda rows, *more: rows.select(*page, *[F.col(c).alias(f"big_{c}") for c in "xywh"], *more)
-    free = within(few, big(few), page)
-
-    cells = ["_k", "_cx", "_cy"]
-    size = F.call_function("shiftleft", F.lit(1), F.col("_k"))
-    span = lambda at, side: F.sequence(F.floor(F.col(at) / size), F.floor((F.col(at) + F.col(side)) / size))
-    stand = big(many.withColumn("_k", _level(F.col("w"), F.col("h"))).withColumn("_cx", F.explode(span("x", "w"))).withColumn("_cy", F.explode(span("y", "h"))), *cells)
-    asks = many.select(*page, *"xywh", F.explode(F.sequence(_level(F.col("w"), F.col("h")), F.lit(_LEVELS))).alias("_k"))
-    asks = asks.withColumn("_cx", F.floor(F.col("x") / size)).withColumn("_cy", F.floor(F.col("y") / size))
-    inner = within(asks, stand, [*page, *cells]).select(*page, *[F.col(c).alias(f"in_{c}") for c in "xywh"]).distinct()
-    same = [many[c].eqNullSafe(inner[c]) for c in page] + [many[c] == inner[f"in_{c}"] for c in "xywh"]
-    rest = many.join(inner, reduce(Column.__and__, same), "left_anti")
-    return free.unionByName(rest.select(*free.columns))
+
+    def inside(a: Column, b: Column) -> Column:
+        around = (a["x"] >= b["x"] + margin) & (a["y"] >= b["y"] + margin) & (a["x"] + a["w"] <= b["x"] + b["w"] - margin) & (a["y"] + a["h"] <= b["y"] + b["h"] - margin)
+        return around & (a["w"] * a["h"] / F.greatest(F.lit(1), b["w"] * b["h"]).cast("double") <= ratio)
+
+    rest = [c for c in boxes.columns if c not in page]
+    packed = boxes.groupBy(*page).agg(F.collect_list(F.struct(*rest)).alias("all"))
+    sides = F.transform("all", lambda b: F.struct(*[b[c].cast("int").alias(c) for c in "xywh"]))
+    packed = packed.withColumn("flags", _free_in_cells(margin, ratio)(F.when(F.size("all") > CROWDED, sides)))
+    alone = F.filter("all", lambda a: ~F.exists("all", lambda b: F.coalesce(inside(a, b), F.lit(False))))
+    free = F.when(F.col("flags").isNull(), alone).otherwise(_by_flags(F.col("all"), F.col("flags")))
+    return packed.select(*page, F.inline(free)).select(*boxes.columns)
 
 
 def reading_order(boxes: DataFrame, page: list[str]) -> DataFrame:
