@@ -7,10 +7,10 @@ removed without it.  Units are normalised (lower-case ASCII, white space runs as
 their 128-bit digests are grouped globally.  The occurrence ranked first by (doc_id, row key,
 position) keeps its place, any other is a repeat.
 
-Repeats that are neighbours in a document form a run, which may go over several lines and over
-blank lines between them.  A run is removed if it has RUN words or more; RUN is the size from
-which a repeated passage counts as one (a stock phrase of a few words in otherwise different
-documents is none), and RUN = 1 removes every repeated unit.  Nothing but repeats and blank
+A line that is nothing but repeats goes from LINE words on, wherever it stands.  Inside lines
+that differ, repeats that are neighbours form a run, which may go over several lines and over
+blank lines between them, and is removed if it has RUN words or more: a stock phrase in an otherwise
+different line is no passage.  RUN = 1 removes every repeated unit.  Nothing but repeats and blank
 lines between them is ever removed, and spans keep their offsets in the original text, in code
 points.  Long words count by their length, so text without spaces has words as well.
 
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from docengine.llm.textkit import LOWER_CODES, buffers, hash_spans, mix, slices, words
 
 LEAST = 4
+LINE = 8
 RUN = 20
 WIDE = 12  # bytes for which a longer word counts as one more word
 _END = re.compile(rb"[.!?]+(?=[\x20\x09-\x0d])|(?:\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)+|\n")
@@ -110,12 +111,12 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def spans(text: str, repeats: list[int], least: int = RUN) -> list[tuple[int, int]]:
-    """Code point spans of the runs to remove, given the repeated units' positions."""
+def spans(text: str, repeats: list[int], least: int = RUN, line: int = LINE) -> list[tuple[int, int]]:
+    """Code point spans of the lines and runs to remove, given the repeated units' positions."""
     data, bad = text.encode(), set(repeats)
     units = Units(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
     ends, size = units.ends.tolist(), units.size.tolist()
-    starts = [0, *ends[:-1]]
+    starts, begins = [0, *ends[:-1]], [*units.line.tolist(), True]
     out, run = [], []
 
     def close() -> None:
@@ -123,6 +124,14 @@ def spans(text: str, repeats: list[int], least: int = RUN) -> list[tuple[int, in
             run.pop()
         if run and sum(size[k] for k in run) >= least:
             out.append((starts[run[0]], ends[run[-1]]))
+        elif run:
+            heads = [*[k for k in run if begins[k]], run[-1] + 1]
+            for a, b in zip(heads[:-1], heads[1:], strict=True):
+                if begins[b] and sum(size[k] for k in range(a, b)) >= line:  # a whole line
+                    if out and out[-1][1] == starts[a]:
+                        out[-1] = (out[-1][0], ends[b - 1])
+                    else:
+                        out.append((starts[a], ends[b - 1]))
         run.clear()
 
     for k in range(len(ends)):
@@ -140,14 +149,14 @@ def spans(text: str, repeats: list[int], least: int = RUN) -> list[tuple[int, in
     return points
 
 
-def _cut(carried: int, least: int):
+def _cut(carried: int, least: int, line: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             texts, removed = [], []
             for text, repeats in zip(batch.column(carried), batch.column(carried + 1)):
                 text, repeats = text.as_py(), repeats.as_py()
-                found = spans(text or "", repeats, least) if repeats else []
+                found = spans(text or "", repeats, least, line) if repeats else []
                 if found:
                     parts, last = [], 0
                     for s, e in found:
@@ -161,10 +170,10 @@ def _cut(carried: int, least: int):
     return run
 
 
-def substring_dedup(docs: DataFrame, carry: list[str] | None = None, run: int = RUN) -> DataFrame:
+def substring_dedup(docs: DataFrame, carry: list[str] | None = None, run: int = RUN, line: int = LINE) -> DataFrame:
     """doc_id, the text without repeats, removed (spans in the original), n_removed and removed_chars of every row.
 
-    A null text stays null with nothing removed.  Null doc_ids rank last.  Rows that repeat
+    A null text stays null with nothing removed, and so does an empty one.  Null doc_ids rank last.  Rows that repeat
     both doc_id and text are one document: they rank alike and get equal results.  Very long
     texts are cut into units whole.  Extra columns are ignored unless carried; an empty table
     gives an empty result.
@@ -179,5 +188,5 @@ def substring_dedup(docs: DataFrame, carry: list[str] | None = None, run: int =
     per_doc = repeats.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("repeats")).select(F.col("doc_id").alias("of"), F.col("key").alias("of_key"), "repeats")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     met = docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(per_doc, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("_key") == F.col("of_key")), "left")
-    done = met.select(*carry, "text", "repeats").mapInArrow(_cut(len(carry), run), f"{schema}, text string, removed array<struct<start:int,end:int>>")
+    done = met.select(*carry, "text", "repeats").mapInArrow(_cut(len(carry), run, line), f"{schema}, text string, removed array<struct<start:int,end:int>>")
     return done.withColumn("n_removed", F.size("removed")).withColumn("removed_chars", F.aggregate("removed", F.lit(0), lambda s, x: s + x["end"] - x["start"]))

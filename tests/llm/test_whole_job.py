@@ -79,6 +79,14 @@ def plain_removed(rows, run):
                 open_.pop()
             if open_ and sum(u[2] for u in open_) >= run:
                 spans.append((open_[0][0], open_[-1][1]))
+            else:  # whole lines of eight words or more
+                for line in re.finditer(r"[^\n]*(?:\n|$)", text):
+                    own = [u for u in open_ if line.start() <= u[0] and u[1] <= line.end() and u[1] > u[0]]
+                    if own and own[0][0] == line.start() and own[-1][1] == line.end() and sum(u[2] for u in own) >= 8:
+                        if spans and spans[-1][1] == line.start():
+                            spans[-1] = (spans[-1][0], line.end())
+                        else:
+                            spans.append((line.start(), line.end()))
             open_.clear()
 
         for a, b, n, digest in plain_units(text):
@@ -114,6 +122,16 @@ def test_substring_dedup_against_a_plain_version(spark, run):
         assert len(g["text"]) == len(t) - g["removed_chars"]
 
 
+def test_substring_dedup_takes_short_lines(spark):
+    """A line of nine words that many texts share goes from all but the first; a shorter phrase inside other lines stays."""
+    line = "this line of nine words stands in many texts"
+    rows = [(d, f"own words {d} come first here\n{line}\nthen some more of text {d}\nRead more") for d in range(50)]
+    rows += [(100 + d, f"text {d}: {line}, and so on to {d}") for d in range(20)]
+    got = {g["doc_id"]: g["text"] for g in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(line in got[d] for d in range(50)) == 1 and line in got[0] and all(got[100 + d] == rows[50 + d][1] for d in range(20))
+    assert got[7] == "own words 7 come first here\nthen some more of text 7\nRead more"
+
+
 def test_substring_dedup_keeps_what_is_no_repeat(spark):
     passage = "these are the words of a passage that many of the texts share with one another in full. It has a second sentence of quite a few words too."
     rows = [(1, passage), (2, f"{passage} UNIQUE bit! {passage}"), (3, "No! Yes! Well! Why! " + passage)]
