@@ -195,7 +195,7 @@ def language(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     Repeated rows get the same prediction, extra columns are ignored unless carried, empty
     tables give an empty result.
     """
-    carry = ["doc_id", *[c for c in carry or [] if c not in ("doc_id", "text", "score")]]
+    carry = ["doc_id", *[c for c in carry or [] if c not in ("doc_id", "text", "held_out", "lang_pred", "score")]]
     shared = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
