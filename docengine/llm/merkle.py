@@ -265,7 +265,8 @@ def manifest(docs: DataFrame, fanout: int = FANOUT, levels: int = LEVELS) -> Dat
     size = fanout**levels
     lang = docs.schema["lang"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.col("n_chars").cast("long").alias("n_chars"), "text")
-    rows = rows.mapInArrow(_leaves(list(FIELDS)), f"grp {lang}, doc_id long, leaf binary, other binary")
+    # Settled before they are ranged, which looks at its input twice: texts are read and hashed once.
+    rows = materialise(rows.mapInArrow(_leaves(list(FIELDS)), f"grp {lang}, doc_id long, leaf binary, other binary"))
     placed = positions(rows, "grp", "doc_id", "leaf").withColumnRenamed("leaf", "hex")
 
     rounds = [materialise(_blocks(placed, size, "doc_id", "other"))]
