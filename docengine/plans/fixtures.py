@@ -141,16 +141,16 @@ def record_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drawn pages (file, page, path_pos, png): a nation's has one to three rows of two framed boxes with strokes.
+    """Drawn pages (file, page, path_pos, png), one a supplier, with one to three rows of two framed boxes with strokes.
 
-    A page costs seconds of pixel work, so these come from the smallest table that has enough rows.
+    A page costs about a second of pixel work, so these come from the smallest table that grows.
     """
     def run(frames):
         for frame in frames:
             yield frame.assign(png=[to_png(form(int(n))) for n in frame["n"]])[["file", "page", "path_pos", "png"]]
 
-    key = F.col("n_nationkey")
-    rows = spread(spark, spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey")).select(
+    key = F.col("s_suppkey")
+    rows = spread(spark, spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey")).select(
         F.concat(F.lit("f"), F.floor(key / 20).cast("string")).alias("file"), F.format_string("page-%03d", (key % 20).cast("int")).alias("page"), key.cast("int").alias("path_pos"), (key % 3 + 1).alias("n")
     )
     return rows.mapInPandas(run, "file string, page string, path_pos int, png binary")
