@@ -286,7 +286,7 @@ def _typed_value(path: str, older: str | None) -> str:
 _TYPED = f"""WITH m AS (SELECT k, CASE WHEN json_valid(document) THEN document::JSON END AS doc FROM ({X.METADATA})),
 v AS (SELECT k, doc IS NOT NULL AS parsed, {', '.join(f"{_typed_value(p, o)} AS v_{n}" for n, (p, o, _) in _TYPED_FIELDS.items())} FROM m),
 t AS (SELECT *, {', '.join(f"{kind(f'v_{n}')} AS {n}" for n, (_, _, kind) in _TYPED_FIELDS.items())} FROM v)
-SELECT k, parsed, {', '.join(_TYPED_FIELDS)}, concat_ws(';', {', '.join(f"CASE WHEN v_{n} IS NOT NULL AND {n} IS NULL THEN {_q(p + '=')} || v_{n}::VARCHAR END" for n, (p, _, _) in _TYPED_FIELDS.items())}) AS misfit FROM t"""
+SELECT k, parsed, {', '.join(f"{n}::VARCHAR AS {n}" if n == "signed" else n for n in _TYPED_FIELDS)}, concat_ws(';', {', '.join(f"CASE WHEN v_{n} IS NOT NULL AND {n} IS NULL THEN {_q(p + '=')} || v_{n}::VARCHAR END" for n, (p, _, _) in _TYPED_FIELDS.items())}) AS misfit FROM t"""
 _CHANGED = f"""WITH r AS (SELECT * FROM ({X.RECORDS})), now AS (SELECT file, page, string_agg(image || ':' || k, ',' ORDER BY image) AS f FROM r GROUP BY file, page),
 b AS (SELECT file, page, image, k + CASE WHEN k % 170 = 3 THEN 1 ELSE 0 END AS n FROM r WHERE file <> 'file-1' UNION ALL SELECT file, page || '-old', image, k FROM r WHERE k % 37 = 0),
 l AS (SELECT file, page, string_agg(image || ':' || n, ',' ORDER BY image) AS f FROM b WHERE file <> 'file-2' GROUP BY file, page)

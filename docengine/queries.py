@@ -434,7 +434,7 @@ def model_typed(spark, d):
     rows = metadata.typed(X.view(spark, d, X.METADATA))
     return rows.select(
         "k", "parsed", F.col("document_metadata.electoral_roll_year").alias("year"), F.col("document_metadata.page_number_current").alias("page"),
-        F.col("constituency_details.assembly_constituency_number").alias("assembly"), F.col("authority_verification.signature_present").alias("signed"),
+        F.col("constituency_details.assembly_constituency_number").alias("assembly"), F.col("authority_verification.signature_present").cast("string").alias("signed"),
         F.col("detailed_elector_summary.net_total.total").alias("electors"), F.array_join(F.transform("misfit", lambda m: F.concat(m["path"], F.lit("="), m["value"])), ";").alias("misfit"),
     )
 

@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from docengine.oracles import ORACLES
@@ -14,7 +15,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def plain(frame):
     def cell(v):
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return "null"
         return str(int(v)) if isinstance(v, float) and v == int(v) else str(v)
 
