@@ -30,6 +30,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, folder: str) -> DataFrame:
+    """Written to a folder of the shared file system and read again: the lineage is cut and the size is the files'."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def let(value, body):
     """Bind an expensive array or struct expression once inside a native expression."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

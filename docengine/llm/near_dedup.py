@@ -313,7 +313,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     found = [_confirmed(groups, sets)]
     depth = 0
     while more:
-        label = materialise(components(reduce(DataFrame.unionByName, found).distinct()).withColumnRenamed("id", "cid"))
+        label = components(reduce(DataFrame.unionByName, found).distinct()).withColumnRenamed("id", "cid")
         owned = large.join(label, "cid", "left").select("cid", "key", "size", "n", "weight", F.coalesce("comp", "cid").alias("comp"))
         # The component with the most classes of a node counts as its dense part; any choice is right, this one leaves the least.
         sums = owned.groupBy("key", "comp").agg(F.count("*").alias("own"), F.sum("size").alias("heavy"))
