@@ -111,9 +111,14 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(named, **frames)
 
 
-def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of all documents as a recogniser would give them; one line of text is one line."""
-    docs = spread(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def doc_words(spark: SparkSession, sf_dir: str, gathered: bool = False) -> DataFrame:
+    """Words of all documents as a recogniser would give them; one line of text is one line.
+
+    ``gathered`` deals the texts out by doc_id before they become words, whose rows are some ten times
+    as large: what is collected by document or line afterwards then needs no shuffle of words.
+    """
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.repartition("doc_id") if gathered else spread(spark, docs)
     rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_num", "line")).select("doc_id", "line_num", F.posexplode(F.split("line", " ")).alias("i", "text"))
     conf = ((F.col("doc_id") * 31 + F.col("line_num") * 7 + F.col("i") * 13) % 100 - 1).cast("int")
     one = F.lit(1)

@@ -137,16 +137,16 @@ def words_confident(spark, d):
 
 
 def words_lines(spark, d):
-    return W.lines(X.doc_words(spark, d), ["doc_id"]).select("doc_id", "line_num", F.md5("line").alias("line"))
+    return W.lines(X.doc_words(spark, d, gathered=True), ["doc_id"]).select("doc_id", "line_num", F.md5("line").alias("line"))
 
 
 def words_group_lines(spark, d):
-    shuffled = X.doc_words(spark, d).withColumn("x", F.floor(F.col("x") / 50).cast("int"))
+    shuffled = X.doc_words(spark, d, gathered=True).withColumn("x", F.floor(F.col("x") / 50).cast("int"))
     return W.lines(shuffled, ["doc_id"], tie="word_num").groupBy("doc_id").agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("chars"))
 
 
 def words_exploded(spark, d):
-    rows = X.doc_words(spark, d)
+    rows = X.doc_words(spark, d, gathered=True)
     item = F.struct("line_num", "i", "text", "conf", "x")
     packed = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("w")).select("doc_id", *[F.col(f"w.{c}").alias(c) for c in ("text", "conf", "x")])
     return W.explode_words(packed.withColumnRenamed("x", "left"), ["doc_id"], ["text", "conf", "left"]).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("i").alias("last"), F.sum(F.col("i") * F.col("x")).alias("weighed"), F.sum("conf").alias("conf"))
