@@ -60,10 +60,20 @@ def as_variant(document: Column) -> Column:
     return F.try_parse_json(document)
 
 
-def _value(doc: Column, path: str) -> Column:
+def _places(path: str) -> list[str]:
+    """Where a field stands: in the newer layout, then in the older one."""
+    return [path, OLDER[path]] if path in OLDER else [path]
+
+
+def _objects() -> list[str]:
+    """The objects that hold fields in either layout, outer ones first."""
+    held = {p.rsplit(".", 1)[0] for path in leaves() for p in _places(path)}
+    return sorted(held | {o.split(".")[0] for o in held}, key=lambda o: (o.count("."), o))
+
+
+def _value(objects: dict[str, Column], path: str) -> Column:
     """A field's raw value: where the newer layout has it, else where the older one does; JSON null counts as absent."""
-    at = [path, OLDER[path]] if path in OLDER else [path]
-    found = [F.try_variant_get(doc, f"$.{p}", "variant") for p in at]
+    found = [F.try_variant_get(objects[o], f"$.{name}", "variant") for o, name in (p.rsplit(".", 1) for p in _places(path))]
     return F.coalesce(*[F.when(~F.is_variant_null(v), v) for v in found])
 
 
@@ -95,11 +105,19 @@ def typed(rows: DataFrame, document: str = "document") -> DataFrame:
     ``parsed`` is false for text that is no JSON; all fields are then null.  ``misfit`` lists in
     order the paths whose value is of another kind than the field, with that value as JSON.
     The document stays beside them, so a rejected value can be looked at.
+
+    A document has few of the objects that hold fields, so these are looked up first: the fields of
+    an absent one cost a test for null instead of a way through the document.
     """
     doc, paths = "_doc", leaves()
     names = {p: f"_v{i}" for i, p in enumerate(paths)}
     out = rows.withColumn(doc, as_variant(F.col(document)))
-    out = out.withColumns({names[p]: _value(F.col(doc), p) for p in paths})
+    objects: dict[str, Column] = {}
+    for i, o in enumerate(_objects()):
+        outer, _, name = o.rpartition(".")
+        out = out.withColumn(f"_o{i}", F.try_variant_get(objects[outer] if outer else F.col(doc), f"$.{name}", "variant"))
+        objects[o] = F.col(f"_o{i}")
+    out = out.withColumns({names[p]: _value(objects, p) for p in paths})
     cast = {p: _as(kind, F.col(names[p])) for p, kind in paths.items()}
     out = out.withColumns({f"{names[p]}c": c for p, c in cast.items()})
     groups = {}
@@ -114,7 +132,7 @@ def typed(rows: DataFrame, document: str = "document") -> DataFrame:
         groups[group] = F.struct(*members)
     bad = [F.when(F.col(names[p]).isNotNull() & F.col(f"{names[p]}c").isNull(), F.struct(F.lit(p).alias("path"), F.to_json(names[p]).alias("value"))) for p in paths]
     out = out.withColumns({"parsed": F.col(doc).isNotNull(), **groups, "misfit": F.filter(F.array(*bad), lambda x: x.isNotNull())})
-    return out.drop(doc, *names.values(), *[f"{n}c" for n in names.values()])
+    return out.drop(doc, *[f"_o{i}" for i in range(len(objects))], *names.values(), *[f"{n}c" for n in names.values()])
 
 
 def common_shape(rows: DataFrame, document: str = "document") -> DataFrame:
