@@ -8,11 +8,14 @@ of the longer prefix; as soon as every token that could still cover the end star
 after a boundary, the tokens before the boundary are certain and are emitted.  The pending
 bytes, the lookahead, never exceed a few token lengths.  States and transitions are built
 when first met and kept in tables of bounded size, which a worker keeps from task to task.
+A state knows where tokens may still begin and how far each is in a tree of the vocabulary,
+so a new byte only looks there; the last byte of a piece needs no state.
 """
 
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import struct
 from collections.abc import Iterable, Iterator
@@ -23,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-STATES = 120_000
+STATES = 60_000
 PIECES = 450_000
 CHUNK = 50_000  # pieces or tokens that are handled at once
 
@@ -96,24 +99,33 @@ class Transducer:
     def __init__(self, merges: Merges):
         self.merges = merges
         self.size = [len(t) for t in merges.token]
-        self.longest = max(self.size, default=1)
-        self.prefix = {token[:k] for token in merges.good for k in range(1, len(token))}
+        self.child: dict[int, int] = {}  # tree of the tokens' bytes: node and byte -> node
+        self.word, self.grows = [-1], [True]  # per node: the token that ends there; whether longer ones go on
+        for token, rank in merges.good.items():
+            node = 0
+            for byte in token:
+                self.grows[node] = True
+                node = self.child.setdefault(node << 8 | byte, len(self.word))
+                if node == len(self.word):
+                    self.word.append(-1)
+                    self.grows.append(False)
+            self.word[node] = rank
         self.pair: dict[int, bool] = {}
         self.names: dict[tuple[int, bytes], int] = {}
         self.keys: list[tuple[int, bytes]] = []
         self.ends: list[tuple[int, ...]] = []  # per state: last token of each prefix of its pending bytes
+        self.open: list[tuple[tuple[int, int], ...]] = []  # per state: where tokens may still begin, and how far they are in the tree
         self.next: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.tail: list[tuple[int, ...] | None] = []
-        self._state((-1, b""), (-1,))
+        self._state((-1, b""), (-1,), ())
 
-    def _state(self, key: tuple[int, bytes], ends: tuple[int, ...]) -> int:
+    def _state(self, key: tuple[int, bytes], ends: tuple[int, ...], begun: tuple[tuple[int, int], ...]) -> int:
         name = self.names.get(key)
         if name is None:
             name = self.names[key] = len(self.keys)
             self.keys.append(key)
             self.ends.append(ends)
+            self.open.append(begun)
             self.next.append({})
-            self.tail.append(None)
         return name
 
     def _trim(self) -> None:
@@ -121,7 +133,7 @@ class Transducer:
         half = len(self.keys) // 2
         for key in self.keys[half:]:
             del self.names[key]
-        for rows in (self.keys, self.ends, self.next, self.tail):
+        for rows in (self.keys, self.ends, self.open, self.next):
             del rows[half:]
         for moves in self.next:
             for byte in [b for b, move in moves.items() if move[0] >= half]:
@@ -135,64 +147,74 @@ class Transducer:
             at -= self.size[ends[at]]
         return tuple(out[::-1])
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        left, pending = self.keys[state]
-        ends = self.ends[state]
-        data = pending + bytes((byte,))
-        n = len(data)
-        low = n - self.longest if n > self.longest else 0
-        tails = [data[j:] for j in range(low, n)]
-        good, pair = self.merges.good, self.pair
-        for j, piece in enumerate(tails, low):
-            last = good.get(piece)
-            if last is not None:
-                before = ends[j]
+    def _last(self, state: int, byte: int, begun: list[tuple[int, int]] | None = None) -> int:
+        """The last token when ``byte`` follows ``state``; ``begun`` is filled with the places where tokens may still begin."""
+        ends, child, word = self.ends[state], self.child, self.word
+        last = -1
+        for q, node in (*self.open[state], (len(ends) - 1, 0)):
+            node = child.get(node << 8 | byte)
+            if node is None:
+                continue
+            if begun is not None and self.grows[node]:
+                begun.append((q, node))
+            if last < 0 and word[node] >= 0:
+                before, rank = ends[q], word[node]
                 if before < 0:
-                    break
-                seam = before << 32 | last
-                fits = pair.get(seam)
-                if fits is None:
-                    fits = pair[seam] = self.merges.follows(before, last)
+                    fits = True
+                else:
+                    seam = before << 32 | rank
+                    fits = self.pair.get(seam)
+                    if fits is None:
+                        fits = self.pair[seam] = self.merges.follows(before, rank)
                 if fits:
-                    break
-        else:
+                    last = rank
+                    if begun is None:
+                        break
+        if last < 0:
             raise ValueError("the vocabulary lacks a byte")
-        ends = (*ends, last)
-        # Tokens may still begin at these places; what all their encodings share is certain.
-        prefix, size, cut = self.prefix, self.size, n
-        for q, piece in enumerate(tails, low):
-            if piece in prefix:
-                while cut != q:
-                    if cut > q:
-                        cut -= size[ends[cut]]
-                    else:
-                        q -= size[ends[q]]
-                if not cut:
-                    break
+        return last
+
+    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        begun: list[tuple[int, int]] = []
+        last = self._last(state, byte, begun)
+        left, pending = self.keys[state]
+        ends = (*self.ends[state], last)
+        # What the encodings up to all places where tokens may still begin share is certain.
+        size, cut = self.size, len(ends) - 1
+        for q, _ in begun:
+            while cut != q:
+                if cut > q:
+                    cut -= size[ends[cut]]
+                else:
+                    q -= size[ends[q]]
+            if not cut:
+                break
+        data, path = pending + bytes((byte,)), ()
         if cut:
-            left = ends[cut]
-            move = self._state((left, data[cut:]), (left, *ends[cut + 1 :])), self._path(ends, cut)
-        else:
-            move = self._state((left, data), ends), ()
-        self.next[state][byte] = move
+            left, data, path = ends[cut], data[cut:], self._path(ends, cut)
+            ends = (left, *ends[cut + 1 :])
+            begun = [(q - cut, node) for q, node in begun]
+        if data and not (begun and begun[0][0] == 0):  # no token begins at the first place any more, so it makes no difference what was before
+            left, ends = -2, (-2, *ends[1:])
+        move = self.next[state][byte] = self._state((left, data), ends, tuple(begun)), path
         return move
 
     def encode(self, piece: bytes) -> list[int]:
+        if not piece:
+            return []
         if len(self.keys) > STATES:
             self._trim()
-        if len(self.pair) > 2 * STATES:
+        if len(self.pair) > 4 * STATES:
             self.pair.clear()
         state, out, moves = 0, [], self.next
-        for byte in piece:
+        for byte in piece[:-1]:
             move = moves[state].get(byte) or self._step(state, byte)
             state = move[0]
             if move[1]:
                 out += move[1]
-        tail = self.tail[state]
-        if tail is None:
-            ends = self.ends[state]
-            tail = self.tail[state] = self._path(ends, len(ends) - 1)
-        out += tail
+        # Most pieces end in a state of their own, so for the last byte none is made.
+        ends = (*self.ends[state], self._last(state, piece[-1]))
+        out += self._path(ends, len(ends) - 1)
         return out
 
 
@@ -253,10 +275,10 @@ class Codec:
             new = {}
             for piece in set(part).difference(known):
                 (known if len(piece) <= 32 else new)[piece] = self._learn(piece)
-            if new:
+            if new:  # pieces that are too long to be kept
                 yield b"".join([known.get(p) or new[p] for p in part])
             else:
-                yield b"".join([known[p] for p in part])
+                yield b"".join(map(known.__getitem__, part))
             if len(known) > PIECES:  # the common pieces were met first
                 for piece in list(islice(known, PIECES // 2, None)):
                     del known[piece]
@@ -267,7 +289,7 @@ class Codec:
         for part in parts:
             ids = np.frombuffer(part, "<u4")
             for i in range(0, len(ids), CHUNK):
-                yield stream.feed(b"".join([tokens[k] for k in ids[i : i + CHUNK].tolist()]))
+                yield stream.feed(b"".join(map(tokens.__getitem__, ids[i : i + CHUNK].tolist())))
         yield stream.finish()
 
 
@@ -292,11 +314,17 @@ def _run(rows: DataFrame, column: str, path: str, pattern: str, carry: list[str]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(name, pattern, lambda: shared.value)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                piece = batch.slice(i, 512)
-                columns = work(own, (value.as_py() for value in piece.column(at)))
-                yield pa.RecordBatch.from_arrays([*piece.columns[:at], *columns], names=names)
+        collects = gc.isenabled()
+        gc.disable()  # the tables have no cycles, and the collector would go through them again and again
+        try:
+            for batch in batches:
+                for i in range(0, batch.num_rows, 512):
+                    piece = batch.slice(i, 512)
+                    columns = work(own, (value.as_py() for value in piece.column(at)))
+                    yield pa.RecordBatch.from_arrays([*piece.columns[:at], *columns], names=names)
+        finally:
+            if collects:
+                gc.enable()
 
     schema = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in carry)
     return rows.select(*carry, column).mapInArrow(run, schema + extra)
