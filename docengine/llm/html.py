@@ -6,7 +6,10 @@ become a repeated group, tokens that one side lacks become an optional group, an
 texts become a text slot.  Aligning two wrappers is the same operation, so each task folds
 its pages of a host into one wrapper and wrappers are merged as a tree (host and salt, host and
 fewer salts, host): a hot host costs a few small rows per task, never its pages in one task.  A
-wrapper of more than NODES elements forgets its rarest optional groups, so its size is bounded.
+wrapper of more than NODES elements forgets its rarest optional groups, so its size is bounded,
+and says so (``cut``).  The pages of such a host are taken again, with a row for each place (the
+names from the page down to an element): sums by host and place forget none, however many there
+are, and the same rules judge them.
 
 The wrapper adds up, per element, pages, text, link text and text that never varies, and that
 decides what is beside the article.  An element is, if it is one by HTML (nav, footer, form and
@@ -20,6 +23,7 @@ from it by their place in the wrapper.  A page that lacks the main element is it
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -69,23 +73,23 @@ _ASIDE_WORDS = set(
 
 
 class Node:
-    """An element of a page or of a wrapper.  A text is a node named ``#``; ``fixed`` is text that is alike on all its pages."""
+    """An element of a page or of a wrapper.  A text is a node named ``#``; ``fixed`` is text that is alike on all its pages; a root is ``cut`` if groups were forgotten."""
 
-    __slots__ = ("name", "repeated", "optional", "pages", "chars", "links", "fixed", "text", "kids")
+    __slots__ = ("name", "repeated", "optional", "pages", "chars", "links", "fixed", "text", "kids", "cut")
 
     def __init__(self, name: str, text: str | None = None, links: int = 0):
         self.name, self.text, self.kids = name, text, []
-        self.repeated = self.optional = False
+        self.repeated = self.optional = self.cut = False
         self.pages, self.chars, self.links = 1, len(text or ""), links
         self.fixed = self.chars
 
     def dump(self) -> list:
-        return [self.name, self.repeated, self.optional, self.pages, self.chars, self.links, self.fixed, self.text, [k.dump() for k in self.kids]]
+        return [self.name, self.repeated, self.optional, self.pages, self.chars, self.links, self.fixed, self.text, [k.dump() for k in self.kids], self.cut]
 
     @staticmethod
     def load(row: list) -> "Node":
         node = Node(row[0])
-        _, node.repeated, node.optional, node.pages, node.chars, node.links, node.fixed, node.text, kids = row
+        _, node.repeated, node.optional, node.pages, node.chars, node.links, node.fixed, node.text, kids, node.cut = row
         node.kids = [Node.load(k) for k in kids]
         return node
 
@@ -226,7 +230,7 @@ def _matches(a: list[Node], b: list[Node]) -> list[tuple[int, int]]:
 def align(a: Node, b: Node) -> Node:
     """The wrapper of both: mismatches become optional or repeated groups and text slots."""
     out = Node(a.name, a.text if a.text == b.text else None)
-    out.repeated, out.optional = a.repeated or b.repeated, a.optional or b.optional
+    out.repeated, out.optional, out.cut = a.repeated or b.repeated, a.optional or b.optional, a.cut or b.cut
     out.pages, out.chars, out.links = a.pages + b.pages, a.chars + b.chars, a.links + b.links
     kids, i, j = [], 0, 0
     for x, y in [*_matches(a.kids, b.kids), (len(a.kids), len(b.kids))]:
@@ -260,6 +264,7 @@ def bounded(root: Node) -> Node:
                 cut(k)
 
         cut(root)
+        root.cut = root.cut or bool(rare)
     return root
 
 
@@ -272,6 +277,34 @@ def _by_class(name: str) -> bool:
     return any(w in _ASIDE_WORDS for part in name.split(".")[1:] for w in re.split(r"[^a-z]+", part))
 
 
+def _listed(k: Node) -> int:
+    """Text of an element in repeated elements, as comments and teasers are; paragraphs are no list."""
+    listed, left = 0, [k]
+    while left:
+        for x in left.pop().kids:
+            if x.repeated and x.name != "#" and x.name.split(".")[0] not in _PROSE:
+                listed += x.chars
+            else:
+                left.append(x)
+    return listed
+
+
+def _named(name: str) -> bool:
+    return name in ("article", "main")
+
+
+def _judged_alone(name: str) -> bool:
+    """Whether links and constant text may put an element beside the article."""
+    return name.split(".")[0] not in _PARAGRAPHS and name not in ("article", "main", "body", "html")
+
+
+def _next(options: list[tuple[bool, int, bool, object]], total: int):
+    """The container to go down to, of (named, text, repeated, container), or None."""
+    named = [o for o in options if o[0] and not o[2] and o[1] >= NAMED * total]
+    options = named or [o for o in options if o[1] >= MAJOR * total] or [o for o in options if o[0] and o[1] >= 0.2 * total]
+    return max(options, key=lambda o: (o[0], o[1]))[3] if options else None
+
+
 class Plan:
     """What a wrapper says: names from the page down to the main element, and the places of elements beside the article."""
 
@@ -286,30 +319,18 @@ class Plan:
     def _beside(self, k: Node, inside: bool) -> bool:
         if _by_tag(k.name, inside):
             return True
-        tag = k.name.split(".")[0]
-        if tag not in _PARAGRAPHS and k.name not in ("article", "main", "body", "html"):
+        if _judged_alone(k.name):
             if 2 * k.links > k.chars and not inside:  # an article may list links
                 return True
             if self.varied and k.chars and k.fixed == k.chars and k.pages >= self.root.pages:
                 return True
         if not _by_class(k.name):
             return False
-        if self._listed(k):
+        if 2 * _listed(k) > k.chars:
             return True
         own = self._good(k, inside, False)
         return own < MINOR * self.whole or (k.optional or k.repeated) and 2 * own < self.whole
 
-    def _listed(self, k: Node) -> bool:
-        """Whether most of an element's text is in repeated elements, as comments and teasers are; paragraphs are no list."""
-        listed, left = 0, [k]
-        while left:
-            for x in left.pop().kids:
-                if x.repeated and x.name != "#" and x.name.split(".")[0] not in _PROSE:
-                    listed += x.chars
-                else:
-                    left.append(x)
-        return 2 * listed > k.chars
-
     def _good(self, node: Node, inside: bool, judged: bool) -> int:
         """Text of a wrapper element that may be the article's; ``judged`` leaves out what is beside it."""
         if node.name == "#":
@@ -324,12 +345,9 @@ class Plan:
             inside = inside or node.name in ("article", "main")
             below = [k for k in node.kids if k.name != "#" and k.name.split(".")[0] not in _PARAGRAPHS and not self._beside(k, inside)]
             below = [k for k in below if not inside or k.name in ("article", "main")]  # an article is not cut down to a part of it
-            options = [(k.name in ("article", "main"), self._good(k, inside, True), k) for k in below]
-            named = [o for o in options if o[0] and not o[2].repeated and o[1] >= NAMED * total]
-            options = named or [o for o in options if o[1] >= MAJOR * total] or [o for o in options if o[0] and o[1] >= 0.2 * total]
-            if not options:
+            node = _next([(_named(k.name), self._good(k, inside, True), k.repeated, k) for k in below], total)
+            if node is None:
                 return path
-            node = max(options, key=lambda o: (o[0], o[1]))[2]
             path.append(node.name)
 
     def _places(self, node: Node, at: str, inside: bool) -> None:
@@ -439,7 +457,154 @@ def _extract_pages(at: int, names: list[str]):
 def _plans(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
         nodes = [Node.load(json.loads(w.as_py())) for w in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([Plan(n).dump() for n in nodes], pa.string())], names=["host", "plan"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([Plan(n).dump() for n in nodes], pa.string()), pa.array([n.cut for n in nodes], pa.bool_())], names=["host", "plan", "cut"])
+
+
+def _place_sums(root: Node) -> dict[str, list]:
+    """Place -> [text, text in links, text that may be the article's, text in lists, repeated, inside the article, digest of its one text] in a page's wrapper.
+
+    Texts have a place too; elements that HTML puts beside the article, and what is in them, have none.
+    """
+    out: dict[str, list] = {}
+
+    def add(place: str, *sums) -> None:
+        if row := out.get(place):
+            row[:4] = [x + y for x, y in zip(row, sums)]
+            row[4], row[6] = True, row[6] if row[6] == sums[6] else None
+        else:
+            out[place] = list(sums)
+
+    def walk(node: Node, place: str, inside: bool, apart: bool) -> int:
+        within, good = inside or _named(node.name), 0
+        for k in node.kids:
+            at = f"{place}{SEP}{k.name}"
+            if k.name == "#":
+                text = None if k.text is None else int.from_bytes(hashlib.blake2b(k.text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+                good += max(k.chars - 2 * k.links, 0)
+                add(at, k.chars, k.links, 0, 0, k.repeated, within, text)
+            elif apart or _by_tag(k.name, within):
+                walk(k, at, within, True)
+            else:
+                good += walk(k, at, within, False)
+        if not apart:
+            add(place, node.chars, node.links, good, _listed(node) if _by_class(node.name) else 0, node.repeated, inside, None)
+        return good
+
+    walk(root, "", False, False)
+    return out
+
+
+def _last(place: str) -> str:
+    return place.rsplit(SEP, 1)[-1]
+
+
+def _pages_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of places for pages (host, html)."""
+    for batch in batches:
+        for host, page in zip(batch.column(0), batch.column(1)):
+            found = _place_sums(wrapper(parse(page.as_py() or "")))
+            names = [_last(p) for p in found]
+            columns = [[host.as_py()] * len(found), list(found), [p.rpartition(SEP)[0] for p in found], *zip(*found.values()), [_judged_alone(n) for n in names], [_by_class(n) for n in names]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _PLACE_TYPES)], names=_PLACE_NAMES)
+
+
+SEP = "\x1f"  # between the names of a place; names hold no white space but blanks
+_PLACE_NAMES = ["host", "place", "parent", "chars", "links", "good", "listed", "repeated", "inside", "text", "alone", "classed"]
+_PLACE_TYPES = [pa.string()] * 3 + [pa.int64()] * 4 + [pa.bool_()] * 2 + [pa.int64()] + [pa.bool_()] * 2
+_PLACE_KIND = "host string, place string, parent string, chars long, links long, good long, listed long, repeated boolean, inside boolean, text long, alone boolean, classed boolean"
+
+
+def places(pages: DataFrame) -> DataFrame:
+    """(host, place, parent, repeated, beside): what Plan says of the elements of a wrapper, for every place of the hosts of ``pages`` (host, html)."""
+    rows = pages.select("host", "html").mapInArrow(_pages_places, _PLACE_KIND)
+    most = lambda *names: [F.max(c).alias(c) for c in names]
+    sums = rows.groupBy("host", "place", "parent").agg(
+        F.count(F.lit(1)).alias("pages"), *[F.sum(c).alias(c) for c in ("chars", "links", "good", "listed")], *most("repeated", "inside", "alone", "classed"),
+        ((F.count("text") == F.count(F.lit(1))) & (F.min("text") == F.max("text"))).alias("same"),
+    )
+    sums = materialise(sums)
+    text = F.endswith("place", F.lit(f"{SEP}#"))
+    parts = F.split("place", SEP)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, F.lit(1), i), SEP))
+    fixed = sums.where(text & F.coalesce("same", F.lit(False))).select("host", F.explode(above).alias("place"), "chars").groupBy("host", "place").agg(F.sum("chars").alias("fixed"))
+    elements = sums.where(~text).join(fixed, ["host", "place"], "left").withColumn("fixed", F.coalesce("fixed", F.lit(0)))
+    roots = elements.where("place = ''").select(
+        "host", F.greatest("good", F.lit(1)).alias("whole"), F.col("pages").alias("all_pages"), ((F.col("pages") >= 3) & (2 * F.col("fixed") < F.col("chars"))).alias("varied")
+    )
+    over = sums.where(~text).select("host", F.col("place").alias("parent"), F.col("pages").alias("over"))
+    known = elements.where("place <> ''").join(over, ["host", "parent"]).join(roots, "host")
+    optional = F.col("pages") < F.col("over")
+    constant = F.col("varied") & (F.col("chars") > 0) & (F.col("fixed") == F.col("chars")) & (F.col("pages") >= F.col("all_pages"))
+    small = (F.col("good") < MINOR * F.col("whole")) | (optional | F.col("repeated")) & (2 * F.col("good") < F.col("whole"))
+    beside = F.col("alone") & ((2 * F.col("links") > F.col("chars")) & ~F.col("inside") | constant) | F.col("classed") & ((2 * F.col("listed") > F.col("chars")) | small)
+    return known.select("host", "place", "parent", "repeated", beside.alias("beside"))
+
+
+def _pages_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, digest, place) of the elements of pages (host, digest, html)."""
+    for batch in batches:
+        for host, digest, page in zip(*batch.columns):
+            own = sorted(p for p, row in _place_sums(wrapper(parse(page.as_py() or ""))).items() if p and _last(p) != "#")
+            yield pa.RecordBatch.from_arrays([pa.array([x.as_py()] * len(own), pa.string()) for x in (host, digest)] + [pa.array(own, pa.string())], names=["host", "digest", "place"])
+
+
+def _pages_good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, place, good): text of the places of pages (host, html, beside) that is not beside the article."""
+    for batch in batches:
+        for host, page, beside in zip(*batch.columns):
+            out, apart = {}, set(beside.as_py() or [])
+
+            def walk(node: Node, place: str, inside: bool) -> int:
+                inside, good = inside or _named(node.name), 0
+                for k in node.kids:
+                    at = f"{place}{SEP}{k.name}"
+                    if k.name == "#":
+                        good += max(k.chars - 2 * k.links, 0)
+                    elif at not in apart and not _by_tag(k.name, inside):
+                        good += walk(k, at, inside)
+                out[place] = out.get(place, 0) + good
+                return good
+
+            walk(wrapper(parse(page.as_py() or "")), "", False)
+            yield pa.RecordBatch.from_arrays([pa.array([host.as_py()] * len(out), pa.string()), pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.int64())], names=["host", "place", "good"])
+
+
+def _main_place(rows: pd.DataFrame) -> pd.DataFrame:
+    """The main element of a host from its places with a share NAMED of the text, of which there are few at each depth."""
+    below: dict[str, list] = {}
+    for place, good, repeated in zip(rows["place"], rows["good"], rows["repeated"]):
+        if place:
+            below.setdefault(place.rpartition(SEP)[0], []).append((_named(_last(place)), int(good), bool(repeated), place))
+    total, place, inside = int(rows["total"].iloc[0]), "", False
+    while True:
+        options = [o for o in sorted(below.get(place, []), key=lambda o: o[3]) if (o[0] if inside else _last(o[3]).split(".")[0] not in _PARAGRAPHS)]
+        lower = _next(options, total)
+        if lower is None:
+            return pd.DataFrame({"host": [rows["host"].iloc[0]], "main": [place.split(SEP)[1:]]})
+        place, inside = lower, inside or _named(_last(lower))
+
+
+def _wide_plans(pages: DataFrame) -> DataFrame:
+    """``pages`` (row, html, host) of hosts whose wrappers were cut, each with a plan: its host's main element and its own places beside it."""
+    place = materialise(places(pages))
+    known = pages.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")), 256))
+    own = known.select("host", "digest", "html").mapInArrow(_pages_own, "host string, digest string, place string").distinct()
+    apart = own.join(place.where("beside").select("host", "place"), ["host", "place"]).groupBy("host", "digest").agg(F.sort_array(F.collect_list("place")).alias("apart"))
+    told = materialise(known.join(apart, ["host", "digest"], "left").select("row", "html", "host", "apart"))
+    good = materialise(told.select("host", "html", "apart").mapInArrow(_pages_good, "host string, place string, good long").groupBy("host", "place").agg(F.sum("good").alias("good")))
+    total = good.where("place = ''").select("host", F.greatest("good", F.lit(1)).alias("total"))
+    large = good.join(total, "host").where((F.col("good") >= NAMED * F.col("total")) | (F.col("place") == "")).join(place.select("host", "place", "repeated"), ["host", "place"], "left")
+    mains = large.withColumn("repeated", F.coalesce("repeated", F.lit(False))).groupBy("host").applyInPandas(_main_place, "host string, main array<string>")
+    beside = F.transform(F.coalesce("apart", F.array().cast("array<string>")), lambda p: F.replace(p, F.lit(SEP), F.lit("/")))
+    plan = F.concat(F.lit("["), F.to_json("main"), F.lit(","), F.to_json(beside), F.lit("]"))
+    return _with_host(told, mains).select("row", "html", plan.alias("plan"))
+
+
+def _with_host(pages: DataFrame, rows: DataFrame) -> DataFrame:
+    """``pages`` with the one row of their host.  A hot host's pages are spread over SPREAD groups; its row is repeated for each."""
+    spread = pages.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SPREAD)).cast("int"))
+    every = rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return spread.join(every, ["host", "salt"])
 
 
 def main_text(pages: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -450,11 +615,15 @@ def main_text(pages: DataFrame, carry: list[str] | None = None) -> DataFrame:
     unless carried, and an empty table gives an empty result.
     """
     carry = ["page_id", "url", *[c for c in carry or [] if c not in ("page_id", "url", "text", "n_chars")]]
-    plans = materialise(wrappers(pages).mapInArrow(_plans, "host string, plan string"))
+    plans = materialise(wrappers(pages).mapInArrow(_plans, "host string, plan string, cut boolean"))
     host = F.pandas_udf(lambda urls: urls.map(lambda u: host_of(u if isinstance(u, str) else None)), "string")
     schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in carry)
     # A hot host's pages are spread over SPREAD groups; its one plan is repeated for each.
     spread = pages.select(*carry, "html", host("url").alias("host"), F.pmod(F.xxhash64("url", "html"), F.lit(SPREAD)).cast("int").alias("salt"))
-    every = plans.select("host", "plan", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    every = plans.where("NOT cut").select("host", "plan", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
     joined = spread.join(every, ["host", "salt"]).select(*carry, "html", "plan")
+    wide = plans.where("cut").select("host")
+    if not wide.isEmpty():
+        row = pages.select(F.struct(*carry).alias("row"), "html", host("url").alias("host"))
+        joined = joined.union(_wide_plans(_with_host(row, wide).select("row", "html", "host")).select(*[F.col("row")[c].alias(c) for c in carry], "html", "plan"))
     return joined.mapInArrow(_extract_pages(len(carry), [*carry, "text", "n_chars"]), f"{schema}, text string, n_chars long")
