@@ -1,6 +1,7 @@
 """Record fields from reconstructed lines and, failing that, from word boxes.
 
-Line extractors take an array of line strings.  Word extractors take the array
+Line extractors take what ``normal_lines`` makes of an array of line strings, which is
+made once for all of them, or the array itself.  Word extractors take the array
 that operators.words.word_arrays makes: structs (text, x, y, w, h, block_num, par_num,
 line_num, norm, stop) in recognition order, some dozens of words of one image.
 """
@@ -21,36 +22,47 @@ def _first(values: Column) -> Column:
     return F.coalesce(F.get(F.filter(values, lambda v: v != ""), F.lit(0)), F.lit(""))
 
 
-def name_of(lines: Column) -> Column:
+def normal_lines(lines: Column) -> Column:
+    """Lines as structs: their normal form, and that with its case folded."""
+    normal = F.transform(lines, T.normalize_line)
+    return F.transform(normal, lambda s: F.struct(s.alias("line"), T.folded(s).alias("folded")))
+
+
+def _marked(line: Column, pattern: str, value: Column) -> Column:
+    """``value`` if the line may hold the pattern, else the empty string."""
+    return F.when(T.either([F.contains(line["folded"], F.lit(m)) for m in L.LINE_MARKS[pattern]]), value).otherwise("")
+
+
+def name_of(lines: Column, normal: Column | None = None) -> Column:
     """The value of the first name line that names no relative."""
 
     def one(line: Column) -> Column:
         def test(norm: Column) -> Column:
-            wanted = ~norm.rlike(f"(?iu)(?:{L.RELATION_WORDS})") & norm.rlike(f"(?iu){L.NAME_LINE}")
-            return F.when(wanted, T.value_after_colon(line, L.NAME_PATTERN)).otherwise("")
+            wanted = norm.rlike(f"(?iu){L.NAME_LINE}") & ~norm.rlike(f"(?iu)(?:{L.RELATION_WORDS})")
+            return F.when(wanted, T.value_of_normal(line["line"], L.NAME_PATTERN)).otherwise("")
 
-        return T.let(F.lower(T.normalize_line(line)), test)
+        return _marked(line, L.NAME_PATTERN, T.let(F.lower(line["line"]), test))
 
-    return _first(F.transform(lines, one))
+    return _first(F.transform(normal_lines(lines) if normal is None else normal, one))
 
 
-def relation_of(lines: Column) -> Column:
+def relation_of(lines: Column, normal: Column | None = None) -> Column:
     """struct<type, name> of the first line and, in it, the first kind of relative with a value."""
 
     def value(line: Column, pattern: str) -> Column:
-        v = F.regexp_replace(T.value_after_colon(line, pattern), rf"^பெயர்\s*{T.DASH}?\s*", "")
-        return T.strip(F.regexp_replace(v, rf"(?i)^name\s*{T.DASH}?\s*", ""))
+        v = F.regexp_replace(T.value_of_normal(line["line"], pattern), rf"^பெயர்\s*{T.DASH}?\s*", "")
+        return _marked(line, pattern, T.strip(F.regexp_replace(v, rf"(?i)^name\s*{T.DASH}?\s*", "")))
 
     def one(line: Column) -> Column:
         return F.array(*[F.struct(F.lit(kind).alias("type"), value(line, p).alias("name")) for kind, p in L.RELATION_PATTERNS.items()])
 
-    found = F.get(F.filter(F.flatten(F.transform(lines, one)), lambda r: r["name"] != ""), F.lit(0))
+    found = F.get(F.filter(F.flatten(F.transform(normal_lines(lines) if normal is None else normal, one)), lambda r: r["name"] != ""), F.lit(0))
     return F.coalesce(found, F.struct(F.lit("").alias("type"), F.lit("").alias("name")))
 
 
-def house_of(lines: Column) -> Column:
+def house_of(lines: Column, normal: Column | None = None) -> Column:
     def one(line: Column) -> Column:
-        value = F.regexp_replace(T.value_after_colon(line, L.HOUSE_PATTERN), rf"(?iu)(?:{L.VALUE_CUT}).*", "")
+        value = F.regexp_replace(T.value_of_normal(line["line"], L.HOUSE_PATTERN), rf"(?iu)(?:{L.VALUE_CUT}).*", "")
 
         def pick(v: Column) -> Column:
             # Digits of any script may start or continue the number.
@@ -58,17 +70,17 @@ def house_of(lines: Column) -> Column:
             rest = F.regexp_replace(v, r"[^\p{Nd}A-Za-z/\-]", "")
             return F.when(number != "", number).when(F.length(rest) <= 15, rest).otherwise("")
 
-        return T.let(F.regexp_replace(value, rf"[{T.SPACE}]+", ""), pick)
+        return _marked(line, L.HOUSE_PATTERN, T.let(F.regexp_replace(value, rf"[{T.SPACE}]+", ""), pick))
 
-    return _first(F.transform(lines, one))
+    return _first(F.transform(normal_lines(lines) if normal is None else normal, one))
 
 
-def age_of(lines: Column) -> Column:
+def age_of(lines: Column, normal: Column | None = None) -> Column:
     pattern = rf"(?iu)(?:{L.AGE_PATTERN})\s*{T.DASH}?\s*(\p{{Nd}}{{1,3}})"
-    return _first(F.transform(lines, lambda line: F.regexp_extract(T.normalize_line(line), pattern, 1)))
+    return _first(F.transform(normal_lines(lines) if normal is None else normal, lambda line: _marked(line, L.AGE_PATTERN, F.regexp_extract(line["line"], pattern, 1))))
 
 
-def gender_of(lines: Column, strict: bool = False) -> Column:
+def gender_of(lines: Column, strict: bool = False, normal: Column | None = None) -> Column:
     """The first run after the label, mapped in order by containment either way.
 
     Compatible mode finds ``male`` in ``Female``; strict mode tries longer keys first.
@@ -84,9 +96,9 @@ def gender_of(lines: Column, strict: bool = False) -> Column:
                 chain = chain.when(F.contains(low, F.lit(key)) | F.contains(F.lit(key), low), value)
             return chain.when(F.length(raw) < 15, raw).otherwise("")
 
-        return T.let(F.regexp_extract(T.normalize_line(line), pattern, 1), mapped)
+        return _marked(line, L.GENDER_PATTERN, T.let(F.regexp_extract(line["line"], pattern, 1), mapped))
 
-    return _first(F.transform(lines, one))
+    return _first(F.transform(normal_lines(lines) if normal is None else normal, one))
 
 
 def _by_x(words: Column) -> Column:

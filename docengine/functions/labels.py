@@ -30,6 +30,11 @@ RELATION_PATTERNS = {
 HOUSE_PATTERN = r"வீட்டு\s*எண்|வீட்டுஎண்|ட்டு\s*எண்|house\s*(?:no|number)?"
 AGE_PATTERN = "வயது|age"
 GENDER_PATTERN = "பாலினம்|gender"
+# Of these, a line that a pattern finds holds one at least, whatever its case.
+LINE_MARKS = {
+    NAME_PATTERN: ["பெயர்", "name"], HOUSE_PATTERN: ["ட்டு", "house"], AGE_PATTERN: ["வயது", "age"], GENDER_PATTERN: ["பாலினம்", "gender"],
+    RELATION_PATTERNS["father"]: ["தந்தை", "father"], RELATION_PATTERNS["mother"]: ["தாய", "mother"], RELATION_PATTERNS["husband"]: ["கணவர்", "husband"],
+}
 VALUE_CUT = "photo|is|available|புகைப்பட|படம்"
 GENDER_VALUES = [
     ("ஆண்", "Male"), ("ஆண", "Male"), ("male", "Male"), ("m", "Male"), ("பெண்", "Female"), ("பெண", "Female"), ("female", "Female"), ("f", "Female"),

@@ -40,9 +40,8 @@ def collapse(s: Column) -> Column:
 
 
 def normalize_text(s: Column) -> Column:
-    """Lower case, without zero-width characters and everything but word characters and the Tamil block."""
-    lowered = F.regexp_replace(F.lower(strip(F.coalesce(s, F.lit("")))), ZERO_WIDTH, "")
-    return F.regexp_replace(lowered, rf"[^\p{{L}}\p{{N}}_{TAMIL}]+", "")
+    """Lower case, without everything but word characters and the Tamil block, so without white space and zero-width characters."""
+    return F.regexp_replace(F.lower(F.coalesce(s, F.lit(""))), rf"[^\p{{L}}\p{{N}}_{TAMIL}]+", "")
 
 
 def norm_for_match(s: Column) -> Column:
@@ -116,17 +115,14 @@ def has_photo_marker(s: Column) -> Column:
 
 def is_stop_token(token: Column) -> Column:
     """Whether a token contains a stop label or is contained in one."""
-    stops = sorted({match_py(s) for s in L.STOP_LABELS} - {""})
+    return let(norm_for_match(token), stops)
 
-    def hit(t: Column) -> Column:
-        return (t != "") & either([F.contains(t, F.lit(s)) | F.contains(F.lit(s), t) for s in stops])
 
-    return let(norm_for_match(token), hit)
-
-
-def stops(token: Column) -> Column:
-    """Whether a value ends before this token: a stop token, with or without a final colon."""
-    return is_stop_token(token) | (token.endswith(":") & is_stop_token(F.regexp_replace(token, ":$", "")))
+def stops(match: Column) -> Column:
+    """Whether a value ends before the token of this norm_for_match, which no final colon changes: a stop token."""
+    labels = sorted({match_py(s) for s in L.STOP_LABELS} - {""})
+    # A normal form holds no line feed, so it is in a label if it is in the list of them.
+    return (match != "") & (F.contains(F.lit("\n".join(labels)), match) | either([F.contains(match, F.lit(s)) for s in labels]))
 
 
 def strip_name_label(value: Column) -> Column:
@@ -137,10 +133,23 @@ def strip_name_label(value: Column) -> Column:
 
 def value_after_colon(line: Column, label: str) -> Column:
     """What follows a label and at least one separator, cut at words of the photo line."""
+    return value_of_normal(normalize_line(line), label)
+
+
+def value_of_normal(line: Column, label: str) -> Column:
+    """value_after_colon of a line in normal form."""
     pattern = rf"(?iu)(?:{label})\s*{DASH}?\s*{DASH}\s*(.+?)(?:\s*[\-–—]\s*$|\s*$)"
-    value = strip(F.regexp_extract(normalize_line(line), pattern, 1))
-    value = F.regexp_replace(value, r"\s*[\-–—]\s*$", "")
-    return strip(F.regexp_replace(value, rf"(?iu)\s*(?:{L.VALUE_CUT}).*$", ""))
+
+    def cut(found: Column) -> Column:
+        value = F.regexp_replace(strip(found), r"\s*[\-–—]\s*$", "")
+        return F.when(found != "", strip(F.regexp_replace(value, rf"(?iu)\s*(?:{L.VALUE_CUT}).*$", ""))).otherwise(found)
+
+    return let(F.regexp_extract(line, pattern, 1), cut)
+
+
+def folded(s: Column) -> Column:
+    """Lower case in which all that equals a Latin letter but for its case is that letter."""
+    return F.lower(F.translate(s, "İıſ\u212a", "iisk"))  # the optimiser makes lower(upper(s)) lower(s)
 
 
 def clean_house_value(s: Column, longest: bool = False) -> Column:

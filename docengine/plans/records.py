@@ -12,12 +12,13 @@ from docengine.operators import words as W
 FIELDS = ["serial_no", "epic_no", "epic_valid", "name", "relation_type", "relation_name", "house_no", "age", "gender"]
 
 
-def line_fields(lines: Column, strict: bool = False) -> dict[str, Column]:
-    """Columns name, relation (struct), house_no, age, gender from an array of lines."""
-    return {
-        "name": fields.name_of(lines), "relation": fields.relation_of(lines), "house_no": fields.house_of(lines),
-        "age": fields.age_of(lines), "gender": fields.gender_of(lines, strict),
-    }
+def with_line_fields(images: DataFrame, lines: Column, strict: bool = False) -> DataFrame:
+    """``images`` with name, relation (struct), house_no, age, gender from an array of lines, whose normal form is made once."""
+    normal = F.col("_normal")
+    return images.withColumn("_normal", fields.normal_lines(lines)).withColumns({
+        "name": fields.name_of(lines, normal), "relation": fields.relation_of(lines, normal), "house_no": fields.house_of(lines, normal),
+        "age": fields.age_of(lines, normal), "gender": fields.gender_of(lines, strict, normal),
+    }).drop("_normal")
 
 
 #: Column -> label variants and longest value.
@@ -47,25 +48,24 @@ def assemble(images: DataFrame, next_line: bool = True, strict: bool = False) ->
     """Records of images with lines, words, epic_raw, serial_raw (ordered readings), serial_fallback, house_roi and error.
 
     Line fields come first; word fields, which cost more, are only computed for the images
-    that lack one, and joined by union.  Photo text is no relation.  Images with an error keep
+    that lack one: the others go on without words, in the same pass.  Photo text is no relation.  Images with an error keep
     only their codes.
     """
     keep = [c for c in images.columns if c not in ("lines", "words", "epic_raw", "serial_raw", "serial_fallback", "house_roi")]
     epic = T.clean_epic(F.coalesce("epic_raw", F.lit("")))
     serial = fields.either(T.fold_serial(F.coalesce("serial_raw", F.array().cast("array<string>"))), T.clean_serial(F.coalesce("serial_fallback", F.lit(""))))
     coded = images.withColumn("epic_no", epic).withColumn("epic_valid", T.epic_valid(F.col("epic_no"))).withColumn("serial_no", serial)
-    read = coded.withColumns(line_fields(F.coalesce("lines", F.array().cast("array<string>")), strict))
+    read = with_line_fields(coded, F.coalesce("lines", F.array().cast("array<string>")), strict)
     lacks = (F.col("name") == "") | (F.col("relation.name") == "") | (F.col("house_no") == "") | (F.col("age") == "") | (F.col("gender") == "")
-    full = read.where(~lacks)
-    filled = read.where(lacks).withColumn("words", F.coalesce("words", F.array().cast(images.schema["words"].dataType)))
+    none = F.array().cast(images.schema["words"].dataType)
+    filled = read.withColumn("words", F.when(lacks, F.coalesce("words", none)).otherwise(none))
     part = with_word_fields(filled, next_line, strict, "_")
-    part = part.withColumns({
+    rows = part.withColumns({
         "name": fields.either(F.col("name"), F.col("_name")),
         "relation": F.when(F.col("relation.name") != "", F.col("relation")).otherwise(F.col("_relation")),
         "house_no": fields.either(fields.either(F.col("house_no"), F.col("_house_no")), T.clean_house_value(F.coalesce("house_roi", F.lit("")))),
         "age": fields.either(F.col("age"), F.col("_age")), "gender": fields.either(F.col("gender"), F.col("_gender")),
     }).drop("_name", "_relation", "_house_no", "_age", "_gender")
-    rows = full.unionByName(part)
     relation = T.strip_name_label(F.col("relation.name"))
     rows = rows.withColumn("relation_name", relation)
     photo = (F.col("relation_name") != "") & T.has_photo_marker(F.col("relation_name"))

@@ -22,7 +22,7 @@ def _words(spark, d):
 
 def _records(spark, d) -> DataFrame:
     """Records from lines only, with codes from the order of the key."""
-    rows = _lines(spark, d).withColumns(R.line_fields(F.col("lines")))
+    rows = R.with_line_fields(_lines(spark, d), F.col("lines"))
     epic = T.clean_epic(F.concat(F.lit("ab"), F.col("k").cast("string"), F.lit(" O1")))
     rows = rows.withColumn("epic_no", F.when(F.col("k") % 10 == 0, "").otherwise(epic)).withColumn("epic_valid", T.epic_valid(F.col("epic_no")))
     return rows.select(
