@@ -7,7 +7,7 @@ with plain arithmetic.  ``{array}`` style differences are kept out: each view is
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docengine.sources.images import to_png
@@ -128,6 +128,27 @@ def doc_words(spark: SparkSession, sf_dir: str, gathered: bool = False) -> DataF
     )
 
 
+def doc_word_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """text, conf and x of the words of ``doc_words``, as parallel arrays of each document in its order.
+
+    They are made from the texts of a document at once, so that no word is a row that a sort must
+    hold; only where a doc_id has several texts are their words brought into one order.
+    """
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").where("text is not null").repartition("doc_id")
+    texts = docs.groupBy("doc_id").agg(F.collect_list("text").alias("texts"))
+
+    def word(line_num: Column, i: Column, text: Column) -> Column:
+        conf = ((F.col("doc_id") * 31 + line_num * 7 + i * 13) % 100 - 1).cast("int")
+        return F.struct(line_num.alias("line_num"), i.alias("i"), text.alias("text"), conf.alias("conf"), (i * 10).alias("x"))
+
+    def words(text: Column) -> Column:
+        return F.flatten(F.transform(F.split(text, "\n"), lambda line, n: F.transform(F.split(line, " "), lambda w, i: word(n, i, w))))
+
+    several = F.array_sort(F.flatten(F.transform("texts", words)))
+    packed = texts.select("doc_id", F.when(F.size("texts") == 1, words(F.get("texts", F.lit(0)))).otherwise(several).alias("w"))
+    return packed.select("doc_id", *[F.col(f"w.{c}").alias(c) for c in ("text", "conf", "x")])
+
+
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record view with its non-empty lines as an array."""
     rows = view(spark, sf_dir, RECORDS)

@@ -146,10 +146,9 @@ def words_group_lines(spark, d):
 
 
 def words_exploded(spark, d):
-    rows = X.doc_words(spark, d, gathered=True)
-    item = F.struct("line_num", "i", "text", "conf", "x")
-    packed = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("w")).select("doc_id", *[F.col(f"w.{c}").alias(c) for c in ("text", "conf", "x")])
-    return W.explode_words(packed.withColumnRenamed("x", "left"), ["doc_id"], ["text", "conf", "left"]).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("i").alias("last"), F.sum(F.col("i") * F.col("x")).alias("weighed"), F.sum("conf").alias("conf"))
+    packed = X.doc_word_arrays(spark, d).withColumnRenamed("x", "left")
+    weighed = F.sum(F.col("i").cast("long") * F.col("x"))
+    return W.explode_words(packed, ["doc_id"], ["text", "conf", "left"]).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("i").alias("last"), weighed.alias("weighed"), F.sum("conf").alias("conf"))
 
 
 def words_next_line(spark, d):
