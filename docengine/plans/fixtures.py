@@ -6,6 +6,8 @@ with plain arithmetic.  ``{array}`` style differences are kept out: each view is
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,8 +174,9 @@ def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     A page costs about a second of pixel work, so these come from the smallest table that grows.
     """
     def run(frames):
+        drawn = cache(lambda n: to_png(form(n)))  # one drawing for each number of rows
         for frame in frames:
-            yield frame.assign(png=[to_png(form(int(n))) for n in frame["n"]])[["file", "page", "path_pos", "png"]]
+            yield frame.assign(png=[drawn(int(n)) for n in frame["n"]])[["file", "page", "path_pos", "png"]]
 
     key = F.col("s_suppkey")
     rows = spread(spark, spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey")).select(

@@ -241,13 +241,13 @@ def cut_boxes(pages: DataFrame) -> DataFrame:
     """A row for each of the boxes array<struct<i, x1, y1, x2, y2>> of a page (.., png, boxes): corners, measures and the crop as PNG."""
 
     def work(_, row: dict) -> list[dict]:
-        from docengine.sources.pixels import crop_metrics, edges, preprocess
+        from docengine.sources.pixels import crop_metrics, edges, preprocess, share_of
 
         page, out = _readable(row["png"]), []
         for box in row["boxes"] if page is not None else []:
             box = box if isinstance(box, dict) else box.asDict()
             own = page[box["y1"] : box["y2"], box["x1"] : box["x2"]]
-            out.append(box | crop_metrics(own) | {"post_edge_frac": float(edges(preprocess(own)).mean()), "crop": to_png(own)})
+            out.append(box | crop_metrics(own) | {"post_edge_frac": share_of(edges(preprocess(own))), "crop": to_png(own)})
         return out
 
     more = "i int, x1 int, y1 int, x2 int, y2 int, ink_frac double, line_ratio double, small_components int, largest_cc_ratio double, edge_frac double, post_edge_frac double, crop binary"
@@ -310,14 +310,30 @@ def otsu(gray: np.ndarray) -> int:
 
 def opened(mask: np.ndarray, length: int, axis: int) -> np.ndarray:
     """Pixels of straight runs of ``length`` or more along an axis: morphological opening by a line."""
-    rows = mask if axis == 1 else mask.T
-    edge = np.diff(np.pad(rows.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    rows = mask if axis == 0 else mask.T
+    if length > len(rows):
+        return np.zeros_like(mask, bool)
+
+    def pieces(found: np.ndarray, join) -> np.ndarray:
+        """From single pixels to pieces of ``length``, by doubling."""
+        size = 1
+        while size < length:
+            step = min(size, length - size)
+            found = join(found, step)
+            size += step
+        return found
+
+    whole = pieces(rows.astype(bool), lambda m, k: m[:-k] & m[k:])  # a run begins here
     out = np.zeros_like(rows, bool)
-    starts, ends = np.argwhere(edge == 1), np.argwhere(edge == -1)
-    for (r, a), (_, b) in zip(starts, ends):
-        if b - a >= length:
-            out[r, a:b] = True
-    return out if axis == 1 else out.T
+    out[: len(whole)] = whole
+
+    def spread(m: np.ndarray, k: int) -> np.ndarray:
+        wider = m.copy(order="K")
+        wider[k:] |= m[:-k]
+        return wider
+
+    out = pieces(out, spread)
+    return out if axis == 0 else out.T
 
 
 def page_score(gray: np.ndarray) -> tuple[float, float]:
